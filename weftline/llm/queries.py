@@ -18,6 +18,12 @@ def _crc_mod(n: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n, F.lit(-1))
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .covertree import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import fit_quality, score_quality
 
@@ -53,6 +59,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spotsigs import fingerprints_with_edits
+
+    return fingerprints_with_edits(_table(spark, sf_dir, "documents"))
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import dedup_lines
 
@@ -68,10 +80,20 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_quality, op3_packing, op5_language, op7_simhash, op8_mixing, op10_lines, pipeline)
+    found = (op1_topk, op2_quality, op3_packing, op5_language, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, pipeline)
     return {f.__name__: f for f in found}
 
 
+#: All pairs of a query and another vector, over quantised components.
+TOP_K_SQL = """
+with v as (select distinct vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as e from embeddings
+           where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, d.vec_id, cast(list_inner_product(cast(q.e as double[]), cast(d.e as double[])) as bigint) as score
+      from v q join v d on q.vec_id % 50 = 0 and q.vec_id <> d.vec_id and len(q.e) = len(d.e)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+"""
+
 #: Lines of 20 characters or more that an earlier line equals within one edit.
 #: For the self-join, lines within one edit share their first or last half.
 LINES_SQL = r"""
@@ -95,4 +117,4 @@ select doc_id, cast(n_removed as bigint) as n_removed, cast(length(kept) as bigi
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_lines": LINES_SQL}
+    return {"op1_topk": TOP_K_SQL, "op10_lines": LINES_SQL}
