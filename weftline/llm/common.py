@@ -12,7 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Odd multiplier of the polynomial hashes, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -141,3 +142,9 @@ def per_text(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 def is_space(units: np.ndarray) -> np.ndarray:
     """ASCII white space: U+0020 and U+0009 to U+000D."""
     return (units == 32) | ((units >= 9) & (units <= 13))
+
+
+def bound(value: Column, use) -> Column:
+    """use(value) with value computed once: inside, it is a lambda's argument.
+    use gives an array."""
+    return F.flatten(F.transform(F.array(F.struct(value.alias("x"))), lambda row: use(row["x"])))

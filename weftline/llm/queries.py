@@ -39,6 +39,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licences import fit_licences, scan_licences
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licences(docs, fit_licences(docs))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import fit_language, predict_language
 
@@ -47,6 +54,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs.select("doc_id", "text"), model).select("doc_id", (_crc_mod(4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -80,7 +93,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_topk, op2_quality, op3_packing, op5_language, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, pipeline)
+    found = (op1_topk, op2_quality, op3_packing, op4_licences, op5_language, op6_suffixes, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, pipeline)
     return {f.__name__: f for f in found}
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bound, materialize
 
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -48,12 +48,6 @@ def spot_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def bound(value: Column, use) -> Column:
-    """use(value) with value computed once: inside, it is a lambda's argument.
-    use gives an array."""
-    return F.flatten(F.transform(F.array(F.struct(value.alias("x"))), lambda row: use(row["x"])))
-
-
 def spot_set_of_words(words: Column, anchors: list[str] | None = None, chain: int = CHAIN) -> Column:
     common = sorted(set(ANCHORS if anchors is None else anchors))
     low = lambda h: h.bitwiseAND(F.lit(MASK))
