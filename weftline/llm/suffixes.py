@@ -43,7 +43,9 @@ from .common import Rolling, byte_chunks, encoded, materialize, mix
 U = np.uint64
 GRAM = 24
 #: Windows of one suffix array, about.
-ARRAY = 1 << 20
+ARRAY = 1 << 17
+#: Bytes of segments that are held before they are sent.
+HELD = 1 << 24
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -156,14 +158,27 @@ def _segmented(size: int, parts: int):
     a batch are one: the earliest goes on, the others' windows are gone."""
     reach = (size - GRAM) // 2  # a window reaches so far beyond its anchor on one side at least
 
+    def flush(held):
+        key, body, owner, start, count = (np.concatenate([h[j] for h in held]) for j in range(5))
+        bodies = [x for h in held for x in h[5]]
+        order = np.lexsort((start, owner, body, key))
+        again = np.concatenate([[False], (key[order][1:] == key[order][:-1]) & (body[order][1:] == body[order][:-1])]) if len(key) else np.zeros(0, bool)
+        keep, drop = order[~again], order[again]
+        rows = []
+        for p, x in _by((key[keep] % U(parts)).astype(np.int64)):
+            own = keep[x]
+            rows.append((0, p, 0, SEGMENTS.pack(key[own], owner[own], start[own], count[own]), b"".join(bodies[i] for i in own)))
+        rows += [(1, 0, i, GONE.pack(start[drop[own]], count[drop[own]]), None) for i, own in _by(owner[drop])]
+        return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["kind", "part", "id", "payload", "bytes"])
+
     def made(batches):
+        held, n = [], 0
         for batch in batches:
-            ids, runs = np.asarray(batch.column("id")), batch.column("runs").to_pylist()
-            held = []
+            ids, runs = np.asarray(batch.column("id")), batch.column("runs")
             for first, last, data, offsets in byte_chunks(encoded(batch)):
                 place, before, count, text = [], [], [], []
-                for i in range(first, last):
-                    p, b, c = RUNS.all(runs[i])
+                for i, blobs in zip(range(first, last), runs.slice(first, last - first).to_pylist(), strict=True):
+                    p, b, c = RUNS.all(blobs)
                     place.append(p.astype(np.int64) + offsets[i - first])
                     before.append(b.astype(np.int64))
                     count.append(c.astype(np.int64))
@@ -178,16 +193,12 @@ def _segmented(size: int, parts: int):
                     key = mix(r.raw(k, k + GRAM + reach))
                     body = mix(r.raw(a[on], b[on] + size - 1) + mix((b - a)[on].astype(U)))
                     held.append((key, body, ids[first + text[on]], a[on] - offsets[text[on]], (b - a)[on], [data[x : y + size - 1].tobytes() for x, y in zip(a[on].tolist(), b[on].tolist(), strict=True)]))
-            if not held:
-                continue
-            key, body, owner, start, count = (np.concatenate([h[j] for h in held]) for j in range(5))
-            bodies = [x for h in held for x in h[5]]
-            order = np.lexsort((start, owner, body, key))
-            again = np.concatenate([[False], (key[order][1:] == key[order][:-1]) & (body[order][1:] == body[order][:-1])])
-            keep, drop = order[~again], order[again]
-            rows = [(0, p, 0, SEGMENTS.pack(key[own], owner[own], start[own], count[own]), b"".join(bodies[i] for i in own)) for p, own in ((p, keep[x]) for p, x in _by((key[keep] % U(parts)).astype(np.int64)))]
-            rows += [(1, 0, i, GONE.pack(start[drop[own]], count[drop[own]]), None) for i, own in _by(owner[drop])]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["kind", "part", "id", "payload", "bytes"])
+                    n += int((b - a)[on].sum()) + len(on) * size
+                if n > HELD:
+                    yield flush(held)
+                    held, n = [], 0
+        if held:
+            yield flush(held)
 
     return made
 
@@ -246,9 +257,11 @@ def kasai(text: np.ndarray, order: np.ndarray, lanes: np.ndarray, lengths: np.nd
     return common
 
 
-def repeated_windows(bodies: list[bytes], rank: np.ndarray, count: np.ndarray, size: int, limit: int = ARRAY) -> np.ndarray:
+def repeated_windows(bodies: list[bytes], rank: np.ndarray, count: np.ndarray, size: int, limit: int = ARRAY, key: np.ndarray | None = None) -> np.ndarray:
     """Windows of segments that also stand earlier: a flag for each window, in
-    the order of segments. rank: the segments' order of age."""
+    the order of segments. rank: the segments' order of age. key, ascending:
+    equal windows have equal keys, so that arrays are cut between keys and only
+    the arrays of one key are merged (without keys, all are)."""
     total = int(count.sum())
     ahead = np.concatenate([[0], np.cumsum(count)])
     gone = np.zeros(total, bool)
@@ -256,6 +269,13 @@ def repeated_windows(bodies: list[bytes], rank: np.ndarray, count: np.ndarray, s
     at = 0
     while at < len(bodies):
         end = max(at + 1, int(np.searchsorted(ahead, ahead[at] + limit, "right")) - 1)
+        more = end < len(bodies)
+        if key is not None:
+            if at and key[at] != key[at - 1]:
+                merged = []
+            if more and key[end] != key[at]:
+                end = max(at + 1, int(np.searchsorted(key, key[end])))  # back to where a key begins
+            more = end < len(bodies) and key[end] == key[end - 1]
         text = np.frombuffer(b"".join(bodies[at:end]), np.uint8)
         length = count[at:end] + size - 1
         lanes = np.concatenate([[0], np.cumsum(length)])[:-1]
@@ -274,7 +294,7 @@ def repeated_windows(bodies: list[bytes], rank: np.ndarray, count: np.ndarray, s
         group, suffix, age, number = group[by], suffix[by], age[by], number[by]
         first = np.concatenate([[True], group[1:] != group[:-1]]) if len(group) else np.zeros(0, bool)
         gone[number[~first]] = True
-        if end < len(bodies) or merged:
+        if more or merged:
             suffix, age, number = suffix[first], age[first], number[first]
             windows = np.ascontiguousarray(text[suffix[:, None] + np.arange(size)]).view(f"S{size}").ravel() if len(suffix) else np.zeros(0, f"S{size}")
             keep = np.ones(len(windows), bool)
@@ -305,7 +325,7 @@ def _sharded(size: int):
         rank = np.empty(len(key), np.int64)
         rank[np.lexsort((start, owner))] = np.arange(len(key))
         by = np.argsort(key, kind="stable")  # equal windows have equal keys: keep them together
-        gone = repeated_windows([bodies[i] for i in by], rank[by], count[by], size)
+        gone = repeated_windows([bodies[i] for i in by], rank[by], count[by], size, key=key[by])
         seg = np.repeat(by, count[by])
         inside = np.arange(len(seg)) - np.repeat(np.cumsum(count[by]) - count[by], count[by])
         on = np.flatnonzero(gone)
@@ -321,7 +341,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     if not GRAM + 2 <= size <= GRAM + 230:
         raise ValueError(f"size: {GRAM + 2} to {GRAM + 230}")
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     marks = materialize(source.select("id", F.sha2("text", 256).alias("mark")))
     firsts = marks.groupBy("mark").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("mark", "first")
