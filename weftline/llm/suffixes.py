@@ -48,18 +48,22 @@ ARRAY = 1 << 17
 HELD = 1 << 24
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """Runs of windows that share an anchor: (hash of the anchor, its position,
-    the first window's distance before it, windows of the run)."""
+    the first window's distance before it, windows of the run, 32-bit hashes of
+    the anchor with what lies before and with what lies behind it). A window
+    reaches so far beyond its anchor on one side at least; a hash is 0 where no
+    window of the run reaches as far on that side."""
     width, n = size - GRAM + 1, len(data)
     none = np.zeros(0, np.int64)
     if n < size:
-        return none.view(U), none, none, none
+        return none.view(U), none, none, none, none, none
     ends = np.repeat(offsets[1:], np.diff(offsets))
     valid = np.flatnonzero(np.arange(n) + size <= ends)
     if not len(valid):
-        return none.view(U), none, none, none
-    grams = Rolling(data).windows(GRAM)
+        return none.view(U), none, none, none, none, none
+    r, reach = Rolling(data), (size - GRAM) // 2
+    grams = r.windows(GRAM)
     least = np.empty(n - size + 1, np.int64)
     block = 1 << 22  # places of a block fit the low 24 bits
     for at in range(0, len(least), block):
@@ -75,7 +79,12 @@ def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     anchor = least[valid]
     cut = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (valid[1:] != valid[:-1] + 1)]))
     first, place = valid[cut], anchor[cut]
-    return grams[place], place, place - first, np.diff(np.append(cut, len(valid)))
+    count = np.diff(np.append(cut, len(valid)))
+    sides = []
+    for at, some in ((place - reach, first <= place - reach), (place, first + count > place - reach + 1)):
+        at = np.where(some, at, 0)
+        sides.append(np.where(some, mix(r.raw(at, at + GRAM + reach)) >> U(32) | U(1), U(0)))
+    return grams[place], place, place - first, count, *sides
 
 
 class Blob:
@@ -100,8 +109,8 @@ class Blob:
         return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in self.kinds]
 
 
-ANCHORS = Blob("u8", "i8", "u4", "u1", "u1")  # hash, id, place, windows before, windows
-RUNS = Blob("u4", "u1", "u1")  # place, windows before, windows
+ANCHORS = Blob("u8", "i8", "u4", "u1", "u1", "u4", "u4")  # hash, id, place, windows before, windows, both sides
+RUNS = Blob("u4", "u1", "u1", "u1")  # place, windows before, windows, sides that repeat
 GONE = Blob("u4", "u1")  # first window, windows
 SEGMENTS = Blob("u8", "i8", "u4", "u1")  # key, id, first window, windows
 
@@ -130,9 +139,9 @@ def _listed(size: int, parts: int):
         for batch in batches:
             ids = np.asarray(batch.column("id"))
             for first, _, data, offsets in byte_chunks(encoded(batch)):
-                h, place, before, count = anchors(data, offsets, size)
+                h, place, before, count, left, right = anchors(data, offsets, size)
                 text = np.searchsorted(offsets, place, "right") - 1
-                held.append((h, ids[first + text], place - offsets[text], before, count))
+                held.append((h, ids[first + text], place - offsets[text], before, count, left, right))
                 n += len(h)
                 if n > 1 << 18:
                     yield flush(held)
@@ -143,13 +152,23 @@ def _listed(size: int, parts: int):
     return made
 
 
+def _again(h: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Whether another row has the same anchor and the same side."""
+    order = np.lexsort((side, h))
+    same = (h[order][1:] == h[order][:-1]) & (side[order][1:] == side[order][:-1])
+    out = np.zeros(len(h), bool)
+    if len(h):
+        out[order] = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    return out & (side != 0)
+
+
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of one part: the runs whose anchor occurs more than once, by text."""
-    h, ids, place, before, count = ANCHORS.all(table.column("payload").to_pylist())
-    order = np.argsort(h, kind="stable")
-    same = h[order][1:] == h[order][:-1]
-    twice = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(h) else order
-    rows = [(i, RUNS.pack(place[twice[own]], before[twice[own]], count[twice[own]])) for i, own in _by(ids[twice])]
+    """Of one part: the runs whose anchor occurs more than once with the same
+    bytes on a side, by text."""
+    h, ids, place, before, count, left, right = ANCHORS.all(table.column("payload").to_pylist())
+    sides = _again(h, left) + 2 * _again(h, right)
+    twice = np.flatnonzero(sides)
+    rows = [(i, RUNS.pack(place[twice[own]], before[twice[own]], count[twice[own]], sides[twice[own]])) for i, own in _by(ids[twice])]
     return pa.table({"id": pa.array([r[0] for r in rows], pa.int64()), "payload": pa.array([r[1] for r in rows], pa.binary())})
 
 
@@ -176,19 +195,20 @@ def _segmented(size: int, parts: int):
         for batch in batches:
             ids, runs = np.asarray(batch.column("id")), batch.column("runs")
             for first, last, data, offsets in byte_chunks(encoded(batch)):
-                place, before, count, text = [], [], [], []
+                place, before, count, sides, text = [], [], [], [], []
                 for i, blobs in zip(range(first, last), runs.slice(first, last - first).to_pylist(), strict=True):
-                    p, b, c = RUNS.all(blobs)
+                    p, b, c, which = RUNS.all(blobs)
                     place.append(p.astype(np.int64) + offsets[i - first])
                     before.append(b.astype(np.int64))
                     count.append(c.astype(np.int64))
+                    sides.append(which)
                     text.append(np.full(len(p), i - first))
-                place, before, count, text = (np.concatenate(x) for x in (place, before, count, text))
+                place, before, count, sides, text = (np.concatenate(x) for x in (place, before, count, sides, text))
                 start, r = place - before, Rolling(data)
                 stop = start + count
                 middle = np.clip(place - reach + 1, start, stop)
-                for a, b, key_at in ((start, middle, place - reach), (middle, stop, place)):
-                    on = np.flatnonzero(b > a)
+                for bit, a, b, key_at in ((1, start, middle, place - reach), (2, middle, stop, place)):
+                    on = np.flatnonzero((b > a) & (sides & bit != 0))
                     k = key_at[on]
                     key = mix(r.raw(k, k + GRAM + reach))
                     body = mix(r.raw(a[on], b[on] + size - 1) + mix((b - a)[on].astype(U)))
@@ -240,6 +260,9 @@ def kasai(text: np.ndarray, order: np.ndarray, lanes: np.ndarray, lengths: np.nd
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
     before = np.where(place > 0, order[np.maximum(place - 1, 0)], -1)
+    # eight bytes at a time; past the end two suffixes differ, whatever is there
+    padded = np.concatenate([text, np.zeros(depth + 16, np.uint8)])
+    eight = np.ndarray((n + depth + 8,), "<u8", padded, strides=(1,))
     common, have = np.zeros(n, np.int64), np.zeros(len(lanes), np.int64)
     for step in range(int(lengths.max(initial=0))):
         on = np.flatnonzero(lengths > step)
@@ -248,11 +271,10 @@ def kasai(text: np.ndarray, order: np.ndarray, lanes: np.ndarray, lengths: np.nd
         h = np.where(other >= 0, np.maximum(have[on] - 1, 0), 0)
         live = np.flatnonzero(other >= 0)
         while len(live):
-            a, b = here[live] + h[live], other[live] + h[live]
-            ok = (h[live] < depth) & (a < n) & (b < n)
-            live, a, b = live[ok], a[ok], b[ok]
-            live = live[text[a] == text[b]]
-            h[live] += 1
+            x = eight[here[live] + h[live]] ^ eight[other[live] + h[live]]
+            h[live] += np.bitwise_count((x & (~x + U(1))) - U(1)).astype(np.int64) // 8  # equal bytes of eight
+            live = live[(x == 0) & (h[live] < depth)]
+        h = np.minimum(h, np.minimum(depth, n - np.maximum(here, other)))
         common[here], have[on] = h, h
     return common
 
