@@ -112,6 +112,10 @@ OTHER = [
     "He lost his driving license last year.",
     "She is a licensed plumber and a copyright lawyer.",
     "You need permission to use the public library.",
+    "A license to fish costs ten dollars.",
+    "The license plate was stolen.",
+    "The bar applied for a liquor license.",
+    "They have a license to sell food.",
     "The software is free for a limited time.",
     "General public opinion was under review.",
     "They work under the terms of a contract.",
@@ -160,7 +164,7 @@ class Model:
             variants(text, len(NOTICES) + 1, 6)
         for text in negatives:
             rows.append((words_of(text), len(NOTICES) + 1))
-        rows.append(([], len(NOTICES) + 1))
+        rows += [([], len(NOTICES) + 1)] * 40  # what holds no word of the notices
         names_only = {w for name in made_up for w in words_of(name)}
         known = sorted(g for g in set().union(*(grams_of(w) for w, label in rows if label != len(NOTICES) + 1), *(grams_of(words_of(t)) for t in OTHER)) if not names_only & set(g.split()))
         self.of = {g: i for i, g in enumerate(known)}
