@@ -34,12 +34,24 @@ def deletions(word: Column | str, edits: int = 2) -> Column:
     return out
 
 
+def edit_count(word: Column, other: Column) -> Column:
+    """Edits between two words that are at most two apart; exchanging two
+    neighbours is one edit. More than two is 3."""
+    places = lambda x: F.sequence(F.lit(1), F.greatest(F.length(x) - 1, F.lit(1)))
+    swap = lambda x, i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.lit(1)), F.substring(x, i, F.lit(1)), F.substring(x, i + 2, F.length(x)))
+    plain = F.levenshtein(word, other)
+    once = F.transform(places(word), lambda i: swap(word, i))
+    near = F.array_min(F.transform(once, lambda s: F.levenshtein(s, other))) + 1
+    twice = F.exists(once, lambda s: F.exists(places(s), lambda j: swap(s, j) == other))
+    return F.when(plain <= 1, plain).when(F.least(plain, near) <= 2, F.least(plain, near)).when(twice, 2).otherwise(3)
+
+
 def corrections(unknown: DataFrame, dictionary: DataFrame, edits: int = 2) -> DataFrame:
     """(word, correction): least edits, then highest freq, then first by letter."""
     left = unknown.select("word", F.explode(deletions("word", edits)).alias("variant"))
     right = dictionary.select(F.col("word").alias("correction"), "freq", F.explode(deletions("word", edits)).alias("variant"))
     pairs = left.join(right, "variant").select("word", "correction", "freq").distinct()
-    pairs = pairs.withColumn("edits", F.levenshtein("word", "correction")).where(F.col("edits") <= edits)
+    pairs = pairs.withColumn("edits", edit_count(F.col("word"), F.col("correction"))).where(F.col("edits") <= edits)
     rank = F.row_number().over(Window.partitionBy("word").orderBy("edits", F.desc("freq"), "correction"))
     return pairs.withColumn("rank", rank).where("rank = 1").select("word", "correction")
 

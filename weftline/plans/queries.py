@@ -564,19 +564,19 @@ def search_query_build(spark, sf_dir):
 # Fuzzy de-duplication
 
 
-def short_lines(spark, sf_dir) -> DataFrame:
-    """First lines of the documents, whole; a rule of its own each."""
-    docs = table(spark, sf_dir, "documents")
-    return docs.select(F.col("doc_id").alias("pos"), F.substring_index("text", "\n", 1).alias("rule_text")).where(F.length("rule_text") < 60)
+def part_rules(spark, sf_dir) -> DataFrame:
+    """Every part's type and brand as a rule; many are alike."""
+    part = table(spark, sf_dir, "part")
+    return part.select(F.col("p_partkey").alias("pos"), F.concat_ws(" ", "p_type", "p_brand").alias("rule_text"))
 
 
 @query()
 def fuzzy_dedupe_seq(spark, sf_dir):
-    return dedupe.fuzzy_dedupe(short_lines(spark, sf_dir))
+    return dedupe.fuzzy_dedupe(part_rules(spark, sf_dir))
 
 
-LEV = f"""with recursive t as (select doc_id as pos, {normal_sql("string_split(text, chr(10))[1]")} as norm from documents where length(string_split(text, chr(10))[1]) < 60),
-u as (select min(pos) as pos, norm, row_number() over (order by min(pos)) as k from t group by norm),
+LEV = f"""with recursive u as (select min(p_partkey) as pos, norm, row_number() over (order by min(p_partkey)) as k
+  from (select p_partkey, {normal_sql("concat_ws(' ', p_type, p_brand)")} as norm from part) group by norm),
 walk(k, kept) as (select cast(0 as bigint), cast([] as varchar[]) union all
   select u.k, case when len([x for x in kept if abs(length(x) - length(u.norm)) <= 0.15 * greatest(length(x), length(u.norm)) + 1e-9 and
     (case when greatest(length(x), length(u.norm)) = 0 then 1.0 else 1 - levenshtein(u.norm, x) / greatest(length(x), length(u.norm)) end) >= 0.85]) > 0 then kept else list_append(kept, u.norm) end
@@ -587,7 +587,7 @@ select u.pos, u.norm from u, last where list_contains(kept, u.norm)"""
 
 @query(LEV)
 def fuzzy_dedupe_lev(spark, sf_dir):
-    kept = dedupe.fuzzy_dedupe(short_lines(spark, sf_dir), ratio="levenshtein")
+    kept = dedupe.fuzzy_dedupe(part_rules(spark, sf_dir), ratio="levenshtein")
     return kept.select("pos", X.normalize("rule_text").alias("norm"))
 
 
@@ -621,7 +621,7 @@ def silhouette_exact(spark, sf_dir):
 
 @query()
 def kmeans_scan(spark, sf_dir):
-    best = semantic.kmeans_scan(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), range(6, 10), iterations=5)
+    best = semantic.kmeans_scan(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), range(6, 19), iterations=10)
     return spark.createDataFrame([(k, s) for k, _, s in best], "k int, silhouette double")
 
 
@@ -663,13 +663,13 @@ def word_counts(spark, sf_dir) -> DataFrame:
     return found.where(F.col("token").rlike("^[A-Za-z]{3,}$")).groupBy(F.lower("token").alias("word")).agg(F.count("*").alias("n"))
 
 
-@query(TOKENS + """, known as (select word, n as freq from w where n >= 40), rare as (select word from w where n < 40 and length(word) <= 6),
-p as (select r.word, k.word as correction, k.freq, levenshtein(r.word, k.word) as edits from rare r, known k where abs(length(r.word) - length(k.word)) <= 1 and levenshtein(r.word, k.word) <= 1),
+@query(TOKENS + """, known as (select word, n as freq from w where n >= 40), rare as (select word from w where n < 40),
+p as (select r.word, k.word as correction, k.freq, damerau_levenshtein(r.word, k.word) as edits from rare r, known k where abs(length(r.word) - length(k.word)) <= 1 and damerau_levenshtein(r.word, k.word) <= 1),
 b as (select *, row_number() over (partition by word order by edits, freq desc, correction) as r from p) select word, correction from b where r = 1""")
 def token_spelling(spark, sf_dir):
     counts = word_counts(spark, sf_dir)
     known = counts.where("n >= 40").select("word", F.col("n").alias("freq"))
-    rare = counts.where("n < 40 and length(word) <= 6").select("word")
+    rare = counts.where("n < 40").select("word")
     return spelling.corrections(rare, known, edits=1)
 
 
@@ -677,7 +677,7 @@ def token_spelling(spark, sf_dir):
 def topic_terms(spark, sf_dir):
     from ..operators.topics import topic_terms as terms
 
-    return terms(table(spark, sf_dir, "benchmark"), k=4, min_docs=2)[1]
+    return terms(table(spark, sf_dir, "conversations"), k=4, min_docs=2)[1]
 
 
 @query()

@@ -50,7 +50,8 @@ def rule_files(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame,
     the paths that hold no JSON."""
     files = spark.read.schema(RULE_FILE).option("columnNameOfCorruptRecord", "_corrupt_record").json(paths, multiLine=True).withColumn("file", F.col("_metadata.file_path"))
     rules = files.where("_corrupt_record is null").select("file", F.posexplode("rules").alias("pos", "rule")).select("file", "pos", "rule.*")
-    return rules, files.where("_corrupt_record is not null").select("file")
+    whole = spark.read.text(paths, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
+    return rules, whole.where(F.try_parse_json("value").isNull()).select("file")
 
 
 def url_list(spark: SparkSession, path: str) -> DataFrame:
