@@ -16,6 +16,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(use, **values: Column) -> Column:
+    """use(row) with each value computed once, as a field of row. (An expression
+    that occurs in several branches is otherwise computed in each.)"""
+    return F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), use)[0]
+
+
 def strip(c: Column | str) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(_col(c), f"^[{SPACE}]+|[{SPACE}]+$", "")

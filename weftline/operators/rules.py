@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
-from ..functions.text import contains_any, matches_any, normalize, percent, sentences, strip, word_count, words
+from ..functions.text import bind, contains_any, matches_any, normalize, percent, sentences, strip, word_count, words
 
 
 def sentence_rows(docs: DataFrame, text: str = "text", longer_than: int = 20, min_text: int = 20, max_text: int | None = 2000) -> DataFrame:
@@ -24,11 +24,16 @@ def sentence_rows(docs: DataFrame, text: str = "text", longer_than: int = 20, mi
 
 def first_type(text: Column | str, lists: Sequence[tuple[str, Sequence[str]]] = tuple(L.TYPES_A)) -> Column:
     """The first type one of whose words occurs; ``general`` without any."""
-    out = None
-    for name, keywords in lists:
-        hit = contains_any(text, keywords)
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return F.lit("general") if out is None else out.otherwise("general")
+    if not lists:
+        return F.lit("general")
+
+    def chosen(row: Column) -> Column:
+        out = F
+        for name, keywords in lists:
+            out = out.when(contains_any(row["low"], keywords, False), name)
+        return out.otherwise("general")
+
+    return bind(chosen, low=F.lower(F.col(text) if isinstance(text, str) else text))
 
 
 def quality_b(count: Column, similarity: Column | None = None) -> Column:
@@ -50,36 +55,44 @@ def is_advice(text: Column | str, advice: Sequence[str] = tuple(L.FALLBACK_ADVIC
 
 def rejection_reasons(text: Column | str, quality: Column, min_words: int = 5, max_words: int = 50, min_quality: int = 7, promotional: Sequence[str] = tuple(L.PROMOTIONAL), navigational: Sequence[str] = tuple(L.NAVIGATIONAL), required: Sequence[str] = tuple(L.REQUIRED), advice: Sequence[str] = tuple(L.CLEANER_ADVICE)) -> Column:
     """All reasons against a rule, in order; empty for a valid one."""
-    low = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
-    n, q = word_count(low), F.coalesce(quality, F.lit(0))
-    checks = [
-        (n < min_words, F.format_string("Too short: %d words", n)),
-        (n > max_words, F.format_string("Too long: %d words", n)),
-        (q < min_quality, F.format_string("Low quality score: %d", q)),
-        (matches_any(low, promotional), F.lit("Contains promotional content")),
-        (matches_any(low, navigational), F.lit("Contains navigational content")),
-        (~contains_any(low, required, False), F.lit("No fashion-related keywords found")),
-        (~contains_any(low, advice, False), F.lit("No advice indicators found")),
-    ]
-    return F.filter(F.array(*[F.when(c, m) for c, m in checks]), lambda r: r.isNotNull())
+    whole = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+    def judged(row: Column) -> Column:
+        low, n, q = row["low"], row["n"], row["q"]
+        checks = [
+            (n < min_words, F.format_string("Too short: %d words", n)),
+            (n > max_words, F.format_string("Too long: %d words", n)),
+            (q < min_quality, F.format_string("Low quality score: %d", q)),
+            (matches_any(low, promotional), F.lit("Contains promotional content")),
+            (matches_any(low, navigational), F.lit("Contains navigational content")),
+            (~contains_any(low, required, False), F.lit("No fashion-related keywords found")),
+            (~contains_any(low, advice, False), F.lit("No advice indicators found")),
+        ]
+        return F.filter(F.array(*[F.when(c, m) for c, m in checks]), lambda r: r.isNotNull())
+
+    return bind(judged, low=whole, n=word_count(whole), q=F.coalesce(quality, F.lit(0)))
 
 
 def first_error(text: Column | str, count: Column | None = None, min_words: int = 5, max_words: int = 30, prohibited: Sequence[str] = tuple(L.PROHIBITED), advice: Sequence[str] = tuple(L.ADVICE), fashion: Sequence[str] = tuple(L.FASHION), capitals: float = 0.4) -> Column:
     """The first of nine checks that a rule fails, or null."""
-    t = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    n = word_count(t) if count is None else F.coalesce(count, word_count(t))
-    upper = F.size(F.filter(words(t), lambda w: w.rlike(r"^\p{IsUppercase}")))
-    return (
-        F.when(~t.rlike(r"^\p{IsUppercase}"), "No capital start")
-        .when(~t.rlike(r"[.!]\z"), "No punctuation")
-        .when(t.contains("?"), "Contains question")
-        .when(n < min_words, F.format_string("Too short (%d words)", n))
-        .when(n > max_words, F.format_string("Too long (%d words)", n))
-        .when(matches_any(t, prohibited), "Prohibited content")
-        .when(~contains_any(t, advice), "No advice indicator")
-        .when(~contains_any(t, fashion), "No fashion terms")
-        .when(upper > n * capitals, "Too many capitals (article title)")
-    )
+    whole = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+
+    def judged(row: Column) -> Column:
+        t, n = row["t"], row["n"]
+        upper = F.size(F.filter(words(t), lambda w: w.rlike(r"^\p{IsUppercase}")))
+        return (
+            F.when(~t.rlike(r"^\p{IsUppercase}"), "No capital start")
+            .when(~t.rlike(r"[.!]\z"), "No punctuation")
+            .when(t.contains("?"), "Contains question")
+            .when(n < min_words, F.format_string("Too short (%d words)", n))
+            .when(n > max_words, F.format_string("Too long (%d words)", n))
+            .when(matches_any(t, prohibited), "Prohibited content")
+            .when(~contains_any(t, advice), "No advice indicator")
+            .when(~contains_any(t, fashion), "No fashion terms")
+            .when(upper > n * capitals, "Too many capitals (article title)")
+        )
+
+    return bind(judged, t=whole, n=word_count(whole) if count is None else F.coalesce(count, word_count(whole)))
 
 
 def clean(rules: DataFrame, **options) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import dedupe, extraction, posts, rules, semantic, spelling, web
 from ..session import prepare
+from ..tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,7 +78,7 @@ long as (select * from sent where length(sentence) > 20)
 
 
 def sentences_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.sentence_rows(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), max_text=None)
+    return rules.sentence_rows(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")), max_text=None)
 
 
 @query(
@@ -292,8 +293,8 @@ JUDGED = SENTENCES + f", judged as (select doc_id, pos, {reasons_sql('sentence')
 
 
 def judged(spark, sf_dir) -> DataFrame:
-    rows = sentences_of(spark, sf_dir)
-    quality = rules.quality_b(X.word_count("sentence"))
+    rows = sentences_of(spark, sf_dir).withColumn("n", X.word_count("sentence"))
+    quality = rules.quality_b(F.col("n"))
     return rows.select("doc_id", "pos", rules.rejection_reasons("sentence", quality, promotional=PROMO, navigational=NAV, required=NEED, advice=SAYS).alias("reasons"))
 
 
@@ -364,7 +365,7 @@ p as (select doc_id, i - 1 as line_pos, string_split_regex(line, '\d+\.|\d+\)')
 q as (select doc_id, line_pos, j - 1 as part_pos, {strip_sql('s[j]')} as part from (select *, unnest(generate_series(1, len(s))) as j from p))
 select doc_id, cast(line_pos as integer) as line_pos, cast(part_pos as integer) as part_pos, part from q where length(part) > 30""")
 def numbered_split(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_pos", "raw"))
+    lines = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_pos", "raw"))
     lines = lines.select("doc_id", "line_pos", F.concat(F.lit("1. "), F.replace("raw", F.lit(", "), F.lit(" 2) "))).alias("line"))
     return web.numbered_parts(lines)
 
@@ -659,12 +660,14 @@ w as (select lower(token) as word, count(*) as n from t where regexp_full_match(
 
 
 def word_counts(spark, sf_dir) -> DataFrame:
-    found = spelling.token_rows(table(spark, sf_dir, "documents"), "doc_id")
+    found = spelling.token_rows(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id")
     return found.where(F.col("token").rlike("^[A-Za-z]{3,}$")).groupBy(F.lower("token").alias("word")).agg(F.count("*").alias("n"))
 
 
 @query(TOKENS + """, known as (select word, n as freq from w where n >= 40), rare as (select word from w where n < 40),
-p as (select r.word, k.word as correction, k.freq, damerau_levenshtein(r.word, k.word) as edits from rare r, known k where abs(length(r.word) - length(k.word)) <= 1 and damerau_levenshtein(r.word, k.word) <= 1),
+e as (select r.word, k.word as correction, k.freq from rare r join known k on left(r.word, 1) = left(k.word, 1) and abs(length(r.word) - length(k.word)) <= 1
+  union select r.word, k.word, k.freq from rare r join known k on right(r.word, 1) = right(k.word, 1) and abs(length(r.word) - length(k.word)) <= 1),
+p as (select *, damerau_levenshtein(word, correction) as edits from e where damerau_levenshtein(word, correction) <= 1),
 b as (select *, row_number() over (partition by word order by edits, freq desc, correction) as r from p) select word, correction from b where r = 1""")
 def token_spelling(spark, sf_dir):
     counts = word_counts(spark, sf_dir)

@@ -1,18 +1,47 @@
-"""Tables that end a lineage, for operators that go in rounds."""
+"""Tables that end a lineage, for operators that go in rounds, and small tables
+that are dealt out to all cores."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+#: A table of fewer bytes than this often lies in one row group, which one task reads.
+SMALL = 64 << 20
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+def _remove_made() -> None:
+    for spark, path in _made:
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session may have ended before the interpreter
+            return
+
+
+atexit.register(_remove_made)
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write df below spark.checkpoint.dir (a local folder where that is unset)
-    and read it again, so that a lost executor costs no earlier round."""
+    and read it again, so that a lost executor costs no earlier round. The files
+    go when the interpreter ends."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", "") or f"file://{tempfile.gettempdir()}/weftline-rounds"
     path = f"{base.rstrip('/')}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table in as many partitions as there are cores; a larger one, of
+    many splits, as it is."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if int(str(size)) < SMALL else df
