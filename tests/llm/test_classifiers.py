@@ -62,5 +62,5 @@ def test_language(spark, odd, empty):
     assert predict_language(empty.drop("score"), model).count() == 0
     assert fit_language(empty) is None
     assert {r.lang_pred for r in predict_language(odd.drop("score"), None).collect()} == {"und"}
-    one = fit_language(spark.createDataFrame([("hallo", "de")], "text string, lang string"))
+    one = fit_language(spark.createDataFrame([(1, "hallo", "de")], "doc_id long, text string, lang string"))
     assert predict_language(odd.drop("score"), one).where("lang_pred not in ('de', 'und')").count() == 0

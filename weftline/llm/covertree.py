@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import first_by_hash, materialize
 
 LEAF = 64
 #: Ratio of a node's radius to its children's.
@@ -221,7 +221,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     rows = materialize(rows.groupBy("id", "v").agg(F.max("query").alias("query")).select("id", "query", "v"))
     # the index is shaped by at most `sample` rows of each length
     mark = Window.partitionBy("dim").orderBy("mark", "id")
-    chosen = rows.select("id", "v", F.size("v").alias("dim"), F.xxhash64("id").alias("mark")).orderBy("mark", "id").limit(4 * sample)
+    chosen = first_by_hash(rows.select("id", "v", F.size("v").alias("dim"), F.xxhash64("id").alias("mark")), 4 * sample, "id", "v")
     found: dict[int, list] = {}
     for r in chosen.withColumn("n", F.row_number().over(mark)).where(F.col("n") <= sample).select("dim", "v").collect():
         found.setdefault(r.dim, []).append(r.v)

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, code_point_chunks, encoded, filled, mix, per_text
+from .common import Rolling, code_point_chunks, encoded, filled, first_by_hash, mix, per_text
 
 BITS = 15
 GRAMS = (1, 2, 3, 4)
@@ -112,12 +112,14 @@ def _fit(batches):
     yield pa.RecordBatch.from_pydict({"model": pa.array([out.getvalue()], pa.binary())})
 
 
-def fit_language(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column | None = None, max_train: int = 3000) -> bytes | None:
-    """Train on at most ``max_train`` rows of non-null lang and text, the first
-    by ``order`` (default: a hash of the text)."""
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), (F.xxhash64(text) if order is None else order).alias("__order"))
-    sample = rows.orderBy("__order", "text").limit(max_train).select("text", "lang")
+def fit_language(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", max_train: int = 3000) -> bytes | None:
+    """Train on at most ``max_train`` rows of non-null id and lang, the first by
+    a hash of the id."""
+    known = docs.where(F.col(lang).isNotNull() & F.col(id_col).isNotNull())
+    chosen = first_by_hash(known.select(F.col(id_col).alias("__id"), F.xxhash64(F.lit("language"), id_col).alias("mark")), max_train, "__id")
+    rows = known.select(F.col(id_col).alias("__id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = rows.join(F.broadcast(chosen.distinct()), "__id")  # so few rows may be broadcast
+    sample = rows.orderBy("mark", "__id", "text", "lang").limit(max_train).select("text", "lang")
     found = sample.coalesce(1).mapInArrow(_fit, "model binary").collect()
     return bytes(found[0].model) if found else None
 

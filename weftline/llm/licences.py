@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound
+from .common import bound, first_by_hash
 
 #: Public notices of licence families.
 NOTICES: dict[str, list[str]] = {
@@ -215,11 +215,14 @@ def paragraphs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return lines.where("trim(line) <> ''")
 
 
-def fit_licences(docs: DataFrame, text: str = "text", negatives: int = 400) -> Model:
-    """Train on the notices and at most ``negatives`` paragraphs of docs."""
-    lines = paragraphs(docs.select(F.lit(0).alias("id"), F.col(text).alias("text")), "id", "text")
-    plain = lines.where(~F.col("line").rlike(CUES) & (F.length("line") < 2000)).select("line", F.xxhash64("line").alias("mark"))
-    return Model([r.line for r in plain.orderBy("mark", "line").limit(negatives).collect()])
+def fit_licences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", negatives: int = 400) -> Model:
+    """Train on the notices and at most ``negatives`` paragraphs, of as many
+    documents, the first by a hash of the id."""
+    ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__doc"), F.xxhash64(F.lit("licences"), id_col).alias("mark"))
+    chosen = first_by_hash(ids, negatives, "__doc").distinct()
+    rows = docs.select(F.col(id_col).alias("__doc"), F.col(text).alias("text")).join(F.broadcast(chosen), "__doc").select("mark", "text")  # so few rows may be broadcast
+    lines = paragraphs(rows, "mark", "text").where(~F.col("line").rlike(CUES) & (F.length("line") < 2000)).select("line").distinct()
+    return Model([r.line for r in lines.orderBy(F.xxhash64("line"), "line").limit(negatives).collect()])
 
 
 def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", sure: float = 0.5, confirm: float = 0.6) -> DataFrame:

@@ -186,5 +186,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int
     rows = docs.select(F.col(id_col).cast("long" if arrow == pa.int64() else "string").alias("id"), F.col(text).alias("text"))
     rows = rows.withColumn("key", curve_key(F.col("text"))).withColumn("mark", F.xxhash64("text"))
     order = ["key", "id", "mark"]
-    line = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+    # ranges have equally many documents, and long ones lie close together on
+    # the curve: several ranges to a usual partition even that out
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    line = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text")
     return line.mapInArrow(packed, schema).withColumnRenamed("__id", id_col)

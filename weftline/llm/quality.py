@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, code_point_chunks, encoded, filled, is_space, mix
+from .common import Rolling, code_point_chunks, encoded, filled, first_by_hash, is_space, mix
 
 BITS = 16
 GRAMS = (2, 3, 4)
@@ -119,11 +119,10 @@ def _fit(batches):
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "label", max_train: int = 4000) -> bytes | None:
     """Train on at most ``max_train`` labelled rows, the first by a hash of the
     id; the model has a fixed size. labels: (id_col, label of 0 or 1)."""
-    mark = F.xxhash64(F.lit("quality"), F.col("__id"))
     chosen = labels.where(F.col(label).isin(0, 1)).select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("label"))
-    chosen = chosen.orderBy(mark, "__id").limit(max_train)  # so few rows may be broadcast
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("text")).join(F.broadcast(chosen), "__id")
-    sample = rows.orderBy(mark, "__id", "text").limit(max_train).select("text", "label")
+    chosen = first_by_hash(chosen.withColumn("mark", F.xxhash64(F.lit("quality"), "__id")), max_train, "__id", "label")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("text")).join(F.broadcast(chosen), "__id")  # so few rows may be broadcast
+    sample = rows.orderBy("mark", "__id", "text").limit(max_train).select("text", "label")
     found = sample.coalesce(1).mapInArrow(_fit, "model binary").collect()
     return bytes(found[0].model) if found else None
 

@@ -50,7 +50,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import fit_language, predict_language
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = fit_language(docs.where(_crc_mod(4) != 2), order=F.xxhash64("doc_id"))
+    model = fit_language(docs.where(_crc_mod(4) != 2))
     return predict_language(docs.select("doc_id", "text"), model).select("doc_id", (_crc_mod(4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
