@@ -137,3 +137,23 @@ def test_topics_and_zero_shot(spark):
     got = E.zero_shot(texts, score, n=4).collect()
     assert len(got) == 4 and {r.label for r in got} == {"advice"}
     assert posts.DELETED == "[deleted]"
+
+
+def upper():
+    return str.upper
+
+
+def test_similarity_rules_and_tools(spark):
+    from weftline.plans.pipelines import rules_by_similarity
+    from weftline.session import need
+
+    docs = spark.createDataFrame([(1, "You should wear a belt with the suit. The weather was fine for the whole day."), (2, "short")], "id int, text string")
+    got = rules_by_similarity(docs, semantic.hash_encode, ["you should wear a belt with a suit"]).collect()
+    assert [(r.id, r.pos, r.rule_type, r.word_count) for r in got] == [(1, 0, "general", 8)] and got[0].quality_score == int(got[0].similarity * 10)
+    assert rules_by_similarity(docs, semantic.hash_encode, ["nothing alike"]).count() == 0
+    df = spark.createDataFrame([("a",), (None,)], "t string")
+    assert [r.x for r in df.select(spelling.mended("t", upper).alias("x")).collect()] == ["A", None]
+    assert [r.x for r in df.select(spelling.mended("t").alias("x")).collect()] == ["a", None]
+    need("json")
+    with pytest.raises(RuntimeError):
+        need("no_such_module_here", "install it")

@@ -5,6 +5,9 @@ through deletion variants, not by comparing it with the whole dictionary."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,3 +67,19 @@ def correct(docs: DataFrame, dictionary: DataFrame, key: str, text: str = "text"
     token = F.when(F.col("correction").isNotNull(), preserve_case("token", "correction")).otherwise(F.col("token"))
     parts = mended.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))).alias("parts"))
     return parts.select(key, F.array_join(F.transform("parts", lambda p: p["t"]), "").alias("corrected"))
+
+
+def mended(text: Column | str, load: Callable[[], Callable[[str], str]] | None = None) -> Column:
+    """A text through a grammar tool, loaded once per worker; without one (the
+    default) the text as it is."""
+    c = F.col(text) if isinstance(text, str) else text
+    if load is None:
+        return c
+
+    @F.pandas_udf("string")
+    def applied(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tool = load()
+        for part in parts:
+            yield part.map(tool, na_action="ignore")
+
+    return applied(c)

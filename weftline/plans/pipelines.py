@@ -28,6 +28,22 @@ def rules_from_pages(pages: DataFrame, threshold: float | None = None, keep_term
     return rules.with_source(found, F.col("url"), host_by_slashes("url")).drop("url")
 
 
+def rules_by_similarity(docs: DataFrame, encode, templates: list[str] | None = None, keywords: list[str] | None = None, types=None, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """Sentences with a keyword whose embedding is nearer than ``threshold`` to a
+    template; type by words, quality by similarity. ``encode`` is a model (list
+    of texts -> list of vectors); keywords are tested before it is asked."""
+    from ..functions import lexicons as L
+    from ..operators import semantic
+
+    keys = [c for c in docs.columns if c != text]
+    found = rules.sentence_rows(docs, text).where(rules.contains_any("sentence", keywords or L.KEYWORDS))
+    model = semantic.encoder_udf(encode)
+    rows = docs.sparkSession.createDataFrame([(t,) for t in templates or L.TEMPLATES], "t string").select(model("t").alias("prototype"))
+    found = found.withColumn("embedding", model("sentence"))
+    near = semantic.best_prototype(found, rows, keys=(*keys, "pos", "sentence")).where(F.col("similarity") > threshold)
+    return near.select(*keys, "pos", F.col("sentence").alias("rule_text"), rules.first_type("sentence", types or L.TYPES_A).alias("rule_type"), rules.quality_a(F.col("similarity")).alias("quality_score"), word_count("sentence").alias("word_count"), "similarity")
+
+
 def rules_from_site(pages: DataFrame, advice=None, garments=None, types=None, **lengths) -> tuple[DataFrame, DataFrame]:
     """(rules, statistics) by candidates, the classifier without a model, types
     and scores of the discovery run."""

@@ -19,6 +19,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def need(module: str, hint: str = "") -> None:
+    """Fail on the driver, before a job starts, where a model's library is missing."""
+    import importlib.util
+
+    if importlib.util.find_spec(module) is None:
+        raise RuntimeError(f"{module} is not installed" + (f": {hint}" if hint else ""))
+
+
 def local_session(cpus: int = 8, memory: str = "8g", partitions: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
