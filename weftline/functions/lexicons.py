@@ -84,3 +84,55 @@ CATEGORIES = [
 SEVERITIES = ["low", "medium", "high"]
 PLATFORMS = ["reddit", "web", "forum", "blog"]
 TOPICS = ["menswear", "general_style", "streetwear", "classic_menswear", "workwear", "formalwear", "athleisure", "other"]
+
+# Messages of the cleaner and of the validator
+TOO_SHORT = "Too short: %d words"
+TOO_LONG = "Too long: %d words"
+LOW_QUALITY = "Low quality score: %d"
+IS_PROMOTIONAL = "Contains promotional content"
+IS_NAVIGATIONAL = "Contains navigational content"
+NO_KEYWORDS = "No fashion-related keywords found"
+NO_ADVICE = "No advice indicators found"
+ERROR_CAPITAL = "No capital start"
+ERROR_PUNCTUATION = "No punctuation"
+ERROR_QUESTION = "Contains question"
+ERROR_SHORT = "Too short (%d words)"
+ERROR_LONG = "Too long (%d words)"
+ERROR_PROHIBITED = "Prohibited content"
+ERROR_ADVICE = "No advice indicator"
+ERROR_FASHION = "No fashion terms"
+ERROR_CAPITALS = "Too many capitals (article title)"
+ERROR_JSON = "Failed to parse JSON from response: "
+
+# Prompts
+FORUM_PROMPT = """<s>[INST] {system}
+
+Analyze this Reddit fashion post and extract any fashion rules or advice:
+
+{content}
+
+Return only valid JSON. [/INST]"""
+FORUM_TITLE = "Title: "
+FORUM_POST = "Post Content: "
+FORUM_COMMENT = "Top Comment: "
+WEB_PROMPT = """<s>[INST] {system}
+
+Analyze this text and extract any fashion rules or advice:
+
+{content}
+
+Return only valid JSON. [/INST]"""
+DIGEST_PROMPT = """You are an expert menswear editor. Extract concrete, atomic style rules from this discussion.
+Focus on durable rules (fit, proportion, color, formality), not product shilling.
+
+Post:
+- id: {post_id}
+- title: {title}
+- selftext: {selftext}
+
+Top comments:
+{comments}
+
+For each rule, include at least one citation snippet (<=240 chars) with the comment_id or post_id.
+"""
+STRICT = "\n\nSTRICT: Your previous output did not validate. Reply with VALID JSON ONLY matching the schema. No explanations."

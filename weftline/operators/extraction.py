@@ -6,6 +6,7 @@ deterministic answers where there is no model."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,48 +16,40 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as L
 from ..functions.schemas import DIGEST, EXTRACTION
 from ..functions.text import collapse, cut, salvage_json, strip, truncate, utc_seconds
-from .posts import top_comment_text, top_comments
+from .posts import DELETED, top_comment_text, top_comments
 
 Model = Callable[[list[str]], list[str]]
 
 
-def _join(text: Column, *more: str | Column) -> Column:
-    return F.concat(text, *[F.lit(x) if isinstance(x, str) else x for x in more])
+def filled(template: str, **values: Column) -> Column:
+    """A text with each {name} replaced by a column."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[x] if i % 2 else F.lit(x) for i, x in enumerate(parts) if x])
 
 
 def forum_prompt(title: Column, selftext: Column, comments: Column, system: str = "", text_cut: int = 500, comment_cut: int = 300) -> Column:
     """Title, post and top comment, each cut with dots, as an instruction."""
     body, top = strip(F.coalesce(selftext, F.lit(""))), top_comment_text(comments)
     parts = [
-        F.concat(F.lit("Title: "), strip(F.coalesce(title, F.lit("")))),
-        F.when(body != "", F.concat(F.lit("Post Content: "), truncate(body, text_cut))),
-        F.when(top != "", F.concat(F.lit("Top Comment: "), truncate(top, comment_cut))),
+        F.concat(F.lit(L.FORUM_TITLE), strip(F.coalesce(title, F.lit("")))),
+        F.when(body != "", F.concat(F.lit(L.FORUM_POST), truncate(body, text_cut))),
+        F.when(top != "", F.concat(F.lit(L.FORUM_COMMENT), truncate(top, comment_cut))),
     ]
-    return _join(F.lit(f"<s>[INST] {system}\n\nAnalyze this Reddit fashion post and extract any fashion rules or advice:\n\n"), F.concat_ws("\n\n", *parts), "\n\nReturn only valid JSON. [/INST]")
+    return filled(L.FORUM_PROMPT, system=F.lit(system), content=F.concat_ws("\n\n", *parts))
 
 
 def web_prompt(text: Column, system: str = "") -> Column:
-    return _join(F.lit(f"<s>[INST] {system}\n\nAnalyze this text and extract any fashion rules or advice:\n\n"), text, "\n\nReturn only valid JSON. [/INST]")
+    return filled(L.WEB_PROMPT, system=F.lit(system), content=text)
 
 
 def digest_prompt(post_id: Column, title: Column, selftext: Column, comments: Column, k: int = 16, whole: int = 9000) -> Column:
     """The post and its best comments as one line of at most ``whole``
     characters. Emptied and deleted comments are left out, not replaced."""
     body = lambda c: cut(c["body"], 600)
-    kept = F.filter(top_comments(comments, k), lambda c: (body(c) != "") & (F.lower(body(c)) != "[deleted]"))
-    listed = F.array_join(F.transform(kept, lambda c: F.concat(F.lit("- ("), c["score"].cast("string"), F.lit("↑) ["), F.coalesce(c["comment_id"], F.lit("")), F.lit("] "), body(c))), "\n")
-    text = _join(
-        F.lit("You are an expert menswear editor. Extract concrete, atomic style rules from this discussion.\nFocus on durable rules (fit, proportion, color, formality), not product shilling.\n\nPost:\n- id: "),
-        F.coalesce(post_id, F.lit("")),
-        "\n- title: ",
-        cut(F.coalesce(title, F.lit("")), 300),
-        "\n- selftext: ",
-        cut(F.coalesce(selftext, F.lit("")), 1200),
-        "\n\nTop comments:\n",
-        listed,
-        "\n\nFor each rule, include at least one citation snippet (<=240 chars) with the comment_id or post_id.\n",
-    )
-    return cut(text, whole)
+    kept = F.filter(top_comments(comments, k), lambda c: (body(c) != "") & (F.lower(body(c)) != DELETED))
+    listed = F.transform(kept, lambda c: F.concat(F.lit("- ("), c["score"].cast("string"), F.lit("↑) ["), F.coalesce(c["comment_id"], F.lit("")), F.lit("] "), body(c)))
+    text = lambda c, n: cut(F.coalesce(c, F.lit("")), n)
+    return cut(filled(L.DIGEST_PROMPT, post_id=F.coalesce(post_id, F.lit("")), title=text(title, 300), selftext=text(selftext, 1200), comments=F.array_join(listed, "\n")), whole)
 
 
 def model_udf(model: Model):
@@ -83,7 +76,6 @@ def model_udf(model: Model):
 def stub_model(prompts: list[str]) -> list[str]:
     """Reports each sentence of the prompt's content that has "should" or "never"."""
     import json
-    import re
 
     out = []
     for p in prompts:
@@ -113,7 +105,7 @@ def extract_posts(posts: DataFrame, model: Model = stub_model, system: str = "")
     asked = posts.withColumn("__r", model_udf(model)(forum_prompt(F.col("title"), F.col("selftext"), F.col("comments"), system)))
     rows = asked.withColumn("extraction", parsed_extraction(F.col("__r.answer"))).withColumn("success", F.col("extraction").isNotNull())
     failed = F.col("__r.error").isNull() & ~F.col("success")
-    error = F.when(failed, F.concat(F.lit("Failed to parse JSON from response: "), F.substring("__r.answer", 1, 200))).otherwise(F.col("__r.error"))
+    error = F.when(failed, F.concat(F.lit(L.ERROR_JSON), F.substring("__r.answer", 1, 200))).otherwise(F.col("__r.error"))
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c if c != "category" else "source_category")
     return rows.select(text("post_id"), text("title"), text("category"), text("url"), "extraction", "success", error.alias("error"), F.when(failed, F.substring("__r.answer", 1, 300)).alias("raw_response"))
 
@@ -180,9 +172,6 @@ def digest_errors(rule_type: Column, categories: Column, confidence: Column, cit
     return F.filter(F.array(*[F.when(c, F.lit(m)) for c, m in checks]), lambda x: x.isNotNull())
 
 
-STRICT = "\n\nSTRICT: Your previous output did not validate. Reply with VALID JSON ONLY matching the schema. No explanations."
-
-
 def digest_udf(model: Model, retries: int = 1):
     """Ask, and ask again with an added demand while the answer isn't a digest;
     null after the last attempt."""
@@ -206,7 +195,7 @@ def digest_udf(model: Model, retries: int = 1):
                     break
                 for i, answer in zip(left, model([prompts[i] for i in left]), strict=True):
                     out[i] = answer if valid(answer) else None
-                    prompts[i] += STRICT
+                    prompts[i] += L.STRICT
             yield pd.Series(out)
 
     return asked

@@ -60,13 +60,13 @@ def rejection_reasons(text: Column | str, quality: Column, min_words: int = 5, m
     def judged(row: Column) -> Column:
         low, n, q = row["low"], row["n"], row["q"]
         checks = [
-            (n < min_words, F.format_string("Too short: %d words", n)),
-            (n > max_words, F.format_string("Too long: %d words", n)),
-            (q < min_quality, F.format_string("Low quality score: %d", q)),
-            (matches_any(low, promotional), F.lit("Contains promotional content")),
-            (matches_any(low, navigational), F.lit("Contains navigational content")),
-            (~contains_any(low, required, False), F.lit("No fashion-related keywords found")),
-            (~contains_any(low, advice, False), F.lit("No advice indicators found")),
+            (n < min_words, F.format_string(L.TOO_SHORT, n)),
+            (n > max_words, F.format_string(L.TOO_LONG, n)),
+            (q < min_quality, F.format_string(L.LOW_QUALITY, q)),
+            (matches_any(low, promotional), F.lit(L.IS_PROMOTIONAL)),
+            (matches_any(low, navigational), F.lit(L.IS_NAVIGATIONAL)),
+            (~contains_any(low, required, False), F.lit(L.NO_KEYWORDS)),
+            (~contains_any(low, advice, False), F.lit(L.NO_ADVICE)),
         ]
         return F.filter(F.array(*[F.when(c, m) for c, m in checks]), lambda r: r.isNotNull())
 
@@ -81,15 +81,15 @@ def first_error(text: Column | str, count: Column | None = None, min_words: int
         t, n = row["t"], row["n"]
         upper = F.size(F.filter(words(t), lambda w: w.rlike(r"^\p{IsUppercase}")))
         return (
-            F.when(~t.rlike(r"^\p{IsUppercase}"), "No capital start")
-            .when(~t.rlike(r"[.!]\z"), "No punctuation")
-            .when(t.contains("?"), "Contains question")
-            .when(n < min_words, F.format_string("Too short (%d words)", n))
-            .when(n > max_words, F.format_string("Too long (%d words)", n))
-            .when(matches_any(t, prohibited), "Prohibited content")
-            .when(~contains_any(t, advice), "No advice indicator")
-            .when(~contains_any(t, fashion), "No fashion terms")
-            .when(upper > n * capitals, "Too many capitals (article title)")
+            F.when(~t.rlike(r"^\p{IsUppercase}"), L.ERROR_CAPITAL)
+            .when(~t.rlike(r"[.!]\z"), L.ERROR_PUNCTUATION)
+            .when(t.contains("?"), L.ERROR_QUESTION)
+            .when(n < min_words, F.format_string(L.ERROR_SHORT, n))
+            .when(n > max_words, F.format_string(L.ERROR_LONG, n))
+            .when(matches_any(t, prohibited), L.ERROR_PROHIBITED)
+            .when(~contains_any(t, advice), L.ERROR_ADVICE)
+            .when(~contains_any(t, fashion), L.ERROR_FASHION)
+            .when(upper > n * capitals, L.ERROR_CAPITALS)
         )
 
     return bind(judged, t=whole, n=word_count(whole) if count is None else F.coalesce(count, word_count(whole)))
