@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -186,7 +187,7 @@ def _segmented(size: int, parts: int):
         rows = []
         for p, x in _by((key[keep] % U(parts)).astype(np.int64)):
             own = keep[x]
-            rows.append((0, p, 0, SEGMENTS.pack(key[own], owner[own], start[own], count[own]), b"".join(bodies[i] for i in own)))
+            rows.append((0, p, 0, SEGMENTS.pack(key[own], owner[own], start[own], count[own]), zstandard.compress(b"".join(bodies[i] for i in own), 1)))
         rows += [(1, 0, i, GONE.pack(start[drop[own]], count[drop[own]]), None) for i, own in _by(owner[drop])]
         return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["kind", "part", "id", "payload", "bytes"])
 
@@ -342,6 +343,7 @@ def _sharded(size: int):
         count, start = count.astype(np.int64), start.astype(np.int64)
         bodies = []
         for blob, data in zip(blobs, table.column("bytes").to_pylist(), strict=True):
+            data = zstandard.decompress(data)
             ends = np.cumsum(SEGMENTS.unpack(blob)[3].astype(np.int64) + size - 1).tolist()
             bodies += [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         rank = np.empty(len(key), np.int64)
