@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, code_point_chunks, encoded, filled, first_by_hash, mix, per_text
+from .common import Rolling, code_point_chunks, encoded, filled, first_by_hash, mix
 
 BITS = 15
 GRAMS = (1, 2, 3, 4)
@@ -54,22 +54,26 @@ def folded(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(texts)
 
 
-def gram_buckets(units: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each n: the bucket at every position, and whether the n-gram ends in its text."""
+def gram_buckets(units: np.ndarray) -> list[np.ndarray]:
+    """For each n: the bucket of the n-gram that starts at each place."""
     rolling, n = Rolling(units), len(units)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
     out = []
     for k in GRAMS:
-        if n >= k:
-            at = np.arange(n - k + 1)
-            out.append(((mix(rolling.raw(at, at + k) + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.int64), at + k <= ends[at]))
+        at = np.arange(max(0, n - k + 1))
+        out.append((mix(rolling.raw(at, at + k) + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.int64))
     return out
 
 
+def gram_counts(buckets: list[np.ndarray], start: int, end: int) -> np.ndarray:
+    """How often each bucket occurs among the n-grams inside [start, end)."""
+    own = [b[start : max(start, end - k + 1)] for k, b in zip(GRAMS, buckets, strict=True)]
+    return np.bincount(np.concatenate(own), minlength=1 << BITS)
+
+
 def _sparse(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = [b[ok] for b, ok in gram_buckets(units, np.array([0, len(units)]))]
-    own, counts = np.unique(np.concatenate(found), return_counts=True)
-    return own, (counts / counts.sum()).astype(np.float32)
+    counts = gram_counts(gram_buckets(units), 0, len(units))
+    own = np.flatnonzero(counts)
+    return own, (counts[own] / counts.sum()).astype(np.float32)
 
 
 def _fit(batches):
@@ -139,12 +143,12 @@ def predict_language(docs: DataFrame, model: bytes | None, text: str = "text", m
                 letter[:] = False
             else:
                 for first, last, units, offsets in code_point_chunks(folded(texts), 1 << 19):
-                    sums, n = np.zeros((last - first, len(held["bias"]))), np.zeros(last - first)
-                    for buckets, ok in gram_buckets(units, offsets):
-                        starts, ends = np.minimum(offsets[:-1], len(ok)), np.minimum(offsets[1:], len(ok))
-                        sums += per_text(held["table"][buckets] * ok[:, None], starts, ends)
-                        n += per_text(ok, starts, ends)
-                    bits = sums / np.maximum(n, 1)[:, None] + held["bias"]
+                    buckets, bits = gram_buckets(units), np.zeros((last - first, len(held["bias"])))
+                    for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                        if b > a:
+                            counts = gram_counts(buckets, a, b).astype(np.float32)
+                            bits[i] = counts @ held["table"] / counts.sum()
+                    bits += held["bias"]
                     loss = np.stack([(np.logaddexp(0, -bits * row) * held["weight"]).sum(1) for row in held["code"]], 1)
                     near = np.exp(-8 * (loss - loss.min(1, keepdims=True)))
                     near /= near.sum(1, keepdims=True)
