@@ -54,9 +54,14 @@ def materialize(df: DataFrame) -> DataFrame:
     _made.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     del df
+    release(spark)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return out
 
 
 def first_by_hash(rows: DataFrame, n: int, *ties: str, mark: str = "mark") -> DataFrame:

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, byte_chunks, encoded, materialize, mix
+from .common import Rolling, byte_chunks, encoded, materialize, mix, release
 
 U = np.uint64
 GRAM = 24
@@ -372,15 +372,22 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     copies = materialize(marks.join(materialize(firsts), "mark").where("id <> first").select("id").distinct())
     listed = source.mapInArrow(_listed(size, parts), "part long, payload binary")
     runs = listed.groupBy("part").applyInArrow(_repeated, "id long, payload binary")
-    runs = runs.join(copies, "id", "left_anti").groupBy("id").agg(F.collect_list("payload").alias("runs"))
+    runs = materialize(runs.join(copies, "id", "left_anti").groupBy("id").agg(F.collect_list("payload").alias("runs")))
+    del listed, marks, firsts
+    release(spark)
     # of rows that share an id, equal ones, one is enough
-    texts = source.join(materialize(runs), "id").dropDuplicates(["id"])
+    texts = source.join(runs, "id").dropDuplicates(["id"])
     shape = "kind long, part long, id long, payload binary, bytes binary"
     cut = materialize(texts.mapInArrow(_segmented(size, parts), shape))
+    del texts, runs
+    release(spark)
     gone = cut.where("kind = 0").select("part", "payload", "bytes").groupBy("part").applyInArrow(_sharded(size), "id long, payload binary")
     gone = gone.unionByName(cut.where("kind = 1").select("id", "payload")).groupBy("id").agg(F.collect_list("payload").alias("gone"))
     copied = copies.select("id", F.lit(None).cast("array<binary>").alias("gone"), F.lit(True).alias("copy"))
-    return materialize(gone.withColumn("copy", F.lit(False)).unionByName(copied))
+    result = materialize(gone.withColumn("copy", F.lit(False)).unionByName(copied))
+    del gone, cut
+    release(spark)
+    return result
 
 
 def spans(n: int, blobs: list[bytes] | None, copy: bool | None, size: int) -> np.ndarray:
