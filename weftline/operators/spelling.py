@@ -5,14 +5,20 @@ through deletion variants, not by comparing it with the whole dictionary."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.lexicons import SKIP_WORDS
 from ..functions.text import preserve_case, tokens
+from ..tables import settle
 
 
 def token_rows(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -26,15 +32,53 @@ def unknown_words(found: DataFrame, dictionary: DataFrame, skip: list[str] | Non
     return words.join(dictionary.select("word"), "word", "left_anti")
 
 
-def deletions(word: Column | str, edits: int = 2) -> Column:
-    """The word and all its variants with up to ``edits`` characters less."""
-    w = F.col(word) if isinstance(word, str) else word
-    less = lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
-    out, last = F.array(w), F.array(w)
-    for _ in range(edits):
-        last = F.array_distinct(F.flatten(F.transform(last, less)))
-        out = F.array_distinct(F.concat(out, last))
-    return out
+#: Slots of 64 bits of the filter of marks: a fixed size, so with more marks it only lets more pass.
+SLOTS = 1 << 19
+
+
+def mark_filter(dictionary: DataFrame, edits: int) -> Broadcast:
+    """A bit for each mark of the dictionary, by the mark's highest 25 bits."""
+    marks = dictionary.select(F.explode(deletion_marks(edits)("word")).alias("mark"))
+    bit = F.expr("shiftleft(cast(1 as bigint), cast(shiftrightunsigned(mark, 39) & 63 as int))")
+    found = marks.groupBy(F.shiftrightunsigned("mark", 45).cast("int").alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(SLOTS, np.uint64)
+    bits[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return dictionary.sparkSession.sparkContext.broadcast(bits)
+
+
+def deletion_marks(edits: int = 2, among: Broadcast | None = None):
+    """Of each word, 64-bit marks of the word and of all its variants with up to
+    ``edits`` characters less. Equal variants have equal marks; pairs that meet
+    on a mark are compared, so unequal variants with one mark do no harm. Marks
+    that a filter rules out are left away."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def marks(words: pa.Array) -> pa.Array:
+        found = words.to_pylist()
+        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(found)
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(found):
+            by_length.setdefault(len(w or ""), []).append(i)
+        for n, at in by_length.items():
+            codes = np.frombuffer("".join(found[i] or "" for i in at).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), n).astype(np.uint64)
+            codes = (codes + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            codes ^= codes >> np.uint64(29)
+            powers = np.cumprod(np.full(n + 1, 0xD6E8FEB86659FD93, np.uint64))
+            keep = [k for d in range(min(edits, n) + 1) for k in itertools.combinations(range(n), n - d)]
+            sums = np.empty((len(at), len(keep)), np.uint64)
+            for k, columns in enumerate(keep):
+                sums[:, k] = (codes[:, list(columns)] * powers[: len(columns)]).sum(1, dtype=np.uint64)
+            sums.sort(1)
+            first = np.ones(sums.shape, bool)
+            first[:, 1:] = sums[:, 1:] != sums[:, :-1]
+            if among is not None:
+                first &= (among.value[sums >> np.uint64(45)] >> ((sums >> np.uint64(39)) & np.uint64(63))) & np.uint64(1) == 1
+            for i, row, own in zip(at, sums.view(np.int64), first, strict=True):
+                out[i] = row[own]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out) if out else np.empty(0, np.int64), pa.int64()))
+
+    return marks
 
 
 def edit_count(word: Column, other: Column) -> Column:
@@ -42,18 +86,27 @@ def edit_count(word: Column, other: Column) -> Column:
     neighbours is one edit. More than two is 3."""
     places = lambda x: F.sequence(F.lit(1), F.greatest(F.length(x) - 1, F.lit(1)))
     swap = lambda x, i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.lit(1)), F.substring(x, i, F.lit(1)), F.substring(x, i + 2, F.length(x)))
-    plain = F.levenshtein(word, other)
-    once = F.transform(places(word), lambda i: swap(word, i))
-    near = F.array_min(F.transform(once, lambda s: F.levenshtein(s, other))) + 1
-    twice = F.exists(once, lambda s: F.exists(places(s), lambda j: swap(s, j) == other))
-    return F.when(plain <= 1, plain).when(F.least(plain, near) <= 2, F.least(plain, near)).when(twice, 2).otherwise(3)
+    # an exchange counts two in the plain distance, so only 2, 3 and 4 can hold one
+    plain = F.levenshtein(word, other, 4)
+    once = lambda x: F.transform(places(x), lambda i: swap(x, i))
+    same = F.exists(once(word), lambda s: s == other)
+    # beside another edit the exchange may come first or, seen from the other word, last
+    near = F.exists(once(word), lambda s: F.levenshtein(s, other) == 1) | F.exists(once(other), lambda s: F.levenshtein(word, s) == 1)
+    twice = F.exists(once(word), lambda s: F.exists(places(s), lambda j: swap(s, j) == other))
+    found = F.when((plain >= 0) & (plain <= 1), plain).when(plain == 2, F.when(same, 1).otherwise(2))
+    # an exchange leaves the letters as they are: a cheap test before the places are tried
+    letters = lambda x: F.array_join(F.sort_array(F.split(x, "")), "")
+    alike = F.levenshtein(letters(word), letters(other)) + F.abs(F.length(word) - F.length(other)) <= 2
+    return found.when((plain == 3) & alike & near, 2).when((plain == 4) & (letters(word) == letters(other)) & twice, 2).otherwise(3)
 
 
 def corrections(unknown: DataFrame, dictionary: DataFrame, edits: int = 2) -> DataFrame:
     """(word, correction): least edits, then highest freq, then first by letter."""
-    left = unknown.select("word", F.explode(deletions("word", edits)).alias("variant"))
-    right = dictionary.select(F.col("word").alias("correction"), "freq", F.explode(deletions("word", edits)).alias("variant"))
-    pairs = left.join(right, "variant").select("word", "correction", "freq").distinct()
+    dictionary = settle(dictionary.select("word", "freq"))
+    marks, near = deletion_marks(edits), deletion_marks(edits, mark_filter(dictionary, edits))
+    left = unknown.select("word", F.explode(near("word")).alias("variant"))
+    right = dictionary.select(F.col("word").alias("correction"), "freq", F.explode(marks("word")).alias("variant"))
+    pairs = left.join(right.hint("shuffle_hash"), "variant").select("word", "correction", "freq").distinct()
     pairs = pairs.withColumn("edits", edit_count(F.col("word"), F.col("correction"))).where(F.col("edits") <= edits)
     rank = F.row_number().over(Window.partitionBy("word").orderBy("edits", F.desc("freq"), "correction"))
     return pairs.withColumn("rank", rank).where("rank = 1").select("word", "correction")

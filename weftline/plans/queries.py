@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import dedupe, extraction, posts, rules, semantic, spelling, web
 from ..session import prepare
-from ..tables import spread
+from ..tables import settle, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -676,6 +676,15 @@ def token_spelling(spark, sf_dir):
     return spelling.corrections(rare, known, edits=1)
 
 
+@query()
+def token_spelling_two(spark, sf_dir):
+    """As token_spelling, within the operator's own two edits. Blocks by the
+    first or last letter would lose pairs here, so there is no SQL."""
+    counts = settle(word_counts(spark, sf_dir))
+    known = counts.where("n >= 40").select("word", F.col("n").alias("freq"))
+    return spelling.corrections(counts.where("n < 40").select("word"), known)
+
+
 @query()
 def topic_terms(spark, sf_dir):
     from ..operators.topics import topic_terms as terms
