@@ -573,7 +573,7 @@ def part_rules(spark, sf_dir) -> DataFrame:
 
 @query()
 def fuzzy_dedupe_seq(spark, sf_dir):
-    return dedupe.fuzzy_dedupe(part_rules(spark, sf_dir))
+    return dedupe.fuzzy_dedupe(rule_rows(spark, sf_dir).select("pos", "rule_text"))
 
 
 LEV = f"""with recursive u as (select min(p_partkey) as pos, norm, row_number() over (order by min(p_partkey)) as k
