@@ -30,3 +30,25 @@ def test_scan(spark, odd, empty):
             assert abs(hit[0].probability - p[best]) < 1e-9
     assert scan_licences(odd, model).count() == 0 and scan_licences(empty, model).count() == 0
     assert fit_licences(empty).probabilities("")[NONE] > 0.5
+
+
+def test_wrapped_notices(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+    bsd = """Redistribution and use in source and binary
+forms, with or without modification,
+are permitted provided that the following
+conditions are met:"""
+    prose = "\n".join(PLAIN[i % 3] for i in range(80))
+    rows = [(1, mit), (2, bsd), (3, f"{prose}\n{bsd}\n{prose}"), (4, prose), (5, mit.replace("\n", "\r\n"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.paragraph, r.family) for r in scan_licences(df, fit_licences(df)).collect() if r.confirmed}
+    assert got == {(1, 4, "MIT"), (2, 0, "BSD"), (3, 0, "BSD"), (5, 4, "MIT")}

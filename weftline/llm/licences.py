@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier over sparse word n-grams.
 
-Paragraphs (lines) become sets of word 1- to 3-grams; a multinomial logistic
+Paragraphs (lines, and runs of non-blank lines joined, as notices are often
+wrapped) become sets of word 1- to 3-grams; a multinomial logistic
 regression gives each licence family, an ``unknown`` licence and ``none`` a
 probability. It is trained here, from the notices below (whole, by sentence and
 with words left out), from notices of made-up licences for the unknown class,
@@ -27,7 +28,7 @@ import itertools
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bound, first_by_hash
@@ -225,27 +226,50 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ne
     return Model([r.line for r in lines.orderBy(F.xxhash64("line"), "line").limit(negatives).collect()])
 
 
+def runs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Runs of non-blank lines: the index of the first line, and the lines."""
+    rows = docs.select(F.col(id_col).alias("__id"), F.split(F.col(text), "\n").alias("all"))
+    full = rows.withColumn("full", F.transform("all", lambda x: x.rlike(r"\S")))
+    edge = lambda step: F.filter(F.transform("full", lambda x, i: F.when(x & ~F.coalesce(F.get("full", i + step), F.lit(False)), i)), lambda i: i.isNotNull())
+    both = full.select("__id", "all", F.explode(F.arrays_zip(edge(-1).alias("first"), edge(1).alias("last"))).alias("e"))
+    found = both.select("__id", F.col("e.first").alias("run"), F.slice("all", F.col("e.first") + 1, F.col("e.last") - F.col("e.first") + 1).alias("lines"))
+    return found.withColumn("run_mark", F.xxhash64("lines"))
+
+
 def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", sure: float = 0.5, confirm: float = 0.6) -> DataFrame:
     """(id_col, paragraph, family, probability, similarity, confirmed, chars): a
-    row for each paragraph whose most likely class is not ``none``."""
+    row for each line whose most likely class is not ``none``, and one for each
+    run of lines that is confirmed for a family by its lines joined but by none
+    alone (by a notice of three 2-grams or more: fewer meet by chance in a run); it replaces the lines that hint at that family unconfirmed.
+    ``paragraph`` is the index of the line, or of the first line of the run."""
     spark: SparkSession = docs.sparkSession
     kinds = model.classes
-    lines = paragraphs(docs, id_col, text)
+    found_runs = runs(docs, id_col, text)
+    keys = ["__id", "run", "run_mark"]
+    single = found_runs.select(*keys, F.posexplode("lines").alias("at", "line"))
+    single = single.select(*keys, (F.col("run") + F.col("at")).alias("paragraph"), F.lit(-1).alias("part"), F.xxhash64("line").alias("mark"), F.length("line").alias("chars"), paragraph_words(F.col("line")).alias("words"))
+    # joined lines in overlapping parts: a stretch of words as long as any notice lies whole in one of them
+    span = 2 * max(len(words_of(notice)) for own in NOTICES.values() for notice in own)
+    joined = found_runs.where(F.size("lines") > 1).select(*keys, F.array_join("lines", " ").alias("line"))
+    joined = joined.select(*keys, F.length("line").alias("chars"), paragraph_words(F.col("line")).alias("all"))
+    joined = joined.select(*keys, "chars", "all", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("all") - 1) / F.lit(span)).cast("int") - 1))).alias("part"))
+    joined = joined.select(*keys, F.col("run").alias("paragraph"), "part", F.col("run_mark").alias("mark"), "chars", F.slice("all", F.col("part") * span + 1, F.lit(2 * span)).alias("words"))
+    lines = single.unionByName(joined)
     content = F.array(*[F.lit(w) for w in model.content])
-    lines = lines.where(F.arrays_overlap(paragraph_words(F.col("line")), content))
+    lines = lines.where(F.arrays_overlap("words", content))
 
     def grams(w: Column, n: int) -> Column:
         whole = lambda x, i: F.when(~x.isin(COMMON) & (i + n <= F.size(w)), F.concat_ws(" ", F.slice(w, i + 1, F.lit(n))))
         return F.filter(F.transform(w, whole), lambda g: g.isNotNull())
 
     known = F.array(*[F.lit(g) for g in model.of])
-    found = bound(paragraph_words(F.col("line")), lambda w: F.array_intersect(F.concat(grams(w, 1), grams(w, 2), grams(w, 3)), known))
+    found = bound(F.col("words"), lambda w: F.array_intersect(F.concat(grams(w, 1), grams(w, 2), grams(w, 3)), known))
     lines = lines.withColumn("grams", found)
     names = [f"w{i}" for i in range(len(kinds))]
     table = [(g, *[float(x) for x in model.weights[i]]) for g, i in model.of.items()]
     weights = spark.createDataFrame(table, "gram string, " + ", ".join(f"{n} double" for n in names))
-    row = ["__id", "paragraph", "mark", "chars"]
-    hits = lines.select("__id", "paragraph", F.xxhash64("line").alias("mark"), F.length("line").alias("chars"), F.explode("grams").alias("gram")).distinct()
+    row = [*keys, "paragraph", "part", "mark", "chars"]
+    hits = lines.select(*row, F.explode("grams").alias("gram")).distinct()
     hits = hits.join(F.broadcast(weights), "gram")  # a row for each n-gram of the notices: a fixed size
     summed = hits.groupBy(*row).agg(F.collect_list(F.when(F.size(F.split("gram", " ")) == 2, F.col("gram"))).alias("pairs"), *[F.sum(n).alias(n) for n in names])
     logits = F.array(*[F.col(n) + F.lit(float(b)) for n, b in zip(names, model.bias, strict=True)])
@@ -255,8 +279,16 @@ def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: s
     scored = summed.withColumn("family", F.element_at(F.array(*[F.lit(c) for c in kinds]), best)).withColumn("probability", F.array_max("p")).where(F.col("family") != NONE)
     # comparison with each notice of the family: the share of its 2-grams that are found
     notices = [(name, sorted(grams_of(words_of(notice), (2,)))) for name, own in NOTICES.items() for notice in own]
-    shares = [F.when(F.col("family") == name, F.size(F.array_intersect("pairs", F.array(*[F.lit(g) for g in own]))) / F.lit(float(len(own)))) for name, own in notices if own]
+    shares = [F.when((F.col("family") == name) & ((F.col("part") < 0) | F.lit(len(own) > 2)), F.size(F.array_intersect("pairs", F.array(*[F.lit(g) for g in own]))) / F.lit(float(len(own)))) for name, own in notices if own]
     scored = scored.withColumn("similarity", F.coalesce(F.greatest(*shares), F.lit(0.0)))
     confirmed = (F.col("family") != UNKNOWN) & (F.col("probability") >= sure) & (F.col("similarity") >= confirm)
-    out = scored.withColumn("confirmed", confirmed).withColumn("family", F.when(confirmed, F.col("family")).otherwise(UNKNOWN))
+    scored = scored.withColumn("confirmed", confirmed).where((F.col("part") < 0) | F.col("confirmed"))
+    # in a run, for each likeliest family: a line that is confirmed stands before the joined lines, these before hints
+    own = Window.partitionBy(*keys, "family")
+    by_line, by_run = F.max(F.col("confirmed") & (F.col("part") < 0)).over(own), F.max(F.col("part") >= 0).over(own)
+    first = F.row_number().over(own.orderBy(F.desc(F.col("part") >= 0), F.desc("similarity"), F.desc("probability"), "part"))
+    kept = scored.select("*", by_line.alias("by_line"), by_run.alias("by_run"), first.alias("first"))
+    kept = kept.where(F.when(F.col("part") < 0, F.col("confirmed") | F.col("by_line") | ~F.col("by_run")).otherwise(~F.col("by_line") & (F.col("first") == 1)))
+    out = kept.withColumn("family", F.when(F.col("confirmed"), F.col("family")).otherwise(UNKNOWN))
+    out = out.withColumn("joined", F.col("part") >= 0).dropDuplicates(["__id", "paragraph", "joined", "mark", "chars", "family"])
     return out.select(F.col("__id").alias(id_col), "paragraph", "family", "probability", "similarity", "confirmed", "chars")
