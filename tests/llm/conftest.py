@@ -7,7 +7,7 @@ ODD = [None, "", "   ", "\n\n\t", "é", "a", "½ — 𝒳   ", "word " * 4000
 @pytest.fixture
 def odd(spark):
     """Odd texts with an id each but for one null id, a repeated row, and columns whose names could clash."""
-    names = ["id", "key", "score", "lang", "fp", "label", "copies", "mark", "__id"]
+    names = ["id", "key", "score", "lang", "fp", "label", "copies", "mark", "__id", "removed_lines", "lang_pred", "ambiguous", "line", "__lines", "start", "length", "offset", "size", "target", "rate", "taken", "class", "block", "spots", "fingerprint", "component", "paragraph", "family", "gone", "copy"]
     rows = [(i, t, "en" if i % 2 else None, "s" if i % 3 else None, len(t or "")) for i, t in enumerate(ODD)]
     rows += [rows[-1], (None, "a row without an id", "en", None, 19)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

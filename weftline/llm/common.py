@@ -24,19 +24,26 @@ CHUNK = 1 << 19
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a
-    folder of our own where that is unset (local sessions only)."""
+    folder of our own where that is unset, in local sessions only: on a cluster
+    executors would each write to their own disk."""
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (found or f"file://{tempfile.gettempdir()}/weftline-checkpoints").rstrip("/")
 
 
 _made: list[tuple[SparkSession, str]] = []
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _remove_made() -> None:
     for spark, path in _made:
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _remove(spark, path)
         except Exception:  # the session may have ended before the interpreter
             return
 
@@ -58,6 +65,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def drop_table(df: DataFrame) -> None:
+    """Remove a table that materialize() wrote and that no plan reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        for spark, own in list(_made):
+            if path.rstrip("/").endswith(own.rsplit("/", 1)[-1]):
+                _made.remove((spark, own))
+                _remove(spark, own)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()
@@ -67,12 +83,13 @@ def release(spark: SparkSession) -> None:
 def first_by_hash(rows: DataFrame, n: int, *ties: str, mark: str = "mark") -> DataFrame:
     """The n rows of the smallest hash (a column of longs, read as unsigned; then
     by ``ties``), in order. So that tasks don't each send n rows to the one that
-    sorts, rows of a large hash are passed over first: as many small ones stay
-    as n is sure to lie among, whatever the size of the table."""
+    sorts, rows of a large hash are passed over first where n rows have a small one."""
     small = F.shiftrightunsigned(F.col(mark), 1)
     total = rows.count()
     if total > 8 * n:
-        rows = rows.where(small < int((1 << 63) * (4 * n + 100) / total))
+        few = rows.where(small < int((1 << 63) * (4 * n + 100) / total))
+        if few.limit(n).count() == n:  # not so where a few hashes have most rows
+            rows = few
     return rows.orderBy(small, *ties).limit(n)
 
 
@@ -150,6 +167,68 @@ class Rolling:
         return mix((self.sums[k:] - self.sums[:-k]) * self.inverse[: len(self.sums) - k])
 
 
+#: Modulus of the residue hashes.
+PRIME = (1 << 31) - 1
+#: Four bases modulo PRIME; together the hashes have 124 bits.
+BASES = (1103515245, 1812433253, 69069 * 29, 747796405)
+
+_residues: dict[int, np.ndarray] = {}
+
+
+def residue_powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo PRIME."""
+    have = _residues.get(base)
+    if have is None or len(have) < n:
+        have = np.ones(1, np.uint64)
+        while len(have) < max(n, 1 << 16):
+            have = np.concatenate([have, have * np.uint64(pow(base, len(have), PRIME)) % np.uint64(PRIME)])
+        if n <= 8 * CHUNK:
+            _residues[base] = have
+    return have[:n]
+
+
+class Residues:
+    """Polynomial hashes modulo a prime by four bases, for keys that decide what
+    is compared: unlike Rolling's, which are modulo a power of two, they have no
+    strings of a simple rule that collide. Each gives an array per base."""
+
+    def __init__(self, units: np.ndarray):
+        n, prime = len(units), np.uint64(PRIME)
+        self.sums, self.inverse = [], [residue_powers(pow(b, -1, PRIME), n + 1) for b in BASES]
+        for b in BASES:
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((units.astype(np.uint64) + np.uint64(1)) * residue_powers(b, n) % prime, out=sums[1:])
+            self.sums.append(sums % prime)
+
+    def raw(self, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        prime = np.uint64(PRIME)
+        return [(s[end] + prime - s[start]) % prime * i[start] % prime for s, i in zip(self.sums, self.inverse, strict=True)]
+
+    def joined(self, start: np.ndarray, cut: np.ndarray, go_on: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        """Hashes of [start, cut) with [go_on, end) right behind it."""
+        prime, shift = np.uint64(PRIME), cut - start
+        step = [residue_powers(b, int(shift.max(initial=0)) + 1)[shift] for b in BASES]
+        return [(a + b * s % prime) % prime for a, b, s in zip(self.raw(start, cut), self.raw(go_on, end), step, strict=True)]
+
+
+def packed_residues(h: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Four residues as two longs."""
+    return h[0] << np.uint64(32) | h[1], h[2] << np.uint64(32) | h[3]
+
+
+def text_mark(text: Column) -> Column:
+    """60 bits of a text's SHA-256: what tells rows apart that share an id."""
+    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def per_text(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of values over [start, end) of each text."""
     sums = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
