@@ -12,12 +12,6 @@ from weftline.llm.packing import Line, encoder, hilbert_keys, pack
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def reference():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
-
-
 def test_hilbert_is_a_curve():
     for bits, d in ((1, 2), (3, 2), (2, 4), (3, 3)):
         grid = np.array(list(itertools.product(range(1 << bits), repeat=d)))
@@ -26,13 +20,13 @@ def test_hilbert_is_a_curve():
         assert (np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(1) == 1).all()
 
 
-TOKENIZER = reference()
+TOKENIZER = Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.one_of(st.text(max_size=80), st.text(alphabet="a 'sté\n\t1<|endoftext>½", max_size=60)))
+@given(st.one_of(st.text(max_size=80), st.text(alphabet="a 'sté\n\t1<|endoftext>½", max_size=60), st.lists(st.sampled_from(["<|endoftext|>", "abc", " ", "\n ", "<|endof", "text|>"]), max_size=8).map("".join)))
 def test_ids_equal_the_tokenizer(text):
-    assert encoder(PATH).encode_ordinary(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert encoder(PATH)(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 def check(rows, docs):

@@ -9,8 +9,11 @@ number of shards. So shards are cut by content instead: every window holds at
 least one anchor, its least hashed 24-gram, and equal windows have equal
 anchors at equal places. A first pass lists the anchors of all texts (one for
 some 39 bytes); windows whose anchor occurs once in the corpus can't repeat and
-end there. The rest, with the bytes they cover, go to the shard of the 62 bytes
-that their anchor fixes, where every equal window goes too.
+end there. Runs of windows of one anchor that are equal byte for byte (by BLAKE2b)
+are merged there too: the earliest goes on, the windows of the others are gone.
+What is left, with the bytes it covers, goes to the shard of the 62 bytes that
+its anchor fixes, where every equal window goes too. The number of shards follows
+the bytes of the input.
 
 In a shard. Segments are laid end to end and their suffixes sorted by
 Larsson-Sadakane refinement in numpy: first by 8 bytes, then, only inside groups
@@ -20,12 +23,13 @@ A shard that is too large for one array is cut into several, whose sorted
 distinct windows are merged by binary search of each in those before it.
 
 Equal texts are settled before (a later copy repeats an earlier text in full),
-and equal segments of one batch are sent once, so that a text or passage with
-very many copies never meets in one task.
+and equal runs of a batch of texts are listed once, so that a text or passage
+with very many copies is a row a batch where it meets.
 
 Defined results: null and empty texts have no windows; a row with a null id
-loses nothing and removes nothing; rows that share an id count as one text if
-equal (and if not, matches between them go unnoticed in either direction).
+loses nothing and removes nothing; equal rows count as one text; rows that share
+an id and differ in text are documents of their own, in the order of their
+texts' SHA-256.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, byte_chunks, encoded, materialize, mix, release
+from .common import Rolling, byte_chunks, drop_table, encoded, materialize, mix, release, text_mark
 
 U = np.uint64
 GRAM = 24
@@ -47,22 +51,24 @@ GRAM = 24
 ARRAY = 1 << 17
 #: Bytes of segments that are held before they are sent.
 HELD = 1 << 24
+#: Bytes of the input to a shard, about.
+PART = 1 << 24
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """Runs of windows that share an anchor: (hash of the anchor, its position,
     the first window's distance before it, windows of the run, 32-bit hashes of
-    the anchor with what lies before and with what lies behind it). A window
-    reaches so far beyond its anchor on one side at least; a hash is 0 where no
-    window of the run reaches as far on that side."""
+    the anchor with what lies before and with what lies behind it, 96 bits of
+    BLAKE2b of the run). A window reaches so far beyond its anchor on one side at
+    least; a hash is 0 where no window of the run reaches as far on that side."""
     width, n = size - GRAM + 1, len(data)
     none = np.zeros(0, np.int64)
     if n < size:
-        return none.view(U), none, none, none, none, none
+        return none.view(U), none, none, none, none, none, none.view(U), none
     ends = np.repeat(offsets[1:], np.diff(offsets))
     valid = np.flatnonzero(np.arange(n) + size <= ends)
     if not len(valid):
-        return none.view(U), none, none, none, none, none
+        return none.view(U), none, none, none, none, none, none.view(U), none
     r, reach = Rolling(data), (size - GRAM) // 2
     grams = r.windows(GRAM)
     least = np.empty(n - size + 1, np.int64)
@@ -85,7 +91,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     for at, some in ((place - reach, first <= place - reach), (place, first + count > place - reach + 1)):
         at = np.where(some, at, 0)
         sides.append(np.where(some, mix(r.raw(at, at + GRAM + reach)) >> U(32) | U(1), U(0)))
-    return grams[place], place, place - first, count, *sides
+    view = memoryview(np.ascontiguousarray(data))
+    told = b"".join(hashlib.blake2b(view[a:b], digest_size=12).digest() for a, b in zip(first.tolist(), (first + count + size - 1).tolist(), strict=True))
+    body = np.frombuffer(told, np.dtype([("a", "<u8"), ("b", "<u4")]))
+    return grams[place], place, place - first, count, *sides, body["a"], body["b"]
 
 
 class Blob:
@@ -110,10 +119,18 @@ class Blob:
         return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in self.kinds]
 
 
-ANCHORS = Blob("u8", "i8", "u4", "u1", "u1", "u4", "u4")  # hash, id, place, windows before, windows, both sides
+#: hash, id, mark, place, windows before, windows, both sides, body
+ANCHORS = Blob("u8", "i8", "i8", "u4", "u1", "u1", "u4", "u4", "u8", "u4")
 RUNS = Blob("u4", "u1", "u1", "u1")  # place, windows before, windows, sides that repeat
 GONE = Blob("u4", "u1")  # first window, windows
-SEGMENTS = Blob("u8", "i8", "u4", "u1")  # key, id, first window, windows
+SEGMENTS = Blob("u8", "i8", "i8", "u4", "u1")  # key, id, mark, first window, windows
+#: kind: 0 runs or segments, 1 windows that are gone
+ROWS = {"kind": pa.int64(), "part": pa.int64(), "id": pa.int64(), "mark": pa.int64(), "payload": pa.binary(), "bytes": pa.binary()}
+SHAPE = "kind long, part long, id long, mark long, payload binary, bytes binary"
+
+
+def _batch(rows: list[tuple], *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], ROWS[n]) for j, n in enumerate(names)], names=list(names))
 
 
 def _by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -126,23 +143,45 @@ def _by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(values[order[a]]), order[a:b]
 
 
+def _by_text(ids: np.ndarray, marks: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Rows of each text."""
+    for i, rows in _by(ids):
+        for m, own in _by(marks[rows]):
+            yield i, m, rows[own]
+
+
+def _merged(columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """ANCHORS columns of the earliest of each set of equal runs, and of the others."""
+    h, ids, marks, place, before, count, _, _, body, more = columns
+    order = np.lexsort((place, marks, ids, count, before, more, body, h))
+    same = np.ones(max(0, len(h) - 1), bool)
+    for c in (h, body, more, before, count):
+        same &= c[order][1:] == c[order][:-1]
+    repeat = same.copy()  # the same run of the same text: a repeated row
+    for c in (ids, marks, place):
+        repeat &= c[order][1:] == c[order][:-1]
+    start = np.ones(min(1, len(h)), bool)
+    first, once = np.concatenate([start, ~same]), np.concatenate([start, ~repeat])
+    return [c[order[first]] for c in columns], [c[order[~first & once]] for c in columns]
+
+
 def _listed(size: int, parts: int):
-    """Anchors of all texts, by part."""
+    """Anchors of all texts, by part; equal runs of a batch are one."""
 
     def flush(held):
-        columns = [np.concatenate(x) for x in zip(*held, strict=True)]
-        part = (columns[0] % U(parts)).astype(np.int64)
-        rows = [(p, ANCHORS.pack(*[c[own] for c in columns])) for p, own in _by(part)]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "payload"])
+        own, gone = _merged([np.concatenate(x) for x in zip(*held, strict=True)])
+        rows = [(0, p, None, None, ANCHORS.pack(*[c[at] for c in own])) for p, at in _by((own[0] % U(parts)).astype(np.int64))]
+        rows += [(1, (i ^ m) % parts, i, m, GONE.pack(gone[3][at] - gone[4][at], gone[5][at])) for i, m, at in _by_text(gone[1], gone[2])]
+        return _batch(rows, "kind", "part", "id", "mark", "payload")
 
     def made(batches):
         held, n = [], 0
         for batch in batches:
-            ids = np.asarray(batch.column("id"))
+            ids, marks = np.asarray(batch.column("id")), np.asarray(batch.column("mark"))
             for first, _, data, offsets in byte_chunks(encoded(batch)):
-                h, place, before, count, left, right = anchors(data, offsets, size)
+                h, place, before, count, left, right, body, more = anchors(data, offsets, size)
                 text = np.searchsorted(offsets, place, "right") - 1
-                held.append((h, ids[first + text], place - offsets[text], before, count, left, right))
+                held.append((h, ids[first + text], marks[first + text], place - offsets[text], before, count, left, right, body, more))
                 n += len(h)
                 if n > 1 << 18:
                     yield flush(held)
@@ -165,12 +204,17 @@ def _again(h: np.ndarray, side: np.ndarray) -> np.ndarray:
 
 def _repeated(table: pa.Table) -> pa.Table:
     """Of one part: the runs whose anchor occurs more than once with the same
-    bytes on a side, by text."""
-    h, ids, place, before, count, left, right = ANCHORS.all(table.column("payload").to_pylist())
+    bytes on a side, and the windows of later equal runs, by text."""
+    kind = np.asarray(table.column("kind"))
+    own, gone = _merged(ANCHORS.all(table.column("payload").take(np.flatnonzero(kind == 0)).to_pylist()))
+    h, ids, marks, place, before, count, left, right, _, _ = own
     sides = _again(h, left) + 2 * _again(h, right)
     twice = np.flatnonzero(sides)
-    rows = [(i, RUNS.pack(place[twice[own]], before[twice[own]], count[twice[own]], sides[twice[own]])) for i, own in _by(ids[twice])]
-    return pa.table({"id": pa.array([r[0] for r in rows], pa.int64()), "payload": pa.array([r[1] for r in rows], pa.binary())})
+    rows = [(0, i, m, RUNS.pack(place[twice[at]], before[twice[at]], count[twice[at]], sides[twice[at]])) for i, m, at in _by_text(ids[twice], marks[twice])]
+    rows += [(1, i, m, GONE.pack(gone[3][at] - gone[4][at], gone[5][at])) for i, m, at in _by_text(gone[1], gone[2])]
+    names = ["kind", "id", "mark", "payload"]
+    told = table.take(np.flatnonzero(kind == 1)).select(names)
+    return pa.concat_tables([pa.Table.from_batches([_batch(rows, *names)]), told.cast(pa.schema([(n, ROWS[n]) for n in names]))])
 
 
 def _segmented(size: int, parts: int):
@@ -179,22 +223,24 @@ def _segmented(size: int, parts: int):
     reach = (size - GRAM) // 2  # a window reaches so far beyond its anchor on one side at least
 
     def flush(held):
-        key, body, owner, start, count = (np.concatenate([h[j] for h in held]) for j in range(5))
-        bodies = [x for h in held for x in h[5]]
-        order = np.lexsort((start, owner, body, key))
+        key, body, owner, mark, start, count = (np.concatenate([h[j] for h in held]) for j in range(6))
+        bodies = [x for h in held for x in h[6]]
+        order = np.lexsort((start, mark, owner, body, key))
         again = np.concatenate([[False], (key[order][1:] == key[order][:-1]) & (body[order][1:] == body[order][:-1])]) if len(key) else np.zeros(0, bool)
+        for i in np.flatnonzero(again):  # equal hashes choose, equal bytes decide
+            again[i] = bodies[order[i]] == bodies[order[i - 1]]
         keep, drop = order[~again], order[again]
         rows = []
         for p, x in _by((key[keep] % U(parts)).astype(np.int64)):
             own = keep[x]
-            rows.append((0, p, 0, SEGMENTS.pack(key[own], owner[own], start[own], count[own]), zstandard.compress(b"".join(bodies[i] for i in own), 1)))
-        rows += [(1, 0, i, GONE.pack(start[drop[own]], count[drop[own]]), None) for i, own in _by(owner[drop])]
-        return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["kind", "part", "id", "payload", "bytes"])
+            rows.append((0, p, None, None, SEGMENTS.pack(key[own], owner[own], mark[own], start[own], count[own]), zstandard.compress(b"".join(bodies[i] for i in own), 1)))
+        rows += [(1, None, i, m, GONE.pack(start[drop[own]], count[drop[own]]), None) for i, m, own in _by_text(owner[drop], mark[drop])]
+        return _batch(rows, *ROWS)
 
     def made(batches):
         held, n = [], 0
         for batch in batches:
-            ids, runs = np.asarray(batch.column("id")), batch.column("runs")
+            ids, marks, runs = np.asarray(batch.column("id")), np.asarray(batch.column("mark")), batch.column("runs")
             for first, last, data, offsets in byte_chunks(encoded(batch)):
                 place, before, count, sides, text = [], [], [], [], []
                 for i, blobs in zip(range(first, last), runs.slice(first, last - first).to_pylist(), strict=True):
@@ -213,7 +259,7 @@ def _segmented(size: int, parts: int):
                     k = key_at[on]
                     key = mix(r.raw(k, k + GRAM + reach))
                     body = mix(r.raw(a[on], b[on] + size - 1) + mix((b - a)[on].astype(U)))
-                    held.append((key, body, ids[first + text[on]], a[on] - offsets[text[on]], (b - a)[on], [data[x : y + size - 1].tobytes() for x, y in zip(a[on].tolist(), b[on].tolist(), strict=True)]))
+                    held.append((key, body, ids[first + text[on]], marks[first + text[on]], a[on] - offsets[text[on]], (b - a)[on], [data[x : y + size - 1].tobytes() for x, y in zip(a[on].tolist(), b[on].tolist(), strict=True)]))
                     n += int((b - a)[on].sum()) + len(on) * size
                 if n > HELD:
                     yield flush(held)
@@ -339,53 +385,62 @@ def repeated_windows(bodies: list[bytes], rank: np.ndarray, count: np.ndarray, s
 def _sharded(size: int):
     def made(table: pa.Table) -> pa.Table:
         blobs = table.column("payload").to_pylist()
-        key, owner, start, count = SEGMENTS.all(blobs)
+        key, owner, mark, start, count = SEGMENTS.all(blobs)
         count, start = count.astype(np.int64), start.astype(np.int64)
         bodies = []
         for blob, data in zip(blobs, table.column("bytes").to_pylist(), strict=True):
             data = zstandard.decompress(data)
-            ends = np.cumsum(SEGMENTS.unpack(blob)[3].astype(np.int64) + size - 1).tolist()
+            ends = np.cumsum(SEGMENTS.unpack(blob)[4].astype(np.int64) + size - 1).tolist()
             bodies += [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         rank = np.empty(len(key), np.int64)
-        rank[np.lexsort((start, owner))] = np.arange(len(key))
+        rank[np.lexsort((start, mark, owner))] = np.arange(len(key))
         by = np.argsort(key, kind="stable")  # equal windows have equal keys: keep them together
         gone = repeated_windows([bodies[i] for i in by], rank[by], count[by], size, key=key[by])
         seg = np.repeat(by, count[by])
         inside = np.arange(len(seg)) - np.repeat(np.cumsum(count[by]) - count[by], count[by])
         on = np.flatnonzero(gone)
-        rows = [(i, GONE.pack(start[seg[on[x]]] + inside[on[x]], np.ones(len(x)))) for i, x in _by(owner[seg[on]])]
-        return pa.table({"id": pa.array([r[0] for r in rows], pa.int64()), "payload": pa.array([r[1] for r in rows], pa.binary())})
+        rows = [(i, m, GONE.pack(start[seg[on[x]]] + inside[on[x]], np.ones(len(x)))) for i, m, x in _by_text(owner[seg[on]], mark[seg[on]])]
+        return pa.Table.from_batches([_batch(rows, "id", "mark", "payload")])
 
     return made
 
 
-def removed_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 100, parts: int | None = None) -> DataFrame:
-    """(id, gone): for each text that loses bytes, blobs of runs of windows that
-    stand earlier too; ``copy`` says that the whole text is a later copy."""
+def removed_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 100, part: int = PART) -> DataFrame:
+    """(id, mark, gone, copy): for each text that loses bytes, blobs of runs of
+    windows that stand earlier too; ``copy`` says that the whole text is a later
+    copy. ``mark`` tells texts apart that share an id, and is 0 in a table where
+    none do. ``part`` is the bytes of input to a shard."""
     if not GRAM + 2 <= size <= GRAM + 230:
         raise ValueError(f"size: {GRAM + 2} to {GRAM + 230}")
     spark = docs.sparkSession
-    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    marks = materialize(source.select("id", F.sha2("text", 256).alias("mark")))
-    firsts = marks.groupBy("mark").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("mark", "first")
-    copies = materialize(marks.join(materialize(firsts), "mark").where("id <> first").select("id").distinct())
-    listed = source.mapInArrow(_listed(size, parts), "part long, payload binary")
-    runs = listed.groupBy("part").applyInArrow(_repeated, "id long, payload binary")
-    runs = materialize(runs.join(copies, "id", "left_anti").groupBy("id").agg(F.collect_list("payload").alias("runs")))
-    del listed, marks, firsts
+    marks = materialize(source.select("id", F.sha2("text", 256).alias("print"), F.octet_length("text").cast("long").alias("n")))
+    total = marks.agg(F.sum("n")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part))
+    shared = marks.groupBy("id").agg(F.min("print").alias("a"), F.max("print").alias("b")).where("a <> b").limit(1).count()
+    own, key = ["id", "mark"], text_mark(F.col("text")) if shared else F.lit(0).cast("long")
+    source = source.withColumn("mark", key)
+    texts = marks.select("id", "print", (F.conv(F.substring("print", 1, 15), 16, 10).cast("long") if shared else F.lit(0).cast("long")).alias("mark"))
+    firsts = texts.groupBy("print").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("print", "first")
+    copies = materialize(texts.join(materialize(firsts), "print").where("id <> first").select(*own).distinct())
+    listed = source.mapInArrow(_listed(size, parts), "kind long, part long, id long, mark long, payload binary")
+    found = materialize(listed.repartition(parts, "part").groupBy("part").applyInArrow(_repeated, "kind long, id long, mark long, payload binary"))
+    del listed, firsts, texts
     release(spark)
-    # of rows that share an id, equal ones, one is enough
-    texts = source.join(runs, "id").dropDuplicates(["id"])
-    shape = "kind long, part long, id long, payload binary, bytes binary"
-    cut = materialize(texts.mapInArrow(_segmented(size, parts), shape))
-    del texts, runs
+    runs = found.where("kind = 0").select(*own, "payload").join(copies, own, "left_anti").groupBy(*own).agg(F.collect_list("payload").alias("runs"))
+    # of equal rows, one is enough
+    rows = source.join(runs, own).dropDuplicates(own)
+    cut = materialize(rows.mapInArrow(_segmented(size, parts), SHAPE))
+    del rows, runs
     release(spark)
-    gone = cut.where("kind = 0").select("part", "payload", "bytes").groupBy("part").applyInArrow(_sharded(size), "id long, payload binary")
-    gone = gone.unionByName(cut.where("kind = 1").select("id", "payload")).groupBy("id").agg(F.collect_list("payload").alias("gone"))
-    copied = copies.select("id", F.lit(None).cast("array<binary>").alias("gone"), F.lit(True).alias("copy"))
+    gone = cut.where("kind = 0").select("part", "payload", "bytes").repartition(parts, "part").groupBy("part").applyInArrow(_sharded(size), "id long, mark long, payload binary")
+    gone = gone.unionByName(cut.where("kind = 1").select(*own, "payload")).unionByName(found.where("kind = 1").select(*own, "payload").join(copies, own, "left_anti"))
+    gone = gone.groupBy(*own).agg(F.collect_list("payload").alias("gone"))
+    copied = copies.select(*own, F.lit(None).cast("array<binary>").alias("gone"), F.lit(True).alias("copy"))
     result = materialize(gone.withColumn("copy", F.lit(False)).unionByName(copied))
-    del gone, cut
+    for table in (marks, found, cut):
+        drop_table(table)
+    del gone, cut, found, marks
     release(spark)
     return result
 
@@ -407,8 +462,11 @@ def spans(n: int, blobs: list[bytes] | None, copy: bool | None, size: int) -> np
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 100) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept_sha256, kept, spans) per row;
     ``kept`` is the remaining bytes, ``spans`` the removed runs."""
-    gone = removed_windows(docs, id_col, text, size).withColumnRenamed("id", "__gone_id")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(gone, F.col("id") == F.col("__gone_id"), "left").select("id", "text", "gone", "copy")
+    gone = removed_windows(docs, id_col, text, size).select(F.col("id").alias("gone_id"), "mark", "gone", "copy")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    shared = gone.where("mark <> 0").limit(1).count()  # else no texts share an id, and marks are 0
+    same = (F.col("id") == F.col("gone_id")) & (F.col("mark") == (text_mark(F.col("text")) if shared else F.lit(0)))
+    rows = rows.join(gone, same, "left").select("id", "text", "gone", "copy")
     shape = f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:long,end:long>>"
 
     def applied(batches):
