@@ -51,8 +51,9 @@ GRAM = 24
 ARRAY = 1 << 17
 #: Bytes of segments that are held before they are sent.
 HELD = 1 << 24
-#: Bytes of the input to a shard, about.
-PART = 1 << 24
+#: Bytes of the input to a shard, about; more where there would be over MOST shards.
+PART = 1 << 22
+MOST = 1 << 18
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
@@ -416,7 +417,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     marks = materialize(source.select("id", F.sha2("text", 256).alias("print"), F.octet_length("text").cast("long").alias("n")))
     total = marks.agg(F.sum("n")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST, -(-total // part)))
     shared = marks.groupBy("id").agg(F.min("print").alias("a"), F.max("print").alias("b")).where("a <> b").limit(1).count()
     own, key = ["id", "mark"], text_mark(F.col("text")) if shared else F.lit(0).cast("long")
     source = source.withColumn("mark", key)
