@@ -54,13 +54,13 @@ def test_language(spark, odd, empty):
     model = fit_language(spark.createDataFrame(make(60), "doc_id long, text string, lang string"))
     out = predict_language(spark.createDataFrame(make(40), "doc_id long, text string, truth string"), model).collect()
     assert sum(r.truth == r.lang_pred for r in out) >= 116 and all(0 <= r.score <= 1 for r in out)
-    got = predict_language(odd.drop("score"), model).collect()
+    got = predict_language(odd, model).collect()
     assert len(got) == odd.count()
     for r in got:
         letters = any(c.isalpha() for c in r.text or "")
         assert (r.lang_pred in words) == letters and (letters or (r.lang_pred, r.score) == ("und", 0.0))
-    assert predict_language(empty.drop("score"), model).count() == 0
+    assert predict_language(empty, model).count() == 0
     assert fit_language(empty) is None
-    assert {r.lang_pred for r in predict_language(odd.drop("score"), None).collect()} == {"und"}
+    assert {r.lang_pred for r in predict_language(odd, None).collect()} == {"und"}
     one = fit_language(spark.createDataFrame([(1, "hallo", "de")], "doc_id long, text string, lang string"))
-    assert predict_language(odd.drop("score"), one).where("lang_pred not in ('de', 'und')").count() == 0
+    assert predict_language(odd, one).where("lang_pred not in ('de', 'und')").count() == 0

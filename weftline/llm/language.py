@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, code_point_chunks, encoded, filled, first_by_hash, mix
+from .common import code_point_chunks, encoded, filled, first_by_hash, fresh, mix, Rolling
 
 BITS = 15
 GRAMS = (1, 2, 3, 4)
@@ -129,7 +129,8 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text: str = "text", la
 
 
 def predict_language(docs: DataFrame, model: bytes | None, text: str = "text", margin: float = 0.05) -> DataFrame:
-    """docs with lang_pred, score (0 to 1) and ambiguous."""
+    """docs with lang_pred, score (0 to 1) and ambiguous, which replace columns of
+    these names."""
     blob = model
 
     @F.arrow_udf("struct<lang_pred:string,score:double,ambiguous:boolean>")
@@ -159,4 +160,7 @@ def predict_language(docs: DataFrame, model: bytes | None, text: str = "text", m
             names = held["names"][pred] if held is not None else np.full(len(part), "und")
             yield pa.StructArray.from_arrays([pa.array(np.where(letter, names, "und").tolist(), pa.string()), pa.array(np.where(letter, score, 0.0)), pa.array(close & letter)], ["lang_pred", "score", "ambiguous"])
 
-    return docs.withColumn("__lang", predicted(F.col(text))).select("*", "__lang.*").drop("__lang")
+    name, made = fresh(docs, "__lang"), ("lang_pred", "score", "ambiguous")
+    rows = docs.withColumn(name, predicted(F.col(f"`{text}`")))
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    return rows.select(*others, *[F.col(name)[c].alias(c) for c in made])

@@ -128,7 +128,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 
 def score_quality(docs: DataFrame, model: bytes | None, text: str = "text", score: str = "score") -> DataFrame:
-    """docs with a column ``score``: the probability of label 1."""
+    """docs with a column ``score``: the probability of label 1. It replaces a
+    column of that name; name another to keep both."""
     blob = model
 
     @F.arrow_udf("double")
