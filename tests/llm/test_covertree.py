@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.llm.covertree import CoverTree, top_k
+from weftline.llm.covertree import CoverTree, cut, top_k
 
 
 def brute(rows, k, is_query):
@@ -36,7 +36,39 @@ def test_equals_brute_force(spark, kind):
         x[:90] = x[0]  # a third of the rows is one vector
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     want = brute(rows, 5, lambda i: i % 3 == 0)
-    assert run(spark, rows, data_rows=50, query_rows=20, pivots=6, sample=60) == want
+    assert run(spark, rows, data_rows=50, query_rows=20, pivots=6, part_rows=90) == want
+
+
+def test_pairs_of_blocks_stay_flat(spark):
+    """Ten times the rows, in blocks of the same size: a query block meets about as many data blocks."""
+    rng = np.random.default_rng(6)
+    met = []
+    for n in (2000, 20000):
+        centres = rng.normal(size=(n // 1000 * 2, 12))
+        x = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, 12)) / 40
+        x /= np.sqrt((x**2).sum(1, keepdims=True))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        told = {}
+        out = top_k(df, F.col("vec_id") % 50 == 0, k=5, data_rows=200, query_rows=20, part_rows=4000, report=told).collect()
+        assert len(out) == 5 * (n // 50)
+        print(n, told)
+        met.append(told["pairs"] / told["query_blocks"])
+        assert told["data_blocks"] >= n // 200
+    assert met[1] <= 2 * met[0]
+
+
+def test_blocks_cut_along_the_tree():
+    x = np.random.default_rng(3).integers(-9, 9, (1000, 2))
+    for points in (x, np.zeros((500, 2), int), x[:7], x[:0]):
+        parts = cut(points, 64)
+        assert sorted(np.concatenate([np.zeros(0, int), *parts]).tolist()) == list(range(len(points)))
+        assert all(0 < len(p) <= 64 for p in parts)
+
+
+def test_extra_columns(spark):
+    rows = [(i, [float(i % 5), 1.0], "x", "y") for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id string, cell string").withColumn("query", F.lit("q")).withColumn("v", F.lit(1))
+    assert sorted(map(tuple, top_k(df, F.col("vec_id") % 3 == 0, k=5).collect())) == brute([r[:2] for r in rows], 5, lambda i: i % 3 == 0)
 
 
 def test_odd_rows(spark):

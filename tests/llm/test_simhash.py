@@ -71,6 +71,8 @@ def test_components_equal_brute_force(spark):
     df = spark.createDataFrame(signed, "doc_id long, fp long")
     found = {r.fp: r.component for r in simhash_components(df).collect()}
     assert {i: found[f] for i, f in signed} == label
+    split = {r.fp: r.component for r in simhash_components(df, most=3).collect()}
+    assert split == found
 
 
 def test_odd_rows(spark, odd, empty):

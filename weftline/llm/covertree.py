@@ -1,18 +1,21 @@
 """Exact top-k inner product search with two cover trees.
 
-Queries and data are dealt to the same cells: the nearest of at most ``pivots``
-centres, taken from the top of a cover tree over a bounded sample. A cell is
-split by hash into blocks of bounded size, so that a vector that very many rows
-share fills several. Each block is one row: its vectors and its cover tree,
-whose nodes have a centre and a covering radius. For a query node (centre q,
-radius a) and a data node (centre p, radius b) no score exceeds
+Queries and data are dealt to the same cells: the nearest of some centres, taken
+from the top of a cover tree over a bounded sample (a centre for some 4096 rows,
+64 at least and 4096 at most). A cell's rows, by hash in parts of bounded size,
+are cut along the next levels of a cover tree into blocks of neighbours, so that
+a block's radius shrinks as the table grows. Each block is one row: its vectors
+and its cover tree, whose nodes have a centre and a covering radius. For a query
+node (centre q, radius a) and a data node (centre p, radius b) no score exceeds
 q.p + a|p| + b|q| + ab; a pair of nodes whose bound is under the worst kth
 score of the query node's queries is pruned, else the larger node is opened.
 
-First each query block searches the data block of its own cell, which gives
-every query a kth score; then pairs of blocks are pruned by the same bound over
-whole blocks, and only the rest are joined and searched. The search is exact:
-pivots and sample only shape the blocks.
+First each query block searches the nearest data block of its own cell, which
+gives every query a kth score. Then pairs are walked from the top: query blocks
+with cells (so few that they may be broadcast), then with the blocks of the cells
+that are left, pruned by the same bound over whole cells and blocks. What remains
+is searched by data block, some query blocks at a time, so that a data block is
+sent once for several. The search is exact: centres and sample only shape blocks.
 
 Defined results: vectors that are null, empty or hold a null or non-finite
 component take no part; vectors meet only vectors of their own length; repeated
@@ -22,6 +25,7 @@ candidates give fewer rows; empty tables give an empty result.
 
 from __future__ import annotations
 
+import heapq
 import io
 
 import numpy as np
@@ -182,44 +186,87 @@ def _assign(pivots: dict[int, np.ndarray]):
     return made
 
 
-def _blocks(key, frame):
-    import pandas as pd
+def cut(points: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Rows of blocks of at most ``rows`` rows: nodes of a cover tree, small
+    neighbours together; a node that can't be opened is cut by order."""
+    if len(points) <= rows:
+        return [np.arange(len(points))] if len(points) else []
+    tree, out, todo = CoverTree(points, leaf=rows), [], [0]
+    while todo:
+        node = todo.pop()
+        own = tree.order[tree.begin[node] : tree.end[node]]
+        if len(own) > rows and tree.last[node] > tree.first[node]:
+            small = []
+            for child in range(tree.first[node], tree.last[node]):
+                if tree.end[child] - tree.begin[child] > rows // 2:
+                    todo.append(child)
+                else:
+                    small.append(child)
+            while small:  # a seed, and the nearest others that fit in
+                at = tree.points[[tree.centre[c] for c in small]]
+                near = np.argsort(((at - at[0]) ** 2).sum(1), kind="stable")
+                total = np.cumsum([tree.end[small[i]] - tree.begin[small[i]] for i in near])
+                chosen = [small[i] for i in near[: max(1, int(np.searchsorted(total, rows, "right")))]]
+                out.append(np.concatenate([tree.order[tree.begin[c] : tree.end[c]] for c in chosen]))
+                small = [c for c in small if c not in chosen]
+        else:
+            out += np.array_split(own, -(-len(own) // rows))
+    return out
+
+
+def _blocks(rows: int):
+    def made(key, table):
+        dim, cell, salt = (x.as_py() for x in key)
+        flat = np.concatenate([np.asarray(c.flatten()) for c in table.column("v").chunks])
+        points, ids = flat.reshape(-1, dim), np.asarray(table.column("id").combine_chunks())
+        by = np.argsort(ids, kind="stable")
+        points, ids = points[by], ids[by]
+        out = []
+        for i, own in enumerate(cut(points, rows)):
+            x = points[own]
+            centre = x[int(((x - x.mean(0)) ** 2).sum(1).argmin())].astype(np.float64)
+            radius = float(np.sqrt(((x - centre) ** 2).sum(1)).max())
+            out.append((dim, cell, f"{dim}-{cell}-{salt}-{i}", len(own), centre.tolist(), radius, _pack(ids[own], x)))
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.binary())
+        names = ("dim", "cell", "block", "rows", "centre", "radius", "blob")
+        return pa.table({n: pa.array([r[j] for r in out], kind) for j, (n, kind) in enumerate(zip(names, kinds, strict=True))})
+
+    return made
 
-    points = np.array(frame["v"].tolist(), np.int64)
-    ids = frame["id"].to_numpy(np.int64)
-    by = np.argsort(ids, kind="stable")
-    points, ids = points[by], ids[by]
-    centre = points[int(((points - points.mean(0)) ** 2).sum(1).argmin())].astype(np.float64)
-    radius = float(np.sqrt(((points - centre) ** 2).sum(1)).max())
-    return pd.DataFrame({"dim": [key[0]], "cell": [key[1]], "salt": [key[2]], "block": ["-".join(str(int(x)) for x in key)], "centre": [centre.tolist()], "radius": [radius], "blob": [_pack(ids, points)]})
+
+FOUND = {"qblock": pa.string(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
 
 
 def _search(k: int):
-    def made(batches):
-        for batch in batches:
-            out = []
-            floors = batch.column("floors").to_pylist()
-            for query, data, floor in zip(batch.column("qblob"), batch.column("pblob"), floors, strict=True):
-                own = None
-                if floor:
-                    known = {x["query_id"]: x["kth"] for x in floor}
-                    ids = np.load(io.BytesIO(query.as_py()))["ids"]
-                    own = np.array([known.get(int(i), NONE) for i in ids], np.int64)
-                out.append(dual_search(query.as_py(), data.as_py(), k, own))
-            columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["query_id", "vec_id", "score"])
+    """Of one data block and some query blocks: each query's best."""
+
+    def made(asked, data):
+        out = [pa.table({n: pa.array([], kind) for n, kind in FOUND.items()})]
+        blobs = data.column("pblob").to_pylist()
+        for name, query, floor in zip(*(asked.column(c).to_pylist() for c in ("qblock", "qblob", "floors")), strict=True):
+            own = None
+            if floor:
+                known = {x["query_id"]: x["kth"] for x in floor}
+                own = np.array([known.get(int(i), NONE) for i in np.load(io.BytesIO(query))["ids"]], np.int64)
+            ids, others, scores = dual_search(query, blobs[0], k, own)
+            out.append(pa.table({"qblock": pa.array([name] * len(ids), pa.string()), "query_id": pa.array(ids), "vec_id": pa.array(others), "score": pa.array(scores)}))
+        return pa.concat_tables(out)
 
     return made
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", scale: float = 256.0, pivots: int = 64, sample: int = 2048, data_rows: int = 4096, query_rows: int = 2048) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", scale: float = 256.0, pivots: int | None = None, sample: int = 8, data_rows: int = 4096, query_rows: int = 2048, part_rows: int = 32768, report: dict | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): each query row's k best other rows by
-    inner product of components floor(scale * x)."""
+    inner product of components floor(scale * x). ``pivots`` is the number
+    of centres, if not by size; ``sample`` rows a centre shape the index, 2048 at least; ``report`` takes the number of query blocks and of
+    pairs searched."""
     fine = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("query"), F.col(vector).cast("array<double>").alias("v"))
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("query"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
     rows = rows.where(fine & F.col("id").isNotNull()).withColumn("v", F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("long")))
     rows = materialize(rows.groupBy("id", "v").agg(F.max("query").alias("query")).select("id", "query", "v"))
-    # the index is shaped by at most `sample` rows of each length
+    # centres of the cells, for each length
+    pivots = pivots or min(4096, max(64, rows.count() // data_rows))
+    sample = max(2048, sample * pivots)
     mark = Window.partitionBy("dim").orderBy("mark", "id")
     chosen = first_by_hash(rows.select("id", "v", F.size("v").alias("dim"), F.xxhash64("id").alias("mark")), 4 * sample, "id", "v")
     found: dict[int, list] = {}
@@ -228,50 +275,63 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     tops = {}
     for dim, points in found.items():
         x = np.unique(np.array(points, np.float64), axis=0)
-        tree, level = CoverTree(x, leaf=max(1, len(x) // pivots)), [0]
-        while True:  # down the tree while the level is narrow enough
-            below = [c for n in level for c in (range(tree.first[n], tree.last[n]) if tree.last[n] > tree.first[n] else [n])]
-            if below == level or len(below) > pivots:
-                break
-            level = below
+        tree = CoverTree(x, leaf=max(1, len(x) // pivots))
+        level, wide = {0}, [(-tree.radius[0], 0)]
+        while wide:  # open the widest node while the level is narrow enough
+            _, node = heapq.heappop(wide)
+            below = range(tree.first[node], tree.last[node])
+            if below and len(level) - 1 + len(below) <= pivots:
+                level = level - {node} | set(below)
+                for c in below:
+                    heapq.heappush(wide, (-tree.radius[c], c))
         tops[dim] = x[sorted({tree.centre[n] for n in level})]
     dealt = materialize(rows.mapInArrow(_assign(tops), "id long, query boolean, v array<long>, dim long, cell long"))
     counts = materialize(dealt.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.count_if("query").alias("nq")))
     placed = dealt.join(counts, ["dim", "cell"])
-    shape = "dim long, cell long, salt long, block string, centre array<double>, radius double, blob binary"
+    shape = "dim long, cell long, block string, rows long, centre array<double>, radius double, blob binary"
 
     def packed(part: DataFrame, total: str, size: int) -> DataFrame:
-        salt = F.pmod(F.xxhash64(F.lit(total), "id"), F.ceil(F.col(total) / size))
-        return materialize(part.withColumn("salt", salt).groupBy("dim", "cell", "salt").applyInPandas(_blocks, shape))
+        salt = F.pmod(F.xxhash64(F.lit(total), "id"), F.ceil(F.col(total) / part_rows))
+        return materialize(part.select("dim", "cell", salt.alias("salt"), "id", "v").groupBy("dim", "cell", "salt").applyInArrow(_blocks(size), shape))
 
     data = packed(placed, "n", data_rows)
     asked = packed(placed.where("query"), "nq", query_rows)
-    left = asked.select("dim", F.col("cell").alias("qcell"), F.col("block").alias("qblock"), F.col("centre").alias("qcentre"), F.col("radius").alias("qradius"))
-    right = data.select("dim", "cell", "salt", F.col("block").alias("pblock"), "centre", "radius")
-    qblobs = asked.select(F.col("block").alias("qblock"), F.col("blob").alias("qblob"))
-    pblobs = data.select(F.col("block").alias("pblock"), F.col("blob").alias("pblob"))
+    left = asked.select("dim", F.col("cell").alias("qcell"), F.col("block").alias("qblock"), F.col("rows").alias("qrows"), F.col("centre").alias("qcentre"), F.col("radius").alias("qradius"))
+    right = data.select(F.col("dim").alias("pdim"), "cell", F.col("block").alias("pblock"), "centre", "radius")
+    qblobs, pblobs = asked.select(F.col("block").alias("qblock"), F.col("blob").alias("qblob")), data.select(F.col("block").alias("pblock"), F.col("blob").alias("pblob"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    norm = lambda a: F.sqrt(dot(a, a))
+    away = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
     def searched(pairs: DataFrame, floors: DataFrame | None) -> DataFrame:
-        whole = pairs.join(qblobs, "qblock").join(pblobs, "pblock")
+        """Data blocks meet some 16 query blocks at a time."""
         kind = "array<struct<query_id:bigint,kth:bigint>>"
+        chunk = F.pmod(F.xxhash64("qblock"), F.ceil(F.col("times") / 16))
+        spread = materialize(pairs.join(pairs.groupBy("pblock").agg(F.count("*").alias("times")), "pblock").select("qblock", "pblock", chunk.alias("chunk")))
+        whole = spread.join(qblobs, "qblock")
         whole = whole.join(floors, "qblock", "left") if floors is not None else whole.withColumn("floors", F.lit(None).cast(kind))
-        spread = whole.select("qblob", "pblob", F.col("floors").cast(kind).alias("floors"), "qblock", "pblock").repartition("qblock", "pblock").select("qblob", "pblob", "floors")
-        return materialize(spread.mapInArrow(_search(k), "query_id long, vec_id long, score long"))
+        whole = whole.select("pblock", "chunk", "qblock", "qblob", F.col("floors").cast(kind).alias("floors"))
+        theirs = spread.select("pblock", "chunk").distinct().join(pblobs, "pblock").select(F.col("pblock").alias("theirs"), F.col("chunk").alias("part"), "pblob")
+        return materialize(whole.groupBy("pblock", "chunk").cogroup(theirs.groupBy("theirs", "part")).applyInArrow(_search(k), "qblock string, query_id long, vec_id long, score long"))
 
-    home = left.join(right.groupBy("dim", "cell").agg(F.min_by("pblock", "salt").alias("pblock")), (left.dim == right.dim) & (F.col("qcell") == F.col("cell"))).select("qblock", "pblock")
-    home = materialize(home)
+    own_cell = left.join(right, (left.dim == right.pdim) & (F.col("qcell") == F.col("cell")))
+    home = materialize(own_cell.groupBy("qblock").agg(F.min_by("pblock", F.struct(away("qcentre", "centre").alias("away"), F.col("pblock"))).alias("pblock")))
     first = searched(home, None)
     # a query's kth score so far; a block's is its worst
-    kth = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k)
-    members = dealt.where("query").select(F.col("id").alias("query_id"), "dim", F.col("cell").alias("qcell")).join(counts.select("dim", F.col("cell").alias("qcell"), "nq"), ["dim", "qcell"])
-    members = members.withColumn("qblock", F.concat_ws("-", "dim", "qcell", F.pmod(F.xxhash64(F.lit("nq"), "query_id"), F.ceil(F.col("nq") / query_rows)).cast("string")))
-    floors = members.join(kth, "query_id", "left").groupBy("qblock").agg(F.collect_list(F.when(F.col("kth").isNotNull(), F.struct("query_id", "kth"))).alias("floors"), F.min(F.coalesce("kth", F.lit(NONE))).alias("worst"))
-    floors = materialize(floors)
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda a: F.sqrt(dot(a, a))
+    kth = first.groupBy("qblock", "query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k)
+    floors = materialize(kth.groupBy("qblock").agg(F.collect_list(F.struct("query_id", "kth")).alias("floors"), F.min("kth").alias("worst"), F.count("*").alias("known")))
+    worst = F.when(F.col("known") == F.col("qrows"), F.col("worst")).otherwise(F.lit(NONE))
+    bounded = left.join(floors.select("qblock", "worst", "known"), "qblock", "left").select("dim", "qblock", "qcentre", "qradius", F.coalesce(worst, F.lit(NONE)).alias("worst"))
     bound = dot("qcentre", "centre") + F.col("qradius") * norm("centre") + F.col("radius") * norm("qcentre") + F.col("qradius") * F.col("radius")
-    pairs = left.join(right, "dim").join(floors.select("qblock", "worst"), "qblock").where(bound + F.abs(bound) * 1e-9 + 1e-6 >= F.col("worst"))
-    pairs = pairs.select("qblock", "pblock").join(home, ["qblock", "pblock"], "left_anti")
+    near = bound + F.abs(bound) * 1e-9 + 1e-6 >= F.col("worst")
+    middle = right.groupBy("pdim", "cell").agg(F.min_by("centre", "pblock").alias("middle"))
+    cells = right.join(middle, ["pdim", "cell"]).groupBy("pdim", "cell").agg(F.first("middle").alias("centre"), F.max(away("middle", "centre") + F.col("radius")).alias("radius"))
+    cells = materialize(cells)  # as many as there are centres, at most 4096 for a length
+    open_cells = bounded.join(F.broadcast(cells), F.col("dim") == F.col("pdim")).where(near).select("dim", "qblock", "qcentre", "qradius", "worst", "cell")
+    pairs = open_cells.join(right, (F.col("dim") == F.col("pdim")) & (open_cells.cell == right.cell)).where(near).select("qblock", "pblock")
+    pairs = materialize(pairs.join(home, ["qblock", "pblock"], "left_anti"))
+    if report is not None:
+        report |= {"query_blocks": asked.count(), "data_blocks": data.count(), "pairs": pairs.count() + home.count()}
     second = searched(pairs, floors.select("qblock", "floors"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = first.union(second).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

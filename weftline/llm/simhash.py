@@ -9,9 +9,12 @@ shares one. Within a list, shared positional bytes are tallied over all 8
 positions, pairs with the guaranteed minimum are kept, and their bits counted.
 
 Equal fingerprints are merged before anything is listed, so a list holds
-different fingerprints only; it is swept inside one task in blocks and emits one
-edge per fingerprint that has a partner in it (to its group in that list), never
-all pairs. Groups over all lists are then connected components.
+different fingerprints only. A list of over ``LIST`` of them is split: linked
+pairs of a list share one more position, so its members are listed anew under
+each of the positions that the list leaves open. A list is swept inside one task
+in blocks and emits one edge per fingerprint that has a partner in it (to its
+group in that list), never all pairs. Groups over all lists are then connected
+components.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from .components import connected_components
 #: Fixed values of XXH64.
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
 U = np.uint64
+#: Fingerprints of a list that is not split.
+LIST = 4096
 ONES = U(0x0101010101010101)
 
 
@@ -151,6 +156,9 @@ def _joined(f: np.ndarray, max_bits: int, block: int = 512) -> np.ndarray:
         new = label.copy()
         for i in range(0, len(f), block):
             for j in range(0, len(f), 8 * block):
+                own, other = label[i : i + block], label[j : j + 8 * block]
+                if other.min() >= own.max():  # nothing here could lower a label
+                    continue
                 hit = near(f[i : i + block, None], f[None, j : j + 8 * block], max_bits)
                 new[i : i + block] = np.minimum(new[i : i + block], np.where(hit, label[None, j : j + 8 * block], len(f)).min(1))
         new = new[new]
@@ -186,9 +194,10 @@ def list_edges(f: np.ndarray, ids: np.ndarray, sizes: np.ndarray, max_bits: int)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def simhash_components(prints: DataFrame, max_bits: int = 3, id_col: str = "doc_id", print_col: str = "fp") -> DataFrame:
+def simhash_components(prints: DataFrame, max_bits: int = 3, id_col: str = "doc_id", print_col: str = "fp", most: int = LIST) -> DataFrame:
     """(print_col, component): for each distinct fingerprint, the smallest id
-    reachable over links of at most ``max_bits`` bits.
+    reachable over links of at most ``max_bits`` bits. Lists of over ``most``
+    fingerprints are split.
 
     Null fingerprints and ids take no part; repeated rows merge with the rest of
     their fingerprint; an empty input gives an empty result."""
@@ -203,12 +212,21 @@ def simhash_components(prints: DataFrame, max_bits: int = 3, id_col: str = "doc_
             f, rep = np.asarray(batch.column("fp")).view(U), np.asarray(batch.column("rep"))
             for k, spot in enumerate(spots):
                 mask = U(sum(0xFF << (8 * p) for p in spot))
-                yield pa.RecordBatch.from_pydict({"key": pa.array(mix((f & mask) + mix(np.array([k + 1], U))).view(np.int64)), "fp": pa.array(f.view(np.int64)), "rep": pa.array(rep)})
+                yield pa.RecordBatch.from_pydict({"key": pa.array(mix((f & mask) + mix(np.array([k + 1], U))).view(np.int64)), "spot": pa.array(np.full(len(f), k)), "fp": pa.array(f.view(np.int64)), "rep": pa.array(rep)})
+
+    def split(batches):
+        is_open = np.array([[p not in spot for spot in spots] for p in range(8)])
+        for batch in batches:
+            key, spot, f, rep = (np.asarray(batch.column(c)) for c in ("key", "spot", "fp", "rep"))
+            for p in range(8):
+                on = np.flatnonzero(is_open[p][spot])
+                byte = (f[on].view(U) >> U(8 * p)) & U(0xFF)
+                yield pa.RecordBatch.from_pydict({"key": pa.array(mix(mix(key[on].view(U)) + mix(byte + U(256 * (p + 1)))).view(np.int64)), "fp": pa.array(f[on]), "rep": pa.array(rep[on])})
 
     def swept(batches):
         rest = None
         for batch in batches:
-            columns = [np.asarray(batch.column(i)) for i in range(3)]
+            columns = [np.asarray(batch.column(c)) for c in ("key", "fp", "rep")]
             if rest is not None:
                 columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
             key = columns[0]
@@ -226,7 +244,12 @@ def simhash_components(prints: DataFrame, max_bits: int = 3, id_col: str = "doc_
         pairs = np.unique(np.stack([a, b], 1), axis=0)
         return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
 
-    lists = groups.mapInArrow(listed, "key long, fp long, rep long")
+    lists = groups.mapInArrow(listed, "key long, spot long, fp long, rep long")
+    large = materialize(lists.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key"))
+    if large.limit(1).count():
+        parts = lists.join(large, "key").mapInArrow(split, "key long, fp long, rep long")
+        lists = lists.join(large, "key", "left_anti").select("key", "fp", "rep").unionByName(parts)
+    lists = lists.select("key", "fp", "rep")
     found = lists.repartition("key").sortWithinPartitions("key").mapInArrow(swept, "a long, b long").distinct()
     labels = connected_components(found)
     out = groups.join(labels, groups.rep == labels.id, "left").select(F.col("fp").alias(print_col), F.coalesce("component", "rep").alias("component"))
