@@ -14,8 +14,8 @@ prediction turns into unknown.
 
 Only n-grams of the notices have weights, and only content words can start one,
 so a paragraph without a content word of the notices scores as ``none`` whatever
-else it holds: such paragraphs end at one set test. The rest are exploded to
-n-grams, joined with the weights (a table of fixed size) and summed per
+else it holds: its words end at one set lookup each. The n-grams of the rest are
+exploded, joined with the weights (a table of fixed size) and summed per
 paragraph. Everything on rows is DataFrame functions; the driver only trains.
 
 Defined results: null and empty texts have no paragraph; a row with a null id is
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -141,7 +142,8 @@ def grams_of(words: list[str], sizes: tuple[int, ...] = (1, 2, 3)) -> set[str]:
 class Model:
     """Weights of the n-grams per class, biases, and what confirms a family."""
 
-    def __init__(self, negatives: list[str], seed: int = 5, steps: int = 300, decay: float = 1e-3):
+    def __init__(self, negatives: Callable[[list[str]], list[list[str]]], seed: int = 5, steps: int = 300, decay: float = 1e-3):
+        """negatives: from the known n-grams to those of each negative paragraph."""
         rng = np.random.default_rng(seed)
         self.classes = [*NOTICES, UNKNOWN, NONE]
         rows: list[tuple[list[str], int]] = []
@@ -155,7 +157,7 @@ class Model:
 
         for label, name in enumerate(NOTICES):
             for notice in NOTICES[name]:
-                for part in {notice, *re.split(r"(?<=[a-z]{3})\.\s", notice)}:
+                for part in dict.fromkeys([notice, *re.split(r"(?<=[a-z]{3})\.\s", notice)]):
                     variants(part, label, 6)
         made_up = ["Foobar", "Examplia", "Zenith", "Quasar Community", "Northwind", "Open Widget", "Tern", "Kestrel Labs"]
         shapes = ["Licensed under the {} License.", "Released under the {} License, version 1.2.", "This work is licensed under the {} Public License.", "You may use this under the terms of the {} license agreement.", "SPDX-License-Identifier: LicenseRef-{}"]
@@ -163,20 +165,19 @@ class Model:
             variants(shape.format(name), len(NOTICES), 3)
         for text in OTHER:
             variants(text, len(NOTICES) + 1, 6)
-        for text in negatives:
-            rows.append((words_of(text), len(NOTICES) + 1))
         rows += [([], len(NOTICES) + 1)] * 40  # what holds no word of the notices
         names_only = {w for name in made_up for w in words_of(name)}
         known = sorted(g for g in set().union(*(grams_of(w) for w, label in rows if label != len(NOTICES) + 1), *(grams_of(words_of(t)) for t in OTHER)) if not names_only & set(g.split()))
         self.of = {g: i for i, g in enumerate(known)}
-        x = np.zeros((len(rows), len(known)))
-        for i, (words, _) in enumerate(rows):
-            x[i, [self.of[g] for g in grams_of(words) if g in self.of]] = 1
-        y = np.array([label for _, label in rows])
+        found = [(grams_of(words), label) for words, label in rows] + [(set(own), len(NOTICES) + 1) for own in negatives(known)]
+        x = np.zeros((len(found), len(known)))
+        for i, (own, _) in enumerate(found):
+            x[i, [self.of[g] for g in own if g in self.of]] = 1
+        y = np.array([label for _, label in found])
         k = len(self.classes)
         even = 1 / np.maximum(np.bincount(y, minlength=k)[y], 1) ** 0.5
         even /= even.sum()
-        held = rng.random(len(rows)) < 0.15
+        held = rng.random(len(found)) < 0.15
         fit = np.where(held, 0.0, even)
         self.weights, self.bias = np.zeros((len(known), k)), np.zeros(k)
         target, speed = np.eye(k)[y], np.full((len(known), k), 1e-4)
@@ -194,7 +195,7 @@ class Model:
         loss = [-np.log(self._softmax(logits / t)[np.arange(held.sum()), y[held]] + 1e-12).mean() for t in options] if held.any() else [0.0]
         temperature = float(options[int(np.argmin(loss))]) if held.any() else 1.0
         self.weights, self.bias = self.weights / temperature, self.bias / temperature
-        self.content = sorted({g for g in known if " " not in g})
+        
 
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
@@ -211,6 +212,21 @@ def paragraph_words(paragraph: Column) -> Column:
     return F.filter(F.split(F.lower(paragraph), SPLIT), lambda w: w != "")
 
 
+def known_grams(words: Column, known: list[str]) -> Column:
+    """The known n-grams among an array of words. Only places where a known
+    n-gram can start are looked at; membership is a lookup in a set of literals
+    that is built once, not for every row."""
+    first = sorted({g.split(" ")[0] for g in known})
+    places = lambda w: F.filter(F.transform(w, lambda x, i: F.when(x.isin(first), i)), lambda i: i.isNotNull())
+
+    def grams(w: Column) -> Column:
+        of_size = lambda at, n: F.transform(at, lambda i: F.array_join(F.slice(w, i + 1, F.lit(n)), " "))
+        sizes = lambda at: F.concat(F.transform(at, lambda i: F.get(w, i)), of_size(at, 2), of_size(at, 3))
+        return bound(places(w), lambda at: F.array_distinct(F.filter(sizes(at), lambda g: g.isin(known))))
+
+    return bound(words, grams)
+
+
 def paragraphs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     lines = docs.select(F.col(id_col).alias("__id"), F.posexplode(F.split(F.col(text), "\n")).alias("paragraph", "line"))
     return lines.where("trim(line) <> ''")
@@ -222,8 +238,10 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ne
     ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__doc"), F.xxhash64(F.lit("licences"), id_col).alias("mark"))
     chosen = first_by_hash(ids, negatives, "__doc").distinct()
     rows = docs.select(F.col(id_col).alias("__doc"), F.col(text).alias("text")).join(F.broadcast(chosen), "__doc").select("mark", "text")  # so few rows may be broadcast
-    lines = paragraphs(rows, "mark", "text").where(~F.col("line").rlike(CUES) & (F.length("line") < 2000)).select("line").distinct()
-    return Model([r.line for r in lines.orderBy(F.xxhash64("line"), "line").limit(negatives).collect()])
+    lines = paragraphs(rows, "mark", "text").where(~F.col("line").rlike(CUES)).select("line").distinct()
+    lines = lines.orderBy(F.xxhash64("line"), "line").limit(negatives)
+    # of a line only its known n-grams are collected, whatever its length
+    return Model(lambda known: [r.grams for r in lines.select(known_grams(paragraph_words(F.col("line")), known).alias("grams")).collect()])
 
 
 def runs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -244,27 +262,26 @@ def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: s
     ``paragraph`` is the index of the line, or of the first line of the run."""
     spark: SparkSession = docs.sparkSession
     kinds = model.classes
-    found_runs = runs(docs, id_col, text)
+    known = list(model.of)
     keys = ["__id", "run", "run_mark"]
-    single = found_runs.select(*keys, F.posexplode("lines").alias("at", "line"))
-    single = single.select(*keys, (F.col("run") + F.col("at")).alias("paragraph"), F.lit(-1).alias("part"), F.xxhash64("line").alias("mark"), F.length("line").alias("chars"), paragraph_words(F.col("line")).alias("words"))
     # joined lines in overlapping parts: a stretch of words as long as any notice lies whole in one of them
     span = 2 * max(len(words_of(notice)) for own in NOTICES.values() for notice in own)
-    joined = found_runs.where(F.size("lines") > 1).select(*keys, F.array_join("lines", " ").alias("line"))
-    joined = joined.select(*keys, F.length("line").alias("chars"), paragraph_words(F.col("line")).alias("all"))
-    joined = joined.select(*keys, "chars", "all", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("all") - 1) / F.lit(span)).cast("int") - 1))).alias("part"))
-    joined = joined.select(*keys, F.col("run").alias("paragraph"), "part", F.col("run_mark").alias("mark"), "chars", F.slice("all", F.col("part") * span + 1, F.lit(2 * span)).alias("words"))
-    lines = single.unionByName(joined)
-    content = F.array(*[F.lit(w) for w in model.content])
-    lines = lines.where(F.arrays_overlap("words", content))
-
-    def grams(w: Column, n: int) -> Column:
-        whole = lambda x, i: F.when(~x.isin(COMMON) & (i + n <= F.size(w)), F.concat_ws(" ", F.slice(w, i + 1, F.lit(n))))
-        return F.filter(F.transform(w, whole), lambda g: g.isNotNull())
-
-    known = F.array(*[F.lit(g) for g in model.of])
-    found = bound(F.col("words"), lambda w: F.array_intersect(F.concat(grams(w, 1), grams(w, 2), grams(w, 3)), known))
-    lines = lines.withColumn("grams", found)
+
+    def seen(ws: Column) -> Column:
+        """Each line, and each part of a run of several, with its known n-grams."""
+        line = lambda i: F.get("lines", i)
+        single = F.transform(ws, lambda w, i: F.struct((F.col("run") + i).alias("paragraph"), F.lit(-1).alias("part"), F.xxhash64(line(i)).alias("mark"), F.length(line(i)).alias("chars"), known_grams(w, known).alias("grams")))
+
+        def parts(run: Column) -> Column:
+            whole = run["words"]
+            last = F.greatest(F.lit(0), F.floor((F.size(whole) - 1) / F.lit(span)).cast("int") - 1)
+            return F.transform(F.sequence(F.lit(0), last), lambda part: F.struct(F.col("run").alias("paragraph"), part.alias("part"), F.col("run_mark").alias("mark"), run["chars"].alias("chars"), known_grams(F.slice(whole, part * span + 1, F.lit(2 * span)), known).alias("grams")))
+
+        joined = F.when(F.size("lines") > 1, bound(F.struct(F.flatten(ws).alias("words"), F.length(F.array_join("lines", " ")).alias("chars")), parts)).otherwise(F.array().cast("array<struct<paragraph:int,part:int,mark:bigint,chars:int,grams:array<string>>>"))
+        return F.filter(F.concat(single, joined), lambda s: F.size(s["grams"]) > 0)
+
+    words = F.transform("lines", paragraph_words)
+    lines = runs(docs, id_col, text).select(*keys, F.explode(bound(words, seen)).alias("s")).select(*keys, "s.*")
     names = [f"w{i}" for i in range(len(kinds))]
     table = [(g, *[float(x) for x in model.weights[i]]) for g, i in model.of.items()]
     weights = spark.createDataFrame(table, "gram string, " + ", ".join(f"{n} double" for n in names))
