@@ -129,5 +129,46 @@ select doc_id, cast(n_removed as bigint) as n_removed, cast(length(kept) as bigi
 """
 
 
+#: Every window of 100 bytes (as 200 hex digits); those that stand earlier too
+#: cover what goes.
+REPEATS_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, p, substr(h, cast(2 * p + 1 as bigint), 200) as s from (select doc_id, h, unnest(generate_series(0, cast(length(h) // 2 as bigint) - 100)) as p from d where length(h) >= 200)),
+r as (select doc_id, p, row_number() over (partition by s order by doc_id, p) as k from w),
+g as (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from r where k > 1),
+i as (select doc_id, p, sum(case when before is null or p > before + 100 then 1 else 0 end) over (partition by doc_id order by p) as run from g),
+runs as (select doc_id, run, min(p) as a, max(p) + 100 as b from i group by all),
+gaps as (select doc_id, b as a, lead(a) over (partition by doc_id order by a) as b from runs union all select doc_id, 0, min(a) from runs group by doc_id),
+kept as (select g.doc_id, string_agg(substr(d.h, cast(2 * g.a + 1 as bigint), cast(2 * (coalesce(g.b, length(d.h) // 2) - g.a) as bigint)), '' order by g.a) as k from gaps g join d on g.doc_id = d.doc_id group by g.doc_id),
+n as (select doc_id, sum(b - a) as removed, count(*) as spans from runs group by doc_id)
+select d.doc_id, cast(length(d.h) // 2 as bigint) as n_bytes, cast(coalesce(n.removed, 0) as bigint) as n_removed, cast(coalesce(n.spans, 0) as bigint) as n_spans,
+       sha256(unhex(coalesce(kept.k, d.h))) as kept_sha256
+from d left join n on n.doc_id = d.doc_id left join kept on kept.doc_id = d.doc_id
+"""
+
+
+def spots_sql() -> str:
+    """Chains of content words behind common words, of the text, the edited text
+    and the next text."""
+    from .spotsigs import ANCHORS
+
+    common = "[" + ", ".join(f"'{w}'" for w in sorted(set(ANCHORS))) + "]"
+    return rf"""
+with d as (select doc_id, coalesce(text, '') as text, row_number() over (order by doc_id desc) as r from documents),
+e as (select a.doc_id, a.text, coalesce(b.text, (select text from d where r = 1)) as next_text from d a left join d b on b.r = a.r + 1),
+f as (select doc_id, text, next_text, left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) as edited from e),
+t as (select doc_id, 0 as kind, text as body from f union all select doc_id, 1, edited from f union all select doc_id, 2, next_text from f),
+w as (select doc_id, kind, list_filter(regexp_split_to_array(lower(body), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '') as ws from t),
+c as (select doc_id, kind, ws, list_filter(list_transform(ws, lambda x, i: {{'w': x, 'a': case when i > 1 and list_contains({common}, ws[i - 1]) then ws[i - 1] end}}), lambda s: not list_contains({common}, s.w)) as cs from w),
+g as (select doc_id, kind, ws, list_filter(list_transform(cs, lambda s, i: case when s.a is not null then substr(md5(concat_ws(' ', s.a, s.w, cs[i + 1].w, cs[i + 2].w)), 1, 8) end), lambda x: x is not null) as found from c),
+h as (select doc_id, kind, list_sort(list_distinct(case when len(found) > 0 then found else list_transform(ws, lambda x, i: substr(md5(concat_ws(' ', x, ws[i + 1], ws[i + 2])), 1, 8)) end)) as s from g),
+p as (select f.doc_id, cast(length(f.text) as bigint) as n_chars, sha256(f.edited) as edited_sha256, a.s as x, b.s as y, n.s as z from f join h a on a.doc_id = f.doc_id and a.kind = 0 join h b on b.doc_id = f.doc_id and b.kind = 1 join h n on n.doc_id = f.doc_id and n.kind = 2)
+select doc_id, n_chars, edited_sha256, array_to_string(x, '') as fingerprint, array_to_string(y, '') as edited_fingerprint,
+       case when len(x) + len(y) = 0 then 1.0::double else len(list_intersect(x, y))::double / (len(x) + len(y) - len(list_intersect(x, y))) end as near_edited,
+       case when len(x) + len(z) = 0 then 1.0::double else len(list_intersect(x, z))::double / (len(x) + len(z) - len(list_intersect(x, z))) end as near_next
+from p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": TOP_K_SQL, "op10_lines": LINES_SQL}
+    return {"op1_topk": TOP_K_SQL, "op6_suffixes": REPEATS_SQL, "op9_spotsigs": spots_sql(), "op10_lines": LINES_SQL}

@@ -1,8 +1,8 @@
 """SpotSigs fingerprints: chains of content words behind common-word anchors.
 
 A spot is a common word (the anchor) that a content word follows; its signature
-hashes the anchor and the next three content words. A document's fingerprint is
-the sorted set of its signatures, written as 8 hex digits each; a text without
+is 8 hex digits of the MD5 of the anchor and the next three content words. A
+document's fingerprint is the sorted set of its signatures, joined; a text without
 a spot takes the chains of all its words instead, one without a word has the
 empty fingerprint. Likeness is the Jaccard similarity of two sets.
 
@@ -35,11 +35,10 @@ ANCHORS = (
     "al con como de del el ella en es esta este la las lo los más no o para pero por que se sin su sus un una y"
 ).split()
 CHAIN = 3
-MASK = 0xFFFFFFFF
 
 
 def spot_set(text: Column, anchors: list[str] | None = None, chain: int = CHAIN) -> Column:
-    """The sorted set of a text's signatures, array<bigint> of 32-bit values."""
+    """The sorted set of a text's signatures, array<string>."""
     return spot_set_of_words(spot_words(text), anchors, chain)
 
 
@@ -50,7 +49,7 @@ def spot_words(text: Column) -> Column:
 
 def spot_set_of_words(words: Column, anchors: list[str] | None = None, chain: int = CHAIN) -> Column:
     common = sorted(set(ANCHORS if anchors is None else anchors))
-    low = lambda h: h.bitwiseAND(F.lit(MASK))
+    signature = lambda *parts: F.substring(F.md5(F.concat_ws(" ", *parts)), 1, 8)
     ordered = lambda hashes: F.array_sort(F.array_distinct(hashes))
 
     def content(w: Column) -> Column:
@@ -60,11 +59,11 @@ def spot_set_of_words(words: Column, anchors: list[str] | None = None, chain: in
 
     def spots(c: Column) -> Column:
         ahead = lambda i: [F.get(c, i + k)["w"] for k in range(1, chain)]
-        chains = F.transform(c, lambda s, i: F.when(s["a"].isNotNull(), low(F.xxhash64(s["a"], s["w"], *ahead(i)))))
+        chains = F.transform(c, lambda s, i: F.when(s["a"].isNotNull(), signature(s["a"], s["w"], *ahead(i))))
         return F.filter(chains, lambda h: h.isNotNull())
 
     def signatures(w: Column) -> Column:
-        plain = F.transform(w, lambda x, i: low(F.xxhash64(x, *[F.get(w, i + k) for k in range(1, chain)])))
+        plain = F.transform(w, lambda x, i: signature(x, *[F.get(w, i + k) for k in range(1, chain)]))
         return bound(bound(content(w), spots), lambda found: F.when(F.size(found) > 0, ordered(found)).otherwise(ordered(plain)))
 
     return bound(words, signatures)
@@ -72,7 +71,7 @@ def spot_set_of_words(words: Column, anchors: list[str] | None = None, chain: in
 
 def spot_text(signatures: Column) -> Column:
     """A fingerprint as a string."""
-    return F.array_join(F.transform(signatures, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    return F.array_join(signatures, "")
 
 
 def spot_jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
