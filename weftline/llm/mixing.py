@@ -35,9 +35,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import fresh, materialize
+from .common import fresh, materialize, row_mark
 
 #: White space separates words: U+0020 and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,11 +53,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def row_mark(docs: DataFrame) -> Column:
-    """What tells rows apart: a hash of all columns."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, T.MapType | T.VariantType)])
-
-
 def take_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs with every row as often as the mix of these docs takes it (rows that
     are equal in all columns are one row with the copies of all)."""

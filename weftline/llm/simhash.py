@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_chunks, filled, is_space, materialize, mix
+from .common import byte_chunks, filled, fresh, is_space, materialize, mix, row_mark
 from .components import connected_components
 
 #: Fixed values of XXH64.
@@ -266,3 +266,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     prints = materialize(docs.select(F.col(id_col).alias("__id"), fingerprint(F.col(text)).alias("__fp")))
     parts = simhash_components(prints, max_bits, "__id", "__fp")
     return prints.join(parts, "__fp", "left").select(F.col("__id").alias(id_col), F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_bits: int = 3) -> DataFrame:
+    """docs with one row of each near-duplicate group: the smallest id, of several
+    rows of that id the one of the smallest hash. Rows with a null id stay, and
+    an equal row of any number stays once."""
+    mark, one, row, id_ = fresh(docs, "__mark"), fresh(docs, "__first"), fresh(docs, "__row"), F.col(f"`{id_col}`")
+    prints = materialize(docs.where(id_.isNotNull()).select(id_.alias("__id"), row_mark(docs).alias("__row"), fingerprint(F.col(f"`{text}`")).alias("__fp")))
+    # groups by their smallest fingerprint: rows of one id may be in several
+    parts = simhash_components(prints.select("__fp", F.col("__fp").alias("__as_id")), max_bits, "__as_id", "__fp")
+    firsts = prints.join(parts, "__fp").groupBy("component").agg(F.min(F.struct("__id", "__row")).alias("first"))
+    firsts = materialize(firsts.select(F.col("first.__id").alias(one), F.col("first.__row").alias(row)))
+    rows = docs.withColumn(mark, row_mark(docs))
+    kept = rows.join(firsts, (id_ == F.col(one)) & (F.col(mark) == F.col(row)), "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    return kept.unionByName(docs.where(id_.isNull()))
