@@ -118,8 +118,8 @@ def extraction_stats(results: DataFrame) -> DataFrame:
 
 
 def distribution(results: DataFrame, column: str) -> DataFrame:
-    """How often each value occurs among successes with a rule."""
-    return results.where(F.col("success") & F.col("has_rule")).groupBy(F.coalesce(F.col(column), F.lit("unknown")).alias("value")).agg(F.count("*").alias("n"))
+    """How often each value occurs among successes with a rule, commonest first."""
+    return results.where(F.col("success") & F.col("has_rule")).groupBy(F.coalesce(F.col(column), F.lit("unknown")).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value")
 
 
 def running_stats(results: DataFrame, order: str = "pos", every: int = 100) -> DataFrame:

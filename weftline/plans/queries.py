@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import dedupe, extraction, posts, rules, semantic, spelling, web
 from ..session import prepare
-from ..tables import settle, spread
+from ..tables import settle, spread, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,20 +207,25 @@ def dedupe_posts_id(spark, sf_dir):
     return posts.unique_posts(doc_posts(spark, sf_dir)).select("pos", "category", "post_id")
 
 
-@query(DOC_POSTS + "select count(*) as total_posts, count(*) - count(*) filter (where r = 1) as duplicate_posts, count(*) filter (where r = 1) as remaining_posts, cast(0 as bigint) as duplicate_comments from (select row_number() over (partition by category, title order by pos) as r from p)")
+def twice_threads(spark, sf_dir) -> DataFrame:
+    """Threads whose comments all stand twice."""
+    return threads(spark, sf_dir).withColumn("comments", F.concat("comments", "comments"))
+
+
+@query(THREADS + """, k as (select conv_id, row_number() over (partition by conv_id % 7, left(first, 12) order by conv_id) as r from firsts),
+a as (select count(distinct t.text) as n from k join turns t on t.conv_id = k.conv_id where r = 1 group by k.conv_id)
+select count(*) as total_posts, count(*) filter (where r > 1) as duplicate_posts, count(*) filter (where r = 1) as remaining_posts,
+(select 2 * count(*) from turns) - (select cast(sum(n) as bigint) from a) as duplicate_comments from k""")
 def dedupe_counts(spark, sf_dir):
-    rows = doc_posts(spark, sf_dir)
-    return posts.dedupe_counts(rows, posts.unique_titles(rows))
+    rows = twice_threads(spark, sf_dir).withColumn("title", F.substring("title", 1, 12))
+    return posts.dedupe_counts(rows, posts.unique_titles(rows).withColumn("comments", posts.unique_bodies("comments")), "comments")
 
 
-@query("""with c as (select conv_id, turn, left(text, 1) as body, row_number() over (partition by conv_id, left(text, 1) order by turn) as r from conversations)
-select cast(conv_id as varchar) as post_id, count(*) filter (where r = 1) as bodies, count(*) as pairs, count(*) - count(*) filter (where r = 1) as dropped from c group by conv_id""")
+@query("select cast(conv_id as varchar) as post_id, count(distinct text) as bodies, count(*) as pairs, 2 * count(*) - count(distinct text) as dropped from conversations group by conv_id")
 def dedupe_comments(spark, sf_dir):
-    short = lambda c: F.struct(c["comment_id"].alias("comment_id"), F.substring(c["body"], 1, 1).alias("body"), c["score"].alias("score"))
-    rows = threads(spark, sf_dir).withColumn("comments", F.transform("comments", short))
     n = lambda c: F.size(c).cast("long")
-    rows = rows.select("post_id", n(posts.unique_bodies("comments")).alias("bodies"), n(posts.unique_comments("comments", False)).alias("pairs"))
-    return rows.withColumn("dropped", F.col("pairs") - F.col("bodies"))
+    rows = twice_threads(spark, sf_dir)
+    return rows.select("post_id", n(posts.unique_bodies("comments")).alias("bodies"), n(posts.unique_comments("comments", False)).alias("pairs"), (n("comments") - n(posts.unique_bodies("comments"))).alias("dropped"))
 
 
 @query("select source as category, count(*) as posts, cast(grouping(source) as integer) as is_total from documents group by rollup (source)")
@@ -344,7 +349,8 @@ def validate_report(spark, sf_dir):
 
 @query(CHECKED + "select pos, t as rule_text from e where error is null")
 def filter_invalid(spark, sf_dir):
-    return checked(spark, sf_dir).where("error is null").select("pos", "rule_text")
+    rows = checked(spark, sf_dir).drop("error")
+    return rules.keep_valid(rows, prohibited=PROMO, advice=SAYS, fashion=NEED)
 
 
 @query(SENTENCES + f"select count(*) as sentences, count(*) filter (where {any_sql('lower(sentence)', SAYS)} and {any_sql('lower(sentence)', GARMENT)}) as accepted from long")
@@ -353,10 +359,10 @@ def classify_fallback(spark, sf_dir):
 
 
 @query(SENTENCES + f"""select {type_sql("sentence", list(reversed(TYPES)))} as rule_type, greatest(1, least(10, 5 + case when {count_sql("sentence")} >= 8 then 2 else 0 end + cast(round_even((length(sentence) % 101) / 100.0::double * 3, 0) as integer))) as quality,
-cast(length(sentence) % 101 as integer) * 10 // 100 as quality_a, count(*) as n from long group by all""")
+cast(floor((length(sentence) % 101) / 100.0::double * 10) as integer) as quality_a, count(*) as n from long group by all""")
 def rule_type_and_quality(spark, sf_dir):
     similarity = (F.length("sentence") % 101) / F.lit(100.0)
-    rows = sentences_of(spark, sf_dir).select(rules.first_type("sentence", list(reversed(TYPES))).alias("rule_type"), rules.quality_b(X.word_count("sentence"), similarity).alias("quality"), F.floor((F.length("sentence") % 101) * 10 / 100).cast("int").alias("quality_a"))
+    rows = sentences_of(spark, sf_dir).select(rules.first_type("sentence", list(reversed(TYPES))).alias("rule_type"), rules.quality_b(X.word_count("sentence"), similarity).alias("quality"), rules.quality_a(similarity).alias("quality_a"))
     return rows.groupBy("rule_type", "quality", "quality_a").agg(F.count("*").alias("n"))
 
 
@@ -487,12 +493,12 @@ def truncate_sql(x: str, n: int) -> str:
     THREADS
     + f""", p as (select f.conv_id, {strip_sql('left(first, 60)')} as title, {strip_sql('second')} as body, {strip_sql('top.text')} as best from firsts f join top on f.conv_id = top.conv_id and r = 1)
 select cast(conv_id as varchar) as post_id, '<s>[INST] ' || chr(10) || chr(10) || 'Analyze this Reddit fashion post and extract any fashion rules or advice:' || chr(10) || chr(10) ||
-concat_ws(chr(10) || chr(10), 'Title: ' || title, case when body <> '' then 'Post Content: ' || {truncate_sql('body', 100)} end, case when best <> '' then 'Top Comment: ' || {truncate_sql('best', 60)} end) ||
+concat_ws(chr(10) || chr(10), 'Title: ' || title, case when body <> '' then 'Post Content: ' || {truncate_sql('body', 500)} end, case when best <> '' then 'Top Comment: ' || {truncate_sql('best', 300)} end) ||
 chr(10) || chr(10) || 'Return only valid JSON. [/INST]' as prompt from p"""
 )
 def prompt_extraction(spark, sf_dir):
     rows = threads(spark, sf_dir)
-    return rows.select("post_id", extraction.forum_prompt(F.col("title"), F.col("selftext"), F.col("comments"), text_cut=100, comment_cut=60).alias("prompt"))
+    return rows.select("post_id", extraction.forum_prompt(F.col("title"), F.col("selftext"), F.col("comments")).alias("prompt"))
 
 
 @query(
@@ -645,10 +651,15 @@ def cluster_examples(spark, sf_dir):
     return semantic.cluster_examples(clustered(spark, sf_dir))
 
 
-@query(CLUSTERED + ", n as (select cluster, count(distinct category) as cats, count(*) as rows from j group by 1) select cluster, cast(least(cats, 5) as bigint) as top_categories, cast(least(rows, 5) as bigint) as examples from n")
+@query(CLUSTERED + """, c as (select cluster, category, count(*) as n, min(pos) as f from j where coalesce(category, '') <> '' group by all),
+a as (select cluster, string_agg(category || ':' || n, ',' order by rank) as top_categories from (select *, row_number() over (partition by cluster order by n desc, f) as rank from c) where rank <= 5 group by 1),
+e as (select cluster, string_agg(pos || ':' || length(left(text, 320)), ',' order by pos) as examples from (select *, row_number() over (partition by cluster order by pos) as rank from j) where rank <= 5 group by 1)
+select e.cluster, top_categories, examples from e left join a on a.cluster = e.cluster""")
 def cluster_summary(spark, sf_dir):
     s = semantic.cluster_summary(clustered(spark, sf_dir))
-    return s.select("cluster", F.size("top_categories").cast("long").alias("top_categories"), F.size("examples").cast("long").alias("examples"))
+    cats = F.array_join(F.transform("top_categories", lambda c: F.concat_ws(":", c["category"], c["count"].cast("string"))), ",")
+    examples = F.array_join(F.transform("examples", lambda e: F.concat_ws(":", e["post_id"], F.length(e["excerpt"]).cast("string"))), ",")
+    return s.select("cluster", cats.alias("top_categories"), examples.alias("examples"))
 
 
 # Spelling
@@ -699,15 +710,14 @@ def zero_shot(spark, sf_dir):
     return rows.select("text", "label", "score")
 
 
-@query()
+@query("select doc_id, source, n_chars from documents")
 def incremental_append(spark, sf_dir):
     """Documents in two streamed batches of files into one target, each id once."""
     import uuid
 
     from ..streaming.incremental import run_incremental
 
-    base = spark.conf.get("spark.checkpoint.dir", "") or "file:///tmp/weftline-rounds"
-    work = f"{base.rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    work = f"{work_dir(spark)}/incremental-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     docs.union(docs).repartition(4).write.parquet(f"{work}/in")
     return run_incremental(spark, f"{work}/in", docs.schema, f"{work}/out", f"{work}/checkpoint", ["doc_id"], files_per_batch=2)

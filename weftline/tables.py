@@ -27,13 +27,20 @@ def _remove_made() -> None:
 atexit.register(_remove_made)
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The folder that all machines share: spark.checkpoint.dir, or a local one
+    where that is unset, in local sessions only."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (base or f"file://{tempfile.gettempdir()}/weftline-rounds").rstrip("/")
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Write df below spark.checkpoint.dir (a local folder where that is unset)
-    and read it again, so that a lost executor costs no earlier round. The files
-    go when the interpreter ends."""
+    """Write df to the shared folder and read it again, so that a lost executor
+    costs no earlier round. The files go when the interpreter ends."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", "") or f"file://{tempfile.gettempdir()}/weftline-rounds"
-    path = f"{base.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
