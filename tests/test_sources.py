@@ -62,7 +62,8 @@ def test_data_sources(spark, monkeypatch, tmp_path):
     rows = spark.read.format("weftline_pages").option("urls", urls).load().collect()
     assert len(rows) == 2 and sum(r.error is not None for r in rows) >= 1
     found = spark.read.format("weftline_search").option("categories", "a\ndown").option("queries", "q=title:x\nr=y").option("client", "tests.test_sources:client").load().collect()
-    assert sorted((r.category, r.query, r.post_id) for r in found) == [("a", q, f"a-{i}") for q in "qr" for i in range(2)]
+    assert sorted((r.query, r.error) for r in found if r.category == "down") == [("q", "OSError: "), ("r", "OSError: ")]
+    assert sorted((r.category, r.query, r.post_id) for r in found if r.error is None) == [("a", q, f"a-{i}") for q in "qr" for i in range(2)]
 
 
 def test_incremental(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .operators import posts, rules
 from .plans import pipelines
-from .session import local_session
+from .session import session
 from .sources import files, web
 
 
@@ -22,7 +22,7 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--min-quality", type=int, default=7)
     p.add_argument("--keep-deleted", action="store_true")
     o = p.parse_args(args)
-    spark = local_session()
+    spark = session()
 
     def pages():
         web.register(spark)

@@ -61,7 +61,7 @@ PROMO_PROTOTYPE = "This is promotional text, or navigational or call-to-action,
 # Pages
 URL_KEYWORDS = ["guide", "rules", "how", "do", "dont", "tips", "tutorial", "etiquette", "fit", "style", "ways", "ways-to", "dos-and-donts"]
 DROPPED_TAGS = ["script", "style", "nav", "footer", "aside", "header", "form", "iframe"]
-MAIN_SELECTORS_A = ["article", "div~article", "div~post", "div~content", "div~main", ".article", ".post", ".post-content", ".entry-content", "main"]
+MAIN_SELECTORS_A = ["article", 'div[class*="article"]', 'div[class*="post"]', 'div[class*="content"]', 'div[class*="main"]', ".article", ".post", ".post-content", ".entry-content", "main"]
 MAIN_SELECTORS_B = ["article", ".article", ".post-content", ".entry-content", ".content", "main"]
 PROMO_CLASSES = ["promo", "sidebar", "widget", "banner", "ad", "newsletter"]
 LINE_TAGS = ["p", "h1", "h2", "h3", "h4", "h5", "h6", "li"]

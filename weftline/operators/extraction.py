@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions.schemas import DIGEST, EXTRACTION
-from ..functions.text import collapse, cut, salvage_json, strip, truncate, utc_seconds
+from ..functions.text import cut, salvage_json, strip, truncate, utc_seconds
 from .posts import DELETED, top_comment_text, top_comments
 
 Model = Callable[[list[str]], list[str]]
@@ -222,7 +222,3 @@ def zero_shot(texts: DataFrame, score: Callable[[list[str], list[str]], list[lis
 
     sample = texts.orderBy(F.xxhash64(F.lit(seed), text), text).limit(n)
     return sample.withColumn("__j", judged(F.substring(text, 1, text_cut))).select("*", "__j.*").drop("__j")
-
-
-def one_line(text: Column | str) -> Column:
-    return collapse(text)

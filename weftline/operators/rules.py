@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions.text import bind, contains_any, matches_any, normalize, percent, sentences, strip, word_count, words
+from ..tables import settle
 
 
 def sentence_rows(docs: DataFrame, text: str = "text", longer_than: int = 20, min_text: int = 20, max_text: int | None = 2000) -> DataFrame:
@@ -107,13 +108,15 @@ def clean_stats(reasons: DataFrame, column: str = "reasons") -> DataFrame:
 
 
 def validation_report(errors: DataFrame, text: str = "rule_text", error: str = "error", order: str = "pos", samples: int = 10) -> DataFrame:
-    """total, valid, invalid, pass_rate as text, and the first invalid rules."""
-    n, ok = F.count("*"), F.count_if(F.col(error).isNull())
+    """total, valid, invalid, pass_rate as text, and the first invalid rules. The
+    errors are computed once, into a table of a short row for each rule."""
+    shown = F.when(F.col(error).isNotNull(), F.substring(text, 1, 60))
+    judged = settle(errors.select(F.col(order).alias("o"), shown.alias("text"), F.col(error).alias("error")))
+    n, ok = F.count("*"), F.count_if(F.col("error").isNull())
     rate = F.when(n == 0, F.lit("0%")).otherwise(percent(F.try_divide(ok, n) * 100))
-    counts = errors.agg(n.alias("total"), ok.alias("valid"), (n - ok).alias("invalid"), rate.alias("pass_rate"))
-    first = errors.where(F.col(error).isNotNull()).orderBy(order).limit(samples)
-    issue = F.struct(F.col(order).alias("o"), F.substring(text, 1, 60).alias("text"), F.col(error).alias("error"))
-    issues = first.agg(F.transform(F.array_sort(F.collect_list(issue)), lambda x: F.struct(x["text"].alias("text"), x["error"].alias("error"))).alias("sample_issues"))
+    counts = judged.agg(n.alias("total"), ok.alias("valid"), (n - ok).alias("invalid"), rate.alias("pass_rate"))
+    first = judged.where("error is not null").orderBy("o").limit(samples)
+    issues = first.agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "text", "error"))), lambda x: F.struct(x["text"].alias("text"), x["error"].alias("error"))).alias("sample_issues"))
     return counts.join(issues)
 
 

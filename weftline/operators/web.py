@@ -51,12 +51,12 @@ class Node:
         self.parent.children.remove(self)
 
     def has(self, selector: str) -> bool:
-        """tag, .class, or tag~part (a part of the class attribute)."""
+        """tag, .class, or tag[class*="part"]."""
         names = self.attrs.get("class", "")
         if selector.startswith("."):
             return selector[1:] in names.split()
-        tag, _, part = selector.partition("~")
-        return self.tag == tag and part in names
+        tag, _, part = selector.partition("[class*=")
+        return self.tag == tag and part.rstrip("]").strip('"') in names
 
     def first(self, selectors: Sequence[str]) -> Node | None:
         return next((n for s in selectors for n in self.walk() if n.has(s)), None)

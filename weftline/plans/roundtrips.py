@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions import text as X
-from ..operators import extraction, posts, rules, spelling
+from ..operators import extraction, posts, rules, spelling, web
 from ..sources import files
-from ..tables import work_dir
-from .queries import NAV, NEED, PROMO, SAYS, SENTENCES, THREADS, TOKENS, collapse_sql, count_sql, query, reasons_sql, sentences_of, strip_sql, table, threads, truncate_sql, word_counts
+from ..tables import spread, work_dir
+from . import pipelines
+from .queries import KEYS, NAV, NEED, PROMO, SAYS, SENTENCES, THREADS, TOKENS, TYPES, WS, any_sql, collapse_sql, count_sql, query, reasons_sql, sentences_of, strip_sql, table, threads, truncate_sql, type_sql, word_counts
 
 
 def place(spark: SparkSession, name: str) -> str:
@@ -216,3 +217,103 @@ def spelling_corrected(spark, sf_dir):
     known = word_counts(spark, sf_dir).where("n >= 40").select("word", F.col("n").alias("freq"))
     return spelling.correct(table(spark, sf_dir, "documents").select("doc_id", "text"), known, "doc_id", skip=[], edits=1)
 
+
+
+# Pages built of documents, so that SQL can tell what a parser must find
+
+
+def built_pages(spark, sf_dir) -> DataFrame:
+    """(url, html): a menu, then every line as a paragraph, a list item or a
+    numbered line, by its place."""
+    text = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+    def block(line, i):
+        return (
+            F.when(i % 3 == 0, F.concat(F.lit('<p class="x">'), line, F.lit("</p>")))
+            .when(i % 3 == 1, F.concat(F.lit("<ul><li><b>"), line, F.lit("</b></li></ul>")))
+            .otherwise(F.concat(F.lit("<p>1. "), line, F.lit(" 2) "), line, F.lit("</p>")))
+        )
+
+    body = F.array_join(F.transform(F.split(text, "\n"), block), "\n")
+    page = F.concat(F.lit("<html><head><script>var a = '<p>no text</p>';</script></head><body><nav><ul><li>a menu that is long enough to be a line of text</li></ul></nav><article>"), body, F.lit("</article></body></html>"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("url"), page.alias("html"))
+
+
+BUILT = f"""with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
+n as (select doc_id, i - 1 as i, {collapse_sql('parts[i]')} as line from (select doc_id, parts, unnest(generate_series(1, len(parts))) as i from l)),
+"""
+
+
+@query(BUILT + f"t as (select doc_id, i, case when i % 3 = 2 then {collapse_sql("'1. ' || line || ' 2) ' || line")} else line end as line from n) select cast(doc_id as varchar) as url, coalesce(string_agg(line, ' ' order by i) filter (where length(line) > 30), '') as text from t group by doc_id")
+def html_text_built(spark, sf_dir):
+    return built_pages(spark, sf_dir).select("url", web.html_text("html").alias("text"))
+
+
+@query(BUILT + rf"""li as (select doc_id, 0 as k, i, 0 as j, line as text from n where i % 3 = 1 and length(line) > 20),
+num as (select doc_id, 1 as k, i, string_split_regex({collapse_sql("'1. ' || line || ' 2) ' || line")}, '\d+\.|\d+\)') as s from n where i % 3 = 2 and length({collapse_sql("'1. ' || line || ' 2) ' || line")}) > 30),
+nums as (select doc_id, k, i, j, {strip_sql('s[j]')} as text from (select *, unnest(generate_series(1, len(s))) as j from num)),
+longs as (select doc_id, 1 as k, i, 0 as j, line as text from n where i % 3 < 2 and length(line) > 60 and not regexp_matches(line, '^(\d+\.|\d+\))[{WS}]+') and ({' or '.join(f"contains(lower(line), '{w}')" for w in SAYS)})),
+own as (select doc_id, 1 as k, i, string_split_regex(line, '\d+\.|\d+\)') as s from n where i % 3 < 2 and length(line) > 30 and regexp_matches(line, '^(\d+\.|\d+\))[{WS}]+')),
+owns as (select doc_id, k, i, j, {strip_sql('s[j]')} as text from (select *, unnest(generate_series(1, len(s))) as j from own)),
+a as (select * from li union all select * from nums where length(text) > 30 union all select * from owns where length(text) > 30 union all select * from longs),
+f as (select doc_id, text, row_number() over (partition by doc_id, text order by k, i, j) as r from a)
+select cast(doc_id as varchar) as source, text from f where r = 1""")
+def html_candidates_built(spark, sf_dir):
+    return web.html_candidates(built_pages(spark, sf_dir), advice=SAYS).select("source", "text")
+
+
+# Models and sources at arm's length
+
+
+def measure(texts: list[str]) -> list[list[float]]:
+    """An encoder that sees only lengths."""
+    return [[len(t) % 7 + 1.0, len(t) % 5 + 0.5] for t in texts]
+
+
+TEMPLATES = ["a template of some words", "another"]
+
+
+@query(
+    rf"""with parts as (select doc_id, string_split_regex(case when length(text) > 2000 then left(text, 2000) || '...' else text end, '[.!?]+') as s from documents where length({strip_sql("text")}) >= 20),
+sent as (select doc_id, i - 1 as pos, {strip_sql("s[i]")} as sentence from (select doc_id, s, unnest(generate_series(1, len(s))) as i from parts)),
+e as (select doc_id, pos, sentence, length(sentence) % 7 + 1.0::double as x, length(sentence) % 5 + 0.5::double as y from sent where length(sentence) > 20 and {any_sql("lower(sentence)", KEYS)}),
+c as (select *, greatest({", ".join(f"(x * {len(t) % 7 + 1.0}::double + y * {len(t) % 5 + 0.5}::double) / (sqrt(x * x + y * y) * sqrt({(len(t) % 7 + 1.0) ** 2 + (len(t) % 5 + 0.5) ** 2}::double))" for t in TEMPLATES)}) as similarity from e)
+select doc_id, cast(pos as integer) as pos, {type_sql("sentence", TYPES)} as rule_type, {count_sql("sentence")} as word_count, round(similarity, 6) as similarity, quality from (select *, cast(floor(round(similarity, 9) * 10) as integer) as quality from c) where similarity > 0.9 and similarity < 0.9999999"""
+)
+def similarity_rules(spark, sf_dir):
+    """Sentences near a template, by an encoder that is a plain function."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = pipelines.rules_by_similarity(docs, measure, templates=TEMPLATES, keywords=KEYS, types=TYPES, threshold=0.9).where("similarity < 0.9999999")
+    return rows.select("doc_id", "pos", "rule_type", F.col("word_count").cast("long").alias("word_count"), F.round("similarity", 6).alias("similarity"), F.col("quality_score").alias("quality"))
+
+
+def found_posts(category: str, text: str, limit: int, options: dict) -> list[dict]:
+    """A search client: as many posts as the category has letters; one category is down."""
+    if category == "down":
+        raise OSError("down")
+    return [{"post_id": f"{category}-{i}", "title": text, "score": i * 7 % 5, "comments": [{"comment_id": "c", "body": options["user"], "score": i}]} for i in range(len(category))][:limit]
+
+
+@query("""with c(category) as (values ('ab'), ('abcdef'), ('down')), q(query, title) as (values ('fit', 'title:"fit"'), ('hat', 'hats'))
+select category, query, category || '-' || i as post_id, title, cast(i * 7 % 5 as bigint) as score, 'me' as body, null as error from c, q, generate_series(0, 3) g(i) where category <> 'down' and i < length(category)
+union all select category, query, null, null, null, null, 'OSError: down' from c, q where category = 'down'""")
+def search_posts(spark, sf_dir):
+    """Every category with every query; a search that fails is a row."""
+    from ..sources import web as sources
+
+    sources.register(spark)
+    read = spark.read.format("weftline_search").option("categories", "ab\nabcdef\ndown").option("queries", 'fit=title:"fit"\nhat=hats').option("limit", "4").option("user", "me")
+    rows = read.option("client", "weftline.plans.roundtrips:found_posts").load()
+    return rows.select("category", "query", "post_id", "title", "score", F.get("comments", F.lit(0))["body"].alias("body"), "error")
+
+
+@query("select cast(conv_id as varchar) as post_id, 'r/' || cast(conv_id % 7 as varchar) as subreddit, count(*) as comments from conversations group by conv_id")
+def cli_records(spark, sf_dir):
+    """The command line's records of category files: posts by id, labelled."""
+    from ..__main__ import main
+
+    docs = listed_posts(spark, sf_dir).select(F.to_json(F.create_map("category", "posts")).alias("value"))
+    source, target = documents_of(docs, place(spark, "cli")), place(spark, "records")
+    main(["records", source, target])
+    rows = spark.read.schema("post_id string, subreddit string, comments array<struct<comment_id:string>>").json(target)
+    return rows.select("post_id", "subreddit", F.size("comments").cast("long").alias("comments"))

@@ -27,6 +27,14 @@ def need(module: str, hint: str = "") -> None:
         raise RuntimeError(f"{module} is not installed" + (f": {hint}" if hint else ""))
 
 
+def session() -> SparkSession:
+    """The session that is active, or that spark-submit or the configuration
+    describes; a local one only where nothing names a master."""
+    if SparkSession.getActiveSession() or "PYSPARK_GATEWAY_PORT" in os.environ or os.environ.get("SPARK_CONF_DIR") or os.environ.get("SPARK_REMOTE"):
+        return prepare(SparkSession.builder.appName("weftline").getOrCreate())
+    return local_session()
+
+
 def local_session(cpus: int = 8, memory: str = "8g", partitions: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")

@@ -23,7 +23,6 @@ def category_map(spark: SparkSession, path: str, strict: bool = False) -> DataFr
     parsed = F.parse_json("value") if strict else F.try_parse_json("value")
     files = whole.select(F.col("_metadata.file_path").alias("file"), "value", parsed.alias("v")).where("v is not null")
     order = F.json_object_keys("value")
-    files.createOrReplaceTempView("__weftline_files")
     rows = files.select("file", order.alias("names"), "v")
     cats = rows.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("file", "names", F.col("key").alias("category"), F.col("value").alias("items"))
     cats = cats.where(F.schema_of_variant("items").startswith("ARRAY"))

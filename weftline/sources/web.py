@@ -60,14 +60,15 @@ class SearchSource(DataSource):
     (options ``categories`` and ``queries``, one a line as name=string), best
     first, at most ``limit`` each. Option ``client`` names a callable as
     module:function (category, query, limit, options) -> iterable of rows; the
-    options hold whatever credentials it needs."""
+    options hold whatever credentials it needs. A search that fails is a row with
+    an error."""
 
     @classmethod
     def name(cls):
         return "weftline_search"
 
     def schema(self):
-        return "category string, query string, post_id string, title string, score long, url string, flair string, selftext string, comments array<struct<comment_id:string,body:string,score:bigint>>"
+        return "category string, query string, post_id string, title string, score long, url string, flair string, selftext string, comments array<struct<comment_id:string,body:string,score:bigint>>, error string"
 
     def reader(self, schema):
         return _Search(self.options)
@@ -90,11 +91,12 @@ class _Search(DataSourceReader):
         for category, query, text in partition.items:
             try:
                 found = list(client(category, text, int(self.options.get("limit", "0")), self.options))
-            except Exception:  # an unreachable category or a failed search is passed over
+            except Exception as e:  # an unreachable category or a failed search
+                yield category, query, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"
                 continue
             for r in sorted(found, key=lambda r: -(r.get("score") or 0)):
                 comments = [(c.get("comment_id"), c.get("body"), c.get("score")) for c in r.get("comments", [])]
-                yield category, query, r.get("post_id"), r.get("title"), r.get("score"), r.get("url"), r.get("flair"), r.get("selftext"), comments
+                yield category, query, r.get("post_id"), r.get("title"), r.get("score"), r.get("url"), r.get("flair"), r.get("selftext"), comments, None
 
 
 def register(spark) -> None:
