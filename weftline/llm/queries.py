@@ -78,6 +78,16 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def spotsigs_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of equal fingerprints and the number of classes
+    that it links to at 0.8: op9's join, by length partitions and pruned Jaccard."""
+    from .spotsigs import spot_links
+
+    links, member = spot_links(_table(spark, sf_dir, "documents"))
+    counts = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    return member.join(counts, "class", "left").select("doc_id", "class", F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import dedup_lines
 
@@ -93,7 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_topk, op2_quality, op3_packing, op4_licences, op5_language, op6_suffixes, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, pipeline)
+    found = (op1_topk, op2_quality, op3_packing, op4_licences, op5_language, op6_suffixes, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, pipeline, spotsigs_links)
     return {f.__name__: f for f in found}
 
 
@@ -147,21 +157,27 @@ from d left join n on n.doc_id = d.doc_id left join kept on kept.doc_id = d.doc_
 """
 
 
-def spots_sql() -> str:
-    """Chains of content words behind common words, of the text, the edited text
-    and the next text."""
+def spot_sets_sql(bodies: str) -> str:
+    """CTE h (doc_id, kind, s): the sets of chains of content words behind common
+    words, of the bodies of CTE t (doc_id, kind, body)."""
     from .spotsigs import ANCHORS
 
     common = "[" + ", ".join(f"'{w}'" for w in sorted(set(ANCHORS))) + "]"
     return rf"""
-with d as (select doc_id, coalesce(text, '') as text, row_number() over (order by doc_id desc) as r from documents),
-e as (select a.doc_id, a.text, coalesce(b.text, (select text from d where r = 1)) as next_text from d a left join d b on b.r = a.r + 1),
-f as (select doc_id, text, next_text, left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) as edited from e),
-t as (select doc_id, 0 as kind, text as body from f union all select doc_id, 1, edited from f union all select doc_id, 2, next_text from f),
+{bodies}
 w as (select doc_id, kind, list_filter(regexp_split_to_array(lower(body), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '') as ws from t),
 c as (select doc_id, kind, ws, list_filter(list_transform(ws, lambda x, i: {{'w': x, 'a': case when i > 1 and list_contains({common}, ws[i - 1]) then ws[i - 1] end}}), lambda s: not list_contains({common}, s.w)) as cs from w),
 g as (select doc_id, kind, ws, list_filter(list_transform(cs, lambda s, i: case when s.a is not null then substr(md5(concat_ws(' ', s.a, s.w, cs[i + 1].w, cs[i + 2].w)), 1, 8) end), lambda x: x is not null) as found from c),
-h as (select doc_id, kind, list_sort(list_distinct(case when len(found) > 0 then found else list_transform(ws, lambda x, i: substr(md5(concat_ws(' ', x, ws[i + 1], ws[i + 2])), 1, 8)) end)) as s from g),
+h as (select doc_id, kind, list_sort(list_distinct(case when len(found) > 0 then found else list_transform(ws, lambda x, i: substr(md5(concat_ws(' ', x, ws[i + 1], ws[i + 2])), 1, 8)) end)) as s from g)"""
+
+
+def spots_sql() -> str:
+    """Sets of the text, the edited text and the next text."""
+    bodies = """with d as (select doc_id, coalesce(text, '') as text, row_number() over (order by doc_id desc) as r from documents),
+e as (select a.doc_id, a.text, coalesce(b.text, (select text from d where r = 1)) as next_text from d a left join d b on b.r = a.r + 1),
+f as (select doc_id, text, next_text, left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) as edited from e),
+t as (select doc_id, 0 as kind, text as body from f union all select doc_id, 1, edited from f union all select doc_id, 2, next_text from f),"""
+    return spot_sets_sql(bodies) + """,
 p as (select f.doc_id, cast(length(f.text) as bigint) as n_chars, sha256(f.edited) as edited_sha256, a.s as x, b.s as y, n.s as z from f join h a on a.doc_id = f.doc_id and a.kind = 0 join h b on b.doc_id = f.doc_id and b.kind = 1 join h n on n.doc_id = f.doc_id and n.kind = 2)
 select doc_id, n_chars, edited_sha256, array_to_string(x, '') as fingerprint, array_to_string(y, '') as edited_fingerprint,
        case when len(x) + len(y) = 0 then 1.0::double else len(list_intersect(x, y))::double / (len(x) + len(y) - len(list_intersect(x, y))) end as near_edited,
@@ -170,5 +186,18 @@ from p
 """
 
 
+def links_sql() -> str:
+    """All pairs of sets that share a signature."""
+    return spot_sets_sql("with t as (select doc_id, 0 as kind, coalesce(text, '') as body from documents),") + """,
+k as (select doc_id, array_to_string(s, '') as print, s from h),
+m as (select print, min(doc_id) as class, any_value(s) as s from k group by print),
+u as (select class, len(s) as n, unnest(s) as spot from m where len(s) > 0),
+p as (select a.class as a, b.class as b, count(*) as shared, any_value(a.n) as na, any_value(b.n) as nb from u a join u b on a.spot = b.spot and a.class < b.class group by all),
+l as (select a, b from p where shared::double / (na + nb - shared) >= 0.8 - 1e-12),
+n as (select class, count(*) as links from (select a as class from l union all select b from l) group by 1)
+select k.doc_id, m.class, cast(coalesce(n.links, 0) as bigint) as links from k join m on m.print = k.print left join n on n.class = m.class
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": TOP_K_SQL, "op6_suffixes": REPEATS_SQL, "op9_spotsigs": spots_sql(), "op10_lines": LINES_SQL}
+    return {"op1_topk": TOP_K_SQL, "op6_suffixes": REPEATS_SQL, "op9_spotsigs": spots_sql(), "spotsigs_links": links_sql(), "op10_lines": LINES_SQL}
