@@ -6,6 +6,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -34,6 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _made: list[tuple[SparkSession, str]] = []
+#: Seconds between two sweeps of finished shuffles, and when the last was.
+PAUSE = 3.0
+_released = [0.0]
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -76,9 +80,14 @@ def drop_table(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+    """Let Spark delete the shuffle files of plans that nothing refers to any
+    more; steps that follow each other within seconds leave few behind and wait
+    for the next."""
+    if time.monotonic() - _released[0] < PAUSE:
+        return
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    _released[0] = time.monotonic()
 
 
 def first_by_hash(rows: DataFrame, n: int, *ties: str, mark: str = "mark") -> DataFrame:

@@ -88,13 +88,13 @@ def source_targets(sizes: DataFrame, source: str = "source", weights: tuple[floa
     what remains over the weight that remains."""
     totals = materialize(sizes.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size")))
     ranked = sums_before(totals, [F.col("source").asc_nulls_last()], {"ahead": F.lit(1)})
-    ranked = materialize(ranked.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("ahead") % len(weights) + 1).cast("int"))).drop("ahead"))
+    ranked = ranked.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("ahead") % len(weights) + 1).cast("int"))).drop("ahead")
     size, weight = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
     limit = F.col("source_size") / F.col("weight")
     order = [limit.asc(), F.col("source").asc_nulls_last()]
     levelled = sums_before(ranked, order, {"used": F.lit(most) * F.col("source_size"), "gone": F.col("weight")})
     levelled = levelled.withColumn("level", (F.lit(float(size or 0)) - F.col("used")) / (F.lit(float(weight or 0)) - F.col("gone")))
-    levelled = materialize(levelled.withColumn("stops", F.lit(most) * F.col("source_size") <= F.col("level") * F.col("weight")))
+    levelled = levelled.withColumn("stops", F.lit(most) * F.col("source_size") <= F.col("level") * F.col("weight"))
     # the level that holds is that of the first source that doesn't stop
     common = levelled.where("not stops").agg(F.min_by("level", limit)).first()[0]
     target = F.when(F.col("stops"), F.lit(most) * F.col("source_size")).otherwise(F.lit(common).cast("double") * F.col("weight"))
