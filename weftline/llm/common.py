@@ -79,11 +79,11 @@ def drop_table(df: DataFrame) -> None:
                 _remove(spark, own)
 
 
-def release(spark: SparkSession) -> None:
+def release(spark: SparkSession, now: bool = False) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any
     more; steps that follow each other within seconds leave few behind and wait
-    for the next."""
-    if time.monotonic() - _released[0] < PAUSE:
+    for the next (not so with ``now``)."""
+    if not now and time.monotonic() - _released[0] < PAUSE:
         return
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -427,13 +427,13 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     listed = source.mapInArrow(_listed(size, parts), "kind long, part long, id long, mark long, payload binary")
     found = materialize(listed.repartition(parts, "part").groupBy("part").applyInArrow(_repeated, "kind long, id long, mark long, payload binary"))
     del listed, firsts, texts
-    release(spark)
+    release(spark, now=True)
     runs = found.where("kind = 0").select(*own, "payload").join(copies, own, "left_anti").groupBy(*own).agg(F.collect_list("payload").alias("runs"))
     # of equal rows, one is enough
     rows = source.join(runs, own).dropDuplicates(own)
     cut = materialize(rows.mapInArrow(_segmented(size, parts), SHAPE))
     del rows, runs
-    release(spark)
+    release(spark, now=True)
     gone = cut.where("kind = 0").select("part", "payload", "bytes").repartition(parts, "part").groupBy("part").applyInArrow(_sharded(size), "id long, mark long, payload binary")
     gone = gone.unionByName(cut.where("kind = 1").select(*own, "payload")).unionByName(found.where("kind = 1").select(*own, "payload").join(copies, own, "left_anti"))
     gone = gone.groupBy(*own).agg(F.collect_list("payload").alias("gone"))
@@ -442,7 +442,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     for table in (marks, found, cut):
         drop_table(table)
     del gone, cut, found, marks
-    release(spark)
+    release(spark, now=True)
     return result
 
 
