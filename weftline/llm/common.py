@@ -62,11 +62,12 @@ def materialize(df: DataFrame) -> DataFrame:
     can go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/weftline-{uuid.uuid4().hex}"
+    began = time.monotonic()
     df.write.option("compression", "zstd").parquet(path)
     _made.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     del df
-    release(spark)
+    release(spark, now=time.monotonic() - began > 1)
     return out
 
 
@@ -81,8 +82,8 @@ def drop_table(df: DataFrame) -> None:
 
 def release(spark: SparkSession, now: bool = False) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any
-    more; steps that follow each other within seconds leave few behind and wait
-    for the next (not so with ``now``)."""
+    more; short steps that follow each other leave few behind and wait for the
+    next (not so with ``now``)."""
     if not now and time.monotonic() - _released[0] < PAUSE:
         return
     gc.collect()
