@@ -47,6 +47,8 @@ def test_statistics(spark):
     assert s.successful_extractions + s.failed_extractions == 250 and s.posts_with_rules + s.posts_without_rules == s.successful_extractions
     assert {r.value for r in E.distribution(df, "category").collect()} == {"c", "unknown"}
     assert [r.seen for r in E.running_stats(df).orderBy("seen").collect()] == [100, 200]
+    fine = [tuple(r) for r in E.running_stats(df, every=10, wide=3).orderBy("seen").collect()]
+    assert fine == [tuple(r) for r in E.running_stats(df, every=10).orderBy("seen").collect()] and len(fine) > 6
 
 
 def test_ids_and_novelty(spark):

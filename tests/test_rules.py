@@ -79,6 +79,10 @@ def test_merge_and_statistics(spark):
     none = R.statistics(merged.limit(0)).first()
     assert (none.total_rules, none.multi_source_percentage, none.avg_quality_score) == (0, 0.0, 0.0)
     assert {(r.rule_type, r.rules) for r in R.type_counts(merged).collect()} == {("fit", 1), ("color", 1)}
+    held = ["rule_type", "quality_score", "word_count"]
+    counted = R.merged_counts(rules(spark).repartition(3), *held)
+    assert sorted(map(str, counted.collect())) == sorted(map(str, merged.select(*held, "source_count").collect()))
+    assert R.merged_counts(rules(spark).limit(0), *held).count() == 0
 
 
 def test_clean_splits(spark):

@@ -122,13 +122,19 @@ def distribution(results: DataFrame, column: str) -> DataFrame:
     return results.where(F.col("success") & F.col("has_rule")).groupBy(F.coalesce(F.col(column), F.lit("unknown")).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value")
 
 
-def running_stats(results: DataFrame, order: str = "pos", every: int = 100) -> DataFrame:
-    """Successes and rules so far, at every hundredth result: sums per hundred,
-    then sums of those (``order`` counts from 0 without gaps)."""
+def running_stats(results: DataFrame, order: str = "pos", every: int = 100, wide: int = 10_000) -> DataFrame:
+    """Successes and rules so far, at every hundredth result (``order`` counts
+    from 0 without gaps): sums per hundred, running sums inside stretches of so
+    many hundreds, and before each stretch the sum of the stretches so far."""
     blocks = results.groupBy(F.floor(F.col(order) / every).alias("block")).agg(F.count("*").alias("n"), F.count_if("success").alias("s"), F.count_if(F.col("success") & F.col("has_rule")).alias("r"))
-    so_far = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    sums = blocks.select(F.sum("n").over(so_far).alias("seen"), F.sum("s").over(so_far).alias("successful"), F.sum("r").over(so_far).alias("with_rules"), "n")
-    return sums.where(F.col("n") == every).drop("n")
+    blocks = blocks.withColumn("stretch", F.floor(F.col("block") / wide))
+    before = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = blocks.groupBy("stretch").agg(*[F.sum(c).alias(c) for c in "nsr"])
+    bases = stretches.select("stretch", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in "nsr"])
+    so_far = Window.partitionBy("stretch").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    inside = blocks.select("stretch", F.col("n").alias("full"), *[F.sum(c).over(so_far).alias(c) for c in "nsr"])
+    sums = inside.join(bases, "stretch").where(F.col("full") == every)
+    return sums.select((F.col("n0") + F.col("n")).alias("seen"), (F.col("s0") + F.col("s")).alias("successful"), (F.col("r0") + F.col("r")).alias("with_rules"))
 
 
 def rule_id(text: Column | str, post_id: Column | str) -> Column:

@@ -143,6 +143,14 @@ def merge_sources(rules: DataFrame, text: str = "rule_text", order: str = "pos")
     return grouped.select("rule.*", merged.alias("sources")).withColumn("source_count", F.size("sources"))
 
 
+def merged_counts(rules: DataFrame, *columns: str, text: str = "rule_text", order: str = "pos") -> DataFrame:
+    """What statistics need of merge_sources(): the first rule's ``columns`` and
+    source_count for each normalized text, counted without lists of sources."""
+    counted = F.sum(F.coalesce(F.array_size("sources"), F.lit(0))).cast("int")
+    grouped = rules.groupBy(normalize(text).alias("__key")).agg(F.min_by(F.struct(*columns), order).alias("rule"), counted.alias("source_count"))
+    return grouped.select("rule.*", "source_count")
+
+
 def type_counts(rules: DataFrame, column: str = "rule_type") -> DataFrame:
     return rules.groupBy(column).agg(F.count("*").alias("rules"))
 

@@ -265,13 +265,13 @@ def merge_sources(spark, sf_dir):
 @query(RULES + """select count(*) as total_rules, count(*) filter (where source_count > 1) as multi_source_rules, round(count(*) filter (where source_count > 1) / count(*) * 100, 6) as multi_source_percentage,
 round(avg(quality_score), 6) as avg_quality_score, round(avg(word_count), 6) as avg_word_count, cast(100.0 as double) as completeness_rate from merged""")
 def rule_statistics(spark, sf_dir):
-    s = rules.statistics(rules.merge_sources(rule_rows(spark, sf_dir)))
+    s = rules.statistics(rules.merged_counts(rule_rows(spark, sf_dir), "quality_score", "word_count"))
     return s.select("total_rules", "multi_source_rules", *[F.round(c, 6).alias(c) for c in ("multi_source_percentage", "avg_quality_score", "avg_word_count")], "completeness_rate")
 
 
 @query(RULES + "select rule_type, count(*) as rules from merged group by 1")
 def rule_type_counts(spark, sf_dir):
-    return rules.type_counts(rules.merge_sources(rule_rows(spark, sf_dir)))
+    return rules.type_counts(rules.merged_counts(rule_rows(spark, sf_dir), "rule_type"))
 
 
 @query("select count(distinct source) as unique_domains, (select string_agg(source, ',' order by source) from (select distinct source from documents)) as domains from documents")
