@@ -1,7 +1,7 @@
 import pytest
 
-#: Texts that every operator must take: null, empty, blank, odd characters, a long one, repeats.
-ODD = [None, "", "   ", "\n\n\t", "é", "a", "½ — 𝒳   ", "word " * 4000, "x" * 3000, "same text here\nand more of it", "same text here\nand more of it"]
+#: Texts that every operator must take: null, empty, blank, odd characters, long ones (the last longer than a piece of work), repeats.
+ODD = [None, "", "   ", "\n\n\t", "é", "a", "½ — 𝒳   ", "word " * 4000, "x" * 3000, "long é " * 40000, "same text here\nand more of it", "same text here\nand more of it"]
 
 
 @pytest.fixture
