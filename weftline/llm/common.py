@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 BASE = 0x9E3779B97F4A7C15
 BASE_INV = pow(BASE, -1, 1 << 64)
 #: Text is worked on in pieces of about so many code units, to bound memory.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 
 
 def shared_dir(spark: SparkSession) -> str:
