@@ -96,6 +96,19 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.size("removed_lines").cast("long").alias("n_removed"), F.length("text").cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_linefreq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linefreq import COUNTS, judge_lines
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return judge_lines(docs).select("doc_id", *COUNTS, "base_failed", "kept", F.size("removed_lines").cast("long").alias("n_removed_lines"), "removed_words")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import clusters_with_inertia
+
+    return clusters_with_inertia(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,7 +116,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_topk, op2_quality, op3_packing, op4_licences, op5_language, op6_suffixes, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, pipeline, spotsigs_links)
+    found = (op1_topk, op2_quality, op3_packing, op4_licences, op5_language, op6_suffixes, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, op11_linefreq, op12_centroids, pipeline, spotsigs_links)
     return {f.__name__: f for f in found}
 
 
@@ -199,5 +212,51 @@ select k.doc_id, m.class, cast(coalesce(n.links, 0) as bigint) as links from k j
 """
 
 
+#: Counts of each text, and lines in over 10 different texts and over 1 % of the
+#: texts of their source.
+FREQUENT_SQL = r"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as body, coalesce('+' || source, '-') as host from documents),
+w as (select rid, body, host, regexp_extract_all(body, '[^\x20\x09-\x0D]+') as ws from d),
+win as (select rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as s from (select rid, ws, unnest(generate_series(1, len(ws) - 2)) as i from w where len(ws) > 2)),
+twice as (select rid, i from (select rid, i, count(*) over (partition by rid, s) as k from win) where k > 1),
+rep as (select rid, count(distinct i + j) as n from twice, (values (0), (1), (2)) o(j) group by rid),
+l as (select rid, host, body, unnest(string_split(body, chr(10))) as line from d),
+dup as (select rid, count(*) - count(distinct line) as n from l where regexp_matches(line, '[^\x20\x09-\x0D]') group by rid),
+m as (select rid, host, body, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) as s from l),
+h as (select host, count(distinct body) as n from d group by host),
+f as (select m.host, s from m join h on m.host = h.host where s <> '' group by m.host, s having count(distinct body) > 10 and count(distinct body) > 0.01 * any_value(h.n)),
+g as (select rid, count(*) as lines, sum(len(string_split(s, ' '))) as words from m join f using (host, s) group by rid),
+r as (select d.doc_id, len(ws) as n_words, len(array_to_string(ws, '')) as word_chars, length(d.body) - length(regexp_replace(d.body, '[#*$%&|<>]', '', 'g')) as n_symbols,
+             coalesce(dup.n, 0) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words, coalesce(g.lines, 0) as n_removed_lines, coalesce(g.words, 0) as removed_words
+      from d join w using (rid) left join dup using (rid) left join rep using (rid) left join g using (rid))
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+       cast(n_repeat_words as bigint) as n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and 2 * removed_words <= n_words as kept,
+       cast(n_removed_lines as bigint) as n_removed_lines, cast(removed_words as bigint) as removed_words from r
+"""
+
+
+def centroids_sql(rounds: int = 5) -> str:
+    """Every vector's squared distance to every centroid, round by round."""
+    components = ", ".join(f"cast((s[{i}] - ((s[{i}] % n) + n) % n) // n as bigint)" for i in range(1, 65))
+    distance = "cast(list_sum(list_transform(list_zip(v.e, c.m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as bigint)"
+    out = """with v as (select row_number() over () as rid, vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as e from embeddings
+ where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as (select row_number() over (order by sha256('2:' || vec_id)) - 1 as num, e as m from v order by sha256('2:' || vec_id) limit 40)"""
+    for k in range(rounds + 1):
+        out += f""",
+d{k} as (select v.rid, v.vec_id, c.num, {distance} as d from v, c{k} c),
+a{k} as (select rid, vec_id, num, d from (select *, row_number() over (partition by rid order by d, num) as k from d{k}) where k = 1)"""
+        if k < rounds:
+            sums = ", ".join(f"sum(v.e[{i}])" for i in range(1, 65))
+            out += f""",
+s{k} as (select a.num, count(*) as n, [{sums}] as s from a{k} a join v using (rid) group by a.num),
+c{k + 1} as (select c.num, case when s.n is null then c.m else [{components}] end as m from c{k} c left join s{k} s using (num))"""
+    return out + f"""
+select a.vec_id, cast(a.num as integer) as cluster, a.d as distance, cast(sum(a.d) over (partition by a.num) as bigint) as cluster_inertia, cast(sum(a.d) over () as bigint) as inertia,
+       sha256(array_to_string(c.m, ',')) as centroid_sha256 from a{rounds} a join c{rounds} c using (num)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": TOP_K_SQL, "op6_suffixes": REPEATS_SQL, "op9_spotsigs": spots_sql(), "spotsigs_links": links_sql(), "op10_lines": LINES_SQL}
+    return {"op1_topk": TOP_K_SQL, "op6_suffixes": REPEATS_SQL, "op9_spotsigs": spots_sql(), "spotsigs_links": links_sql(), "op10_lines": LINES_SQL, "op11_linefreq": FREQUENT_SQL, "op12_centroids": centroids_sql()}
