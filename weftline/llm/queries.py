@@ -109,6 +109,28 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters_with_inertia(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .upsert import DELETE, SET, digests, latest, new_folder, upsert, write_sorted
+
+    clients, changes = _table(spark, sf_dir, "clients"), _table(spark, sf_dir, "client_changes")
+    crc = lambda c: F.crc32(c.cast("string").cast("binary"))
+    most, folder = 1 + clients.count() // 1000, new_folder(spark)
+    table = write_sorted(clients.where(crc(F.col("client_id")) % 7 > 3), "client_id", most, folder)
+    changed = ["source", "segment", "city", "balance"]
+    wins = latest(changes.select("client_id", "seq", "change_id", "op", *changed), "client_id", ["seq", "change_id"])
+
+    def action(change, first):
+        h = crc(first) % 16
+        gone = F.coalesce(change["op"] == "D", F.lit(False)) | F.coalesce(crc(change["change_id"]) % 8 < h, F.lit(False))
+        return F.when(h <= 7, F.when(gone, DELETE).otherwise(SET))
+
+    files = upsert(table, wins, changed, most, action)
+    cents = lambda c: F.floor(100 * c["balance"] + 0.5)
+    crcs = lambda c: F.crc32(F.concat_ws("|", *[F.coalesce(c[n], F.lit("")) for n in ("source", "segment", "city")]).cast("binary"))
+    found = digests(table, files, lambda c: {"cents": cents(c), "rows_crc": crcs(c)})
+    return found.select("first_id", "n_rows", "cents", "rows_crc", "ids_sha256", "columns", F.concat(F.lit(f"{folder}/"), "name").alias("path"), "rewritten")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,7 +138,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_topk, op2_quality, op3_packing, op4_licences, op5_language, op6_suffixes, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, op11_linefreq, op12_centroids, pipeline, spotsigs_links)
+    found = (op1_topk, op2_quality, op3_packing, op4_licences, op5_language, op6_suffixes, op7_simhash, op8_mixing, op9_spotsigs, op10_lines, op11_linefreq, op12_centroids, op13_upsert, pipeline, spotsigs_links)
     return {f.__name__: f for f in found}
 
 
