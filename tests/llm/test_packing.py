@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weftline.llm.packing import Line, encoder, hilbert_keys, pack
@@ -72,3 +73,17 @@ def test_remainder_is_cut_into_powers_of_two():
     for r in line.done:
         sizes[r[5]] = sizes.get(r[5], 0) + r[2]
     assert list(sizes.values()) == [16, 16, 8, 2, 1]
+
+
+def test_long_runs_of_white_space():
+    own = encoder(PATH)
+    for text in (" " * 1_000_000, "a" + "\n" * 1_200_000 + "b", "x\t \u3000" * 3 + "\t" * 1500 + "<|endoftext|>" + " " * 2000 + "<|endoftext|>" + "\n" * 1000, " " * 1500 + "'s" + " \n" * 800 + "1", "\u2003" * 1100 + " é" + " " * 999 + "!"):
+        assert own(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_of_one_letter_or_of_spaces(spark):
+    rows = [(1, " " * 1_000_000), (2, "a" * 5_000_000), (3, "\n" * 600_000 + "end")]
+    out = pack(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("of")).collect()
+    for r in out:
+        n = len(TOKENIZER.encode(dict(rows)[r.doc_id], add_special_tokens=False).ids) + 1
+        assert r.n == n and r.of == n

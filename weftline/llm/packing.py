@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,6 +37,9 @@ KEY_BITS = 10
 SCHEMA = "{id} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Fixed value: how byte-level BPE splits a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Runs of white space (the property's characters) that the pattern isn't asked to
+#: step back over: its stack ends at some half a million.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -118,7 +122,19 @@ def encoder(path: str | None = None):
     special = {x["content"]: x["id"] for x in added}
     ranks = {bytes(byte_of[c] for c in piece): i for piece, i in model["model"]["vocab"].items() if piece not in special}
     own = tiktoken.Encoding("weftline", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=special)
-    return functools.partial(own.encode, allowed_special="all", disallowed_special=())
+    encode, single, strings = functools.partial(own.encode, allowed_special="all", disallowed_special=()), own._core_bpe.encode_single_piece, tuple(special)
+
+    def ids(content: str) -> list[int]:
+        out, at = [], 0
+        for run in LONG_SPACE.finditer(content):
+            start, end = run.span()
+            # the last character of a run goes with what follows, unless that is an added token or the end
+            stop = end if end == len(content) or content.startswith(strings, end) else end - 1
+            out += encode(content[at:start]) + single(content[start:stop].encode())
+            at = stop
+        return out + encode(content[at:]) if out else encode(content)
+
+    return ids
 
 
 class Line:
