@@ -114,3 +114,23 @@ def test_odd_rows(spark, odd, empty):
     assert taken.columns == odd.columns and taken.count() == sum(r.copies for r in out)
     none = spark.createDataFrame([(1, None, "a"), (2, "", "a")], "doc_id long, text string, source string")
     assert {(r.target, r.taken) for r in mix_sources(none).collect()} == {(0.0, 0)}
+
+
+def test_one_giant_document_leaves_no_gradient(spark):
+    rows = [(i, "w " * (3 + i % 11), f"s{i % 7}") for i in range(600)] + [(600, "w " * 200_000, "s6"), (601, "w " * 200_000, "giant")]
+    out = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    cells = out.withColumn("class", F.floor(8 * F.log2(F.col("size") + 1))).groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.first("rate").alias("rate"), F.first("target").alias("target"), F.first("source_size").alias("size")).collect()
+    raw = [math.log2(c.words / c.n + 1) for c in cells]
+    tokens = sum(c.words for c in cells)
+    mean = sum(c.words * x for c, x in zip(cells, raw, strict=True)) / tokens
+    spread = math.sqrt(sum(c.words * (x - mean) ** 2 for c, x in zip(cells, raw, strict=True)) / tokens)
+    g = [(x - mean) / spread for x in raw]
+    # tilted rates of one source give the multiplier; the gradient at it is zero
+    pairs = [(a, b) for a in range(len(cells)) for b in range(len(cells)) if cells[a].source == cells[b].source and g[b] - g[a] > 0.2 and 1e-300 < cells[a].rate < 3 - 1e-9 and 1e-300 < cells[b].rate < 3 - 1e-9]
+    mus = [(math.log(cells[b].rate) - math.log(cells[a].rate)) / (g[b] - g[a]) for a, b in pairs]
+    assert mus and max(mus) - min(mus) < 1e-6 * max(1, abs(mus[0]))
+    shared = sum(c.words * c.rate * x for c, x in zip(cells, g, strict=True))
+    assert abs(shared + 0.01 * tokens * mus[0]) < 1e-5 * tokens
+    for s in {c.source for c in cells}:
+        own = [c for c in cells if c.source == s]
+        assert sum(c.words * c.rate for c in own) == pytest.approx(own[0].target, rel=1e-6)

@@ -14,9 +14,10 @@ where no rates can meet that constraint; the sources' own are met exactly.
 Length enters by size class (eight for each doubling), so the sums over documents
 that Newton needs are those over (source, class): they are pre-aggregated once.
 The Hessian is an arrow (sources meet only in the shared row), so an iteration
-solves each source's own multiplier in its row, sums gradient and Schur complement
-of the shared one over all sources in a distributed aggregate, and takes a Newton
-step on that. Sums are decimal, so that reruns agree.
+solves each source's own multiplier from its row, sums gradient and Schur complement
+of the shared one over all sources in a distributed aggregate, and takes Newton
+steps on that inside a bracket, until the gradient vanishes; else it is an error.
+Sums are decimal, so that reruns agree.
 
 Rates become copies: every document gets floor(r) copies, and a share of each
 class gets one more: the classes of a source, from large to small, each take up
@@ -33,6 +34,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +43,8 @@ from .common import fresh, materialize, row_mark
 
 #: White space separates words: U+0020 and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Newton steps at most; a handful are taken.
-STEPS = 50
+#: Rounds of Newton steps before the dual counts as failed; each at least halves the bracket, a handful are taken.
+STEPS = 60
 #: Ridge on the shared multiplier, per token.
 RIDGE = 0.01
 #: Rows of a sub-block, about; sub-blocks of a block of running sums.
@@ -124,7 +127,7 @@ def _multiplier(mu: float, most: float) -> Column:
         under = taken(half) < F.col("target")
         return F.struct(F.when(under, half).otherwise(held["low"]).alias("low"), F.when(under, held["high"]).otherwise(half).alias("high"))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(25)), F.struct(low.alias("low"), high.alias("high")), halve, lambda held: held["low"])
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.struct(low.alias("low"), high.alias("high")), halve, lambda held: held["low"])
     newton = lambda lam, _: lam + F.coalesce(F.try_divide(F.col("target") - taken(lam), slope(lam)), F.lit(0.0))
     return F.when(~F.col("stops") & (F.col("source_size") > 0), F.aggregate(F.sequence(F.lit(1), F.lit(4)), found, newton))
 
@@ -134,25 +137,76 @@ def _exactly(x: Column) -> Column:
     return F.sum(x.cast("decimal(38,9)")).cast("double")
 
 
+def _taken(words: np.ndarray, g: np.ndarray, at: np.ndarray, target: np.ndarray, size: np.ndarray, stops: np.ndarray, mu: float, most: float) -> np.ndarray:
+    """For each of the sources whose classes (words, g) begin at ``at``, given the
+    shared multiplier: the sum over words of rate * g, and its slope."""
+    n = np.diff(np.append(at, len(words)))
+    own, sums = np.repeat(np.arange(len(at)), n), lambda x: np.add.reduceat(x, at)
+    tilt = mu * g
+    with np.errstate(over="ignore", divide="ignore"):
+        low = np.log(target / size) - np.maximum.reduceat(tilt, at)
+        high = math.log(most) - np.minimum.reduceat(tilt, at)
+        for _ in range(60):  # to the last bit, by halves
+            half = (low + high) / 2
+            under = sums(words * np.minimum(np.exp(half[own] + tilt), most)) < target
+            low, high = np.where(under, half, low), np.where(under, high, half)
+        free = np.exp(low[own] + tilt)
+    rate = np.where(stops[own], most, np.minimum(free, most))
+    free = words * np.where(stops[own] | (free >= most), 0.0, free)
+    a, b, d = sums(free), sums(free * g), sums(free * g * g)
+    return np.stack([sums(words * rate * g), np.maximum(d - b * b / np.where(a > 0, a, 1.0), 0.0)])
+
+
+def _slopes(listed: DataFrame, mus: list[float], most: float, size: float) -> list[tuple[float, float]]:
+    """The dual's gradient and its slope at each of these shared multipliers."""
+
+    def sums(batches):
+        for batch in batches:
+            classes = batch.column("classes")
+            flat = classes.flatten()
+            words, g = (np.asarray(flat.field(c)).astype(np.float64) for c in ("words", "g"))
+            at = np.asarray(classes.offsets)[:-1] - np.asarray(classes.offsets)[0]
+            own = [np.asarray(batch.column(c).cast(pa.float64())) for c in ("target", "source_size", "stops")]
+            found = [_taken(words, g, at, own[0], own[1], own[2] > 0, mu, most) for mu in mus]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in found])) for k in (0, 1)] + [pa.array(np.repeat(np.arange(len(mus)), batch.num_rows))], names=["shared", "bend", "k"])
+
+    rows = listed.where("source_size > 0").select("classes", "target", "source_size", F.col("stops").cast("int").alias("stops"))
+    found = rows.mapInArrow(sums, "shared double, bend double, k long").groupBy("k").agg(_exactly(F.col("shared")).alias("shared"), _exactly(F.col("bend")).alias("bend"))
+    got = {r["k"]: (r["shared"], r["bend"]) for r in found.collect()}
+    return [(got[k][0] + RIDGE * size * mu, got[k][1] + RIDGE * size) for k, mu in enumerate(mus)]
+
+
 def balanced(listed: DataFrame, most: float) -> tuple[DataFrame, float]:
     """Rows (source, source_size, target, stops, classes of (class, n, words, g))
     with the source's multiplier ``lam`` (null: at ``most``, or no words), and
-    the shared multiplier."""
-    mu = 0.0
+    the shared multiplier.
+
+    The gradient rises with the shared multiplier, and the ridge alone outweighs
+    all words where that is ``most`` times the largest length over the ridge. Each
+    job looks at several multipliers at once: first a coarse row of them, then
+    Newton steps from both ends of the bracket, the secant and the middle, which
+    halves it at least. An optimum that isn't reached is an error."""
+    top = listed.agg(F.sum("source_size"), F.max(F.array_max(F.transform("classes", lambda c: F.abs(c["g"]))))).first()
+    size, reach = float(top[0] or 0), float(top[1] or 0)
+    if not size or not reach:
+        return listed.withColumn("lam", _multiplier(0.0, most)), 0.0
+    end = 1.0 + most * reach / RIDGE
+    mus = [0.0, *(x for m in (0.03, 0.3, 1.0, 3.0, 10.0, 30.0, 100.0) if m < end for x in (m, -m)), end, -end]
+    low, high, best = (-math.inf, 0.0, 0.0), (math.inf, 0.0, 0.0), None
     for _ in range(STEPS):
-        rows = listed.withColumn("lam", _multiplier(mu, most))
-        lam, rate = F.col("lam"), lambda c: F.when(F.col("stops"), F.lit(most)).otherwise(_tilted(c, F.col("lam"), mu, most))  # noqa: B023, E731
-        free = lambda c: F.when(F.exp(lam + F.lit(mu) * c["g"]) < most, F.exp(lam + F.lit(mu) * c["g"])).otherwise(0.0)  # noqa: B023, E731
-        sums = rows.where("source_size > 0").select("source_size", _words(lambda c: rate(c) * c["g"]).alias("shared"), _words(free).alias("a"), _words(lambda c: free(c) * c["g"]).alias("b"), _words(lambda c: free(c) * c["g"] * c["g"]).alias("d"))  # noqa: B023
-        schur = F.coalesce(F.col("d") - F.try_divide(F.col("b") * F.col("b"), F.col("a")), F.lit(0.0))
-        shared, bend, size = (float(x or 0) for x in sums.agg(_exactly(F.col("shared")), _exactly(schur), F.sum("source_size")).first())
-        if not size:
-            break
-        step = max(-1.0, min(1.0, -(shared + RIDGE * size * mu) / (max(bend, 0.0) + RIDGE * size)))
-        mu += step
-        if abs(step) < 1e-10:
+        found = [(mu, *x) for mu, x in zip(mus, _slopes(listed, mus, most, size), strict=True)]
+        best = min([*found, best] if best else found, key=lambda x: abs(x[1]))
+        low = max([low, *(x for x in found if x[1] <= 0)], key=lambda x: x[0])
+        high = min([high, *(x for x in found if x[1] >= 0)], key=lambda x: x[0])
+        if abs(best[1]) <= 1e-10 * size or high[0] - low[0] <= 1e-12 * max(1.0, abs(best[0])):
             break
-    return listed.withColumn("lam", _multiplier(mu, most)), mu
+        gap = high[0] - low[0]
+        new = [low[0] - low[1] / low[2], high[0] - high[1] / high[2], low[0] - low[1] * gap / (high[1] - low[1])]
+        new += [x + k * abs(x - best[0]) * 1e-3 for x in new[:2] for k in (-1, 1)]  # so that a bracket closes from both sides
+        mus = sorted({x for x in new if low[0] < x < high[0]} | {(low[0] + high[0]) / 2})
+    if abs(best[1]) > 1e-7 * size:
+        raise RuntimeError(f"the mix found no optimum: gradient {best[1] / size:.3g} a word at multiplier {best[0]:.6g}")
+    return listed.withColumn("lam", _multiplier(best[0], most)), best[0]
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: int = 3) -> DataFrame:
