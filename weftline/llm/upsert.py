@@ -250,7 +250,7 @@ def upsert(table: SortedFiles, changes: DataFrame, settable: list[str], most: in
     acts = homes(table, keyed).withColumn("action", action(F.col("change"), F.col("first")).cast("int")).where("action is not null")
     acts = materialize(acts.select("k", *[F.col("change").getField(c).cast(kinds[c]).alias(inner[c]) for c in settable], "action", "home"))
     # files that changes fall into, and those that end with a key of which the next has rows
-    ends = table.files.join(acts.select(F.col("k").alias("last")), "last", "left_semi").select("file")
+    ends = acts.select("k").join(table.files.select(F.col("last").alias("k"), "file"), "k").select("file")
     touched = acts.select(F.col("home").alias("file")).unionByName(ends).distinct()
     touched = materialize(touched.join(table.files, "file").select(F.col("file").alias("home"), "name"))
     base = table.rows().join(touched, "name").drop("name").withColumn("kind", F.lit(0))
