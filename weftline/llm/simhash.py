@@ -268,14 +268,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return prints.join(parts, "__fp", "left").select(F.col("__id").alias(id_col), F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_bits: int = 3) -> DataFrame:
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_bits: int = 3, least: float | None = None, words: int = 5) -> DataFrame:
     """docs with one row of each near-duplicate group: the smallest id, of several
     rows of that id the one of the smallest hash. Rows with a null id stay, and
-    an equal row of any number stays once."""
+    an equal row of any number stays once.
+
+    Texts link at so many bits of their fingerprints, and with ``least`` also at so
+    much similarity of their word shingles, which fingerprints alone often miss."""
     mark, one, row, id_ = fresh(docs, "__mark"), fresh(docs, "__first"), fresh(docs, "__row"), F.col(f"`{id_col}`")
-    prints = materialize(docs.where(id_.isNotNull()).select(id_.alias("__id"), row_mark(docs).alias("__row"), fingerprint(F.col(f"`{text}`")).alias("__fp")))
+    body = F.col(f"`{text}`")
+    known = docs.where(id_.isNotNull())
+    prints = materialize(known.select(id_.alias("__id"), row_mark(docs).alias("__row"), fingerprint(body).alias("__fp")))
     # groups by their smallest fingerprint: rows of one id may be in several
     parts = simhash_components(prints.select("__fp", F.col("__fp").alias("__as_id")), max_bits, "__as_id", "__fp")
+    if least is not None:
+        from .shingles import shingle_links
+
+        links = shingle_links(known.select(fingerprint(body).alias("node"), body.alias("text")), least, words)
+        joined = connected_components(parts.select(F.col("__fp").alias("a"), F.col("component").alias("b")).unionByName(links))
+        parts = materialize(parts.join(joined, F.col("__fp") == F.col("id"), "left").select("__fp", F.coalesce(joined["component"], parts["component"]).alias("component")))
     firsts = prints.join(parts, "__fp").groupBy("component").agg(F.min(F.struct("__id", "__row")).alias("first"))
     firsts = materialize(firsts.select(F.col("first.__id").alias(one), F.col("first.__row").alias(row)))
     rows = docs.withColumn(mark, row_mark(docs))
