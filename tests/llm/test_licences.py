@@ -52,3 +52,44 @@ conditions are met:"""
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.paragraph, r.family) for r in scan_licences(df, fit_licences(df)).collect() if r.confirmed}
     assert got == {(1, 4, "MIT"), (2, 0, "BSD"), (3, 0, "BSD"), (5, 4, "MIT")}
+
+
+HELD_OUT = {
+    "CC-BY-ND": ["Text licensed under CC BY-ND 4.0.", "The photo is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-NC-SA": ["Content is licensed under CC BY-NC-SA 4.0.", "These slides are licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "CC-BY-NC-ND": ["Article released under CC BY-NC-ND 4.0", "It is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
+    "CC-BY": ["The data are licensed under CC BY 4.0", "This article is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-SA": ["Wiki text is licensed under CC BY-SA 4.0."],
+    "CC-BY-NC": ["Pictures: licensed under CC BY-NC 4.0."],
+    "Apache-1.1": ["This library is licensed under the Apache Software License, Version 1.1"],
+    "Apache-2.0": ["The code is licensed under the Apache License, Version 2.0 (the License);", "// Licensed under the Apache License 2.0"],
+    "MIT": ["# Licensed under the MIT License", "The project is released under the MIT license."],
+    "BSD": ["* Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."],
+    "GPL": ["The game is licensed under the GNU General Public License, version 3.", "You should have received a copy of the GNU General Public License along with this program. If not, write to us."],
+    "LGPL": ["It is licensed under the GNU Lesser General Public License."],
+    "MPL-2.0": ["This file is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "Proprietary": ["Copyright 2020 Some Firm. All rights reserved."],
+}
+#: Near to notices, and of none of the families.
+NOT_SO = [
+    "This program is not licensed under the GNU General Public License.",
+    "The code is no longer released under the MIT License.",
+    "All rights reserved to the people of the town.",
+    "Licensed under the MIT License with the Commons Clause.",
+    "This isn't licensed under CC BY 4.0.",
+    "Licensed under the Mozilla Public License, Version 1.1.",
+    "The library is not distributed under the BSD License.",
+    "It was never released under the Apache License 2.0.",
+]
+
+
+def test_held_out_notices_and_what_only_looks_like_them(spark):
+    notices = [(name, text) for name, own in HELD_OUT.items() for text in own]
+    rows = [(i, f"{PLAIN[0]}\n\n{text}\n\n{PLAIN[1]}") for i, (_, text) in enumerate(notices)] + [(500 + i, text) for i, text in enumerate(NOT_SO + PLAIN)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [r for r in scan_licences(df, fit_licences(df)).collect() if r.confirmed]
+    right = [r for r in found if r.doc_id < 500 and r.family == notices[r.doc_id][0]]
+    wrong = [(r.family, rows[[i for i, _ in rows].index(r.doc_id)][1]) for r in found if r not in right]
+    assert not wrong  # precision
+    missed = [n for i, n in enumerate(notices) if i not in {r.doc_id for r in right}]
+    assert len(missed) <= 0.1 * len(notices), missed  # recall

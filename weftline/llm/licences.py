@@ -9,8 +9,11 @@ and from at most ``negatives`` paragraphs of the corpus without a licence word.
 A temperature fitted on held-out variants calibrates the probabilities; what is
 licence-like but under ``sure`` for every family is unknown. A family's
 prediction is confirmed by comparison with its notices: some notice's word
-2-grams must be found in the paragraph to a share of ``confirm``; otherwise the
-prediction turns into unknown.
+2-grams must be found in the paragraph to a share of ``confirm``, and none of the
+n-grams that such a notice lacks and that turn it into another licence (ND, NC, SA,
+another version) or into none ("not licensed under"); otherwise the prediction
+turns into unknown. A paragraph that holds notices of two licences is unknown for
+the one that the other contradicts.
 
 Only n-grams of the notices have weights, and only content words can start one,
 so a paragraph without a content word of the notices scores as ``none`` whatever
@@ -42,18 +45,27 @@ NOTICES: dict[str, list[str]] = {
         "SPDX-License-Identifier: MIT",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Released under the Apache License 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    ],
+    "Apache-1.1": [
+        "Licensed under the Apache Software License, Version 1.1.",
+        "Released under the Apache License 1.1.",
+        "SPDX-License-Identifier: Apache-1.1",
     ],
     "BSD": [
         "Licensed under the BSD License.",
         "Released under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -61,6 +73,7 @@ NOTICES: dict[str, list[str]] = {
         "Licensed under the GPL.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU General Public License along with this program.",
     ],
     "LGPL": [
         "Licensed under the GNU Lesser General Public License.",
@@ -93,6 +106,21 @@ NOTICES: dict[str, list[str]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Released under CC BY-NC 4.0.",
     ],
+    "CC-BY-ND": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Released under CC BY-ND 4.0.",
+    ],
+    "CC-BY-NC-SA": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Released under CC BY-NC-SA 4.0.",
+    ],
+    "CC-BY-NC-ND": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "Released under CC BY-NC-ND 4.0.",
+    ],
     "CC0": [
         "Licensed under CC0 1.0.",
         "To the extent possible under law, the author has dedicated all copyright and related rights to the public domain worldwide.",
@@ -123,6 +151,29 @@ OTHER = [
     "They work under the terms of a contract.",
     "See the version history of this project.",
 ]
+#: Word n-grams that a family's notices lack and that make another
+#: licence, or none, of a paragraph that is otherwise like them.
+SHARE = ["by sa", "attribution sharealike", "attribution share"]
+TRADE = ["by nc", "attribution noncommercial", "attribution non"]
+CHANGE = ["by nd", "attribution noderivatives", "attribution noderivs", "attribution no"]
+TRADE_SHARE = ["nc sa", "noncommercial sharealike", "noncommercial share", "commercial sharealike", "commercial share"]
+TRADE_CHANGE = ["nc nd", "noncommercial noderivatives", "noncommercial noderivs", "noncommercial no", "commercial noderivatives", "commercial noderivs", "commercial no"]
+AGAINST: dict[str, list[str]] = {
+    "CC-BY": [*SHARE, *TRADE, *CHANGE],
+    "CC-BY-SA": [*TRADE, *CHANGE],
+    "CC-BY-NC": [*SHARE, *CHANGE, *TRADE_SHARE, *TRADE_CHANGE],
+    "CC-BY-ND": [*SHARE, *TRADE],
+    "CC-BY-NC-SA": [*CHANGE, *TRADE_CHANGE],
+    "CC-BY-NC-ND": [*SHARE, *TRADE_SHARE],
+    "Apache-2.0": ["license version 1.1", "license version 1.0", "license 1.1", "license 1.0", "license v 1.1", "apache 1.1", "apache 1.0"],
+    "Apache-1.1": ["license version 2.0", "license 2.0", "license v 2.0", "apache 2.0"],
+    "MPL-2.0": ["license version 1.1", "license version 1.0", "license v 1.1", "license 1.1", "mpl 1.1", "mpl 1.0"],
+    "GPL": ["gnu lesser general", "gnu library general", "gnu affero general"],
+    "LGPL": ["gnu affero general"],
+    "Proprietary": ["rights reserved to", "rights reserved for", "rights are reserved"],
+}
+#: What denies any family.
+DENIALS = "not licensed|not released|not be licensed|not be released|not available under|not distributed under|not covered by|not subject to|not under the|never licensed|never released|no longer licensed|no longer released|isn t licensed|isn t released|aren t licensed|wasn t licensed|wasn t released|neither licensed|commons clause".split("|")
 UNKNOWN, NONE = "unknown", "none"
 #: Words that start no n-gram.
 COMMON = "a an and any are as at be by for from he her his i in is it last may not of on only or she that the their they this to under was we were with without you".split()
@@ -195,7 +246,6 @@ class Model:
         loss = [-np.log(self._softmax(logits / t)[np.arange(held.sum()), y[held]] + 1e-12).mean() for t in options] if held.any() else [0.0]
         temperature = float(options[int(np.argmin(loss))]) if held.any() else 1.0
         self.weights, self.bias = self.weights / temperature, self.bias / temperature
-        
 
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
@@ -262,7 +312,8 @@ def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: s
     ``paragraph`` is the index of the line, or of the first line of the run."""
     spark: SparkSession = docs.sparkSession
     kinds = model.classes
-    known = list(model.of)
+    against = sorted({g for own in AGAINST.values() for g in own} | set(DENIALS))
+    known = sorted({*model.of, *against})
     keys = ["__id", "run", "run_mark"]
     # joined lines in overlapping parts: a stretch of words as long as any notice lies whole in one of them
     span = 2 * max(len(words_of(notice)) for own in NOTICES.values() for notice in own)
@@ -283,12 +334,14 @@ def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: s
     words = F.transform("lines", paragraph_words)
     lines = runs(docs, id_col, text).select(*keys, F.explode(bound(words, seen)).alias("s")).select(*keys, "s.*")
     names = [f"w{i}" for i in range(len(kinds))]
-    table = [(g, *[float(x) for x in model.weights[i]]) for g, i in model.of.items()]
-    weights = spark.createDataFrame(table, "gram string, " + ", ".join(f"{n} double" for n in names))
+    # what only contradicts has no weight
+    none = [0.0] * len(kinds)
+    table = [(g, g in model.of, g in against, *(map(float, model.weights[model.of[g]]) if g in model.of else none)) for g in known]
+    weights = spark.createDataFrame(table, "gram string, weighs boolean, denies boolean, " + ", ".join(f"{n} double" for n in names))
     row = [*keys, "paragraph", "part", "mark", "chars"]
     hits = lines.select(*row, F.explode("grams").alias("gram")).distinct()
     hits = hits.join(F.broadcast(weights), "gram")  # a row for each n-gram of the notices: a fixed size
-    summed = hits.groupBy(*row).agg(F.collect_list(F.when(F.size(F.split("gram", " ")) == 2, F.col("gram"))).alias("pairs"), *[F.sum(n).alias(n) for n in names])
+    summed = hits.groupBy(*row).agg(F.collect_list(F.when(F.size(F.split("gram", " ")) == 2, F.col("gram"))).alias("pairs"), F.collect_list(F.when(F.col("denies"), F.col("gram"))).alias("denied"), F.max("weighs").alias("weighs"), *[F.sum(n).alias(n) for n in names]).where("weighs")
     logits = F.array(*[F.col(n) + F.lit(float(b)) for n, b in zip(names, model.bias, strict=True)])
     summed = summed.withColumn("z", logits).withColumn("e", F.transform("z", lambda v: F.exp(v - F.array_max("z"))))
     summed = summed.withColumn("p", F.transform("e", lambda v: v / F.aggregate("e", F.lit(0.0), lambda s, x: s + x)))
@@ -298,7 +351,10 @@ def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: s
     notices = [(name, sorted(grams_of(words_of(notice), (2,)))) for name, own in NOTICES.items() for notice in own]
     shares = [F.when((F.col("family") == name) & ((F.col("part") < 0) | F.lit(len(own) > 2)), F.size(F.array_intersect("pairs", F.array(*[F.lit(g) for g in own]))) / F.lit(float(len(own)))) for name, own in notices if own]
     scored = scored.withColumn("similarity", F.coalesce(F.greatest(*shares), F.lit(0.0)))
-    confirmed = (F.col("family") != UNKNOWN) & (F.col("probability") >= sure) & (F.col("similarity") >= confirm)
+    denied = F.arrays_overlap("denied", F.array(*[F.lit(g) for g in DENIALS]))
+    for name, own in AGAINST.items():
+        denied = denied | ((F.col("family") == name) & F.arrays_overlap("denied", F.array(*[F.lit(g) for g in own])))
+    confirmed = ~denied & (F.col("family") != UNKNOWN) & (F.col("probability") >= sure) & (F.col("similarity") >= confirm)
     scored = scored.withColumn("confirmed", confirmed).where((F.col("part") < 0) | F.col("confirmed"))
     # in a run, for each likeliest family: a line that is confirmed stands before the joined lines, these before hints
     own = Window.partitionBy(*keys, "family")
