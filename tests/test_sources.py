@@ -31,8 +31,6 @@ def test_rule_files_and_lines(spark, tmp_path):
     files.append_lines(rules.select("rule_text"), str(tmp_path / "out"))
     files.append_lines(rules.select("rule_text"), str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).count() == 4
-    files.write_document(rules.select("rule_text"), str(tmp_path / "doc"))
-    assert len(json.loads(spark.read.text(str(tmp_path / "doc")).first().value)["rows"]) == 2
     (tmp_path / "p.json").write_text('[{"post_id": "1"}]')
     assert files.post_list(spark, str(tmp_path / "p.json")).first().post_id == "1"
 

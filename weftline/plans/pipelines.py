@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import host_by_slashes, netloc, word_count
-from ..operators import dedupe, posts, rules, web
+from ..operators import crawl, dedupe, posts, rules, web
 from ..tables import settle
 
 #: Of the full run: stricter on length, milder on quality than the cleaner alone.
@@ -67,10 +67,32 @@ def distill(found: DataFrame, threshold: float = 0.85, ratio: str = "sequence",
     return rules.merge_sources(dedupe.fuzzy_dedupe(found, order=order, threshold=threshold, ratio=ratio), order=order)
 
 
+def scraped(urls: DataFrame, pages: crawl.Fetcher) -> DataFrame:
+    """(url, html) of a list of URLs, fetched where they are dealt to: all of one
+    host by one task. Pages that fail have no text."""
+    asked = urls.select(F.coalesce(netloc("url"), F.lit("")).alias("site"), "url", F.lit(0).alias("depth"), F.monotonically_increasing_id().alias("rank"))
+    return pages(asked).select("url", "html")
+
+
+def discover(seeds: DataFrame, pages: crawl.Fetcher, keywords=None, max_pages: int = 80, folder: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """(rules, statistics) of the sites of some seeds: a crawl, the pages that its
+    links promise, and the rules of these."""
+    from ..functions import lexicons as L
+
+    visited = crawl.crawl(seeds, pages, max_pages, folder=folder)
+    found = settle(crawl.candidate_pages(visited, pages, keywords or L.URL_KEYWORDS, max_pages))
+    return rules_from_site(found, **options)
+
+
 def full(pages: DataFrame, options: dict | None = None, checks: dict | None = None, ratio: str = "sequence") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rules, cleaning statistics, validation report) from (url, html)."""
-    found = settle(rules_from_pages(pages, keep_terminator=True).withColumn("pos", F.monotonically_increasing_id()))
-    merged = settle(distill(found, ratio=ratio))
+    return finished(rules_from_pages(pages, keep_terminator=True).withColumn("pos", F.monotonically_increasing_id()), options, checks, ratio)
+
+
+def finished(found: DataFrame, options: dict | None = None, checks: dict | None = None, ratio: str = "sequence") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rules, cleaning statistics, validation report) from rules in order of
+    ``pos``: distilled, cleaned, filtered and validated."""
+    merged = settle(distill(settle(found), ratio=ratio))
     judged = merged.withColumn("reasons", rules.rejection_reasons("rule_text", F.col("quality_score"), **(FULL if options is None else options)))
     kept = judged.where(F.size("reasons") == 0).drop("reasons")
     kept = kept.withColumn("error", rules.first_error("rule_text", F.col("word_count"), **(checks or {})))

@@ -317,3 +317,63 @@ def cli_records(spark, sf_dir):
     main(["records", source, target])
     rows = spark.read.schema("post_id string, subreddit string, comments array<struct<comment_id:string>>").json(target)
     return rows.select("post_id", "subreddit", F.size("comments").cast("long").alias("comments"))
+
+
+class ConversationForum:
+    """A forum whose posts of a category are the lines of files in a folder, in
+    order of their place; a query is a number that divides a post's id."""
+
+    @staticmethod
+    def _all(category: str, query: str, options: dict) -> list[dict]:
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(f"{options['folder']}/category={category}")
+        found = []
+        for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if info.path.endswith(".json"):
+                with store.open_input_stream(info.path) as file:
+                    found += [json.loads(x) for x in file.read().decode().splitlines()]
+        until = int(options.get("until", 1 << 62))
+        return [p for p in sorted(found, key=lambda p: p["place"]) if p["place"] % int(query) == 0 and p["place"] < until]
+
+    @classmethod
+    def latest(cls, category: str, query: str, options: dict) -> int:
+        return len(cls._all(category, query, options))
+
+    @classmethod
+    def posts(cls, category: str, query: str, start: int, end: int, options: dict) -> list[dict]:
+        return cls._all(category, query, options)[start:end]
+
+
+@query(THREADS + "select 'c' || cast(conv_id % 7 as varchar) as category, cast(conv_id as varchar) as post_id, left(first, 60) as title, cast(n as bigint) as comments, 'all' as query from firsts")
+def forum_stream(spark, sf_dir):
+    """A forum read in three runs on one checkpoint while it grows: every post
+    once, though two queries find half of them and a part was there before."""
+    from ..sources import web as sources
+    from ..streaming import incremental
+
+    sources.register(spark)
+    folder, target, checkpoint = place(spark, "forum"), place(spark, "posts"), place(spark, "offsets")
+    rows = threads(spark, sf_dir).select(F.concat(F.lit("c"), (F.col("post_id").cast("long") % 7).cast("string")).alias("category"), F.col("post_id").cast("long").alias("place"), "post_id", "title", "score", "comments")
+    rows.write.partitionBy("category").json(folder)
+    most = (rows.agg(F.max("place")).first()[0] or 0) + 1
+    for until in (most // 3, most // 2, most):
+        read = spark.readStream.format("weftline_forum").option("categories", "\n".join(f"c{k}" for k in range(7))).option("queries", "all=1\neven=2").option("page", "20")
+        stream = read.option("client", "weftline.plans.roundtrips:ConversationForum").option("folder", folder).option("until", str(until)).load()
+        posts_ = incremental.append_stream(stream, target, checkpoint, ["category", "post_id"], ["query", "place"])
+    return posts_.select("category", "post_id", "title", F.size("comments").cast("long").alias("comments"), "query")
+
+
+@query(THREADS + "select 'r/' || cast(conv_id % 7 as varchar) as category, cast(row_number() over (partition by conv_id % 7 order by conv_id) - 1 as bigint) as pos, cast(conv_id as varchar) as post_id, left(first, 60) as title, cast(n as bigint) as comments, cast(n + 1 as bigint) as now, cast(n as bigint) as before from firsts")
+def document_sink(spark, sf_dir):
+    """Posts written as one document of categories, by several tasks, twice; read
+    back by byte ranges beside the backup of the first writing."""
+    from ..sources import sinks
+
+    path = place(spark, "document") + ".json"
+    rows = threads(spark, sf_dir).select("category", F.col("post_id").cast("long").alias("id"), "post_id", "title", "score", "comments")
+    sinks.write_document(rows, path, "category", ["id"])
+    sinks.write_document(rows.withColumn("score", F.col("score") + 1), path, "category", ["id"])
+    kept = lambda p: files.category_map(spark, p).select("category", "pos", "post_id", "title", F.size("comments").cast("long").alias("comments"), "score")
+    before = kept(f"{path}.backup").select("category", "post_id", F.col("score").alias("before"))
+    return kept(path).withColumnRenamed("score", "now").join(before, ["category", "post_id"])

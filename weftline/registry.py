@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import roundtrips  # noqa: F401 (registers its queries)
+from .plans import discovery, roundtrips  # noqa: F401 (register their queries)
 from .plans.queries import QUERIES, SQL
 
 

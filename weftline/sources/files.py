@@ -12,23 +12,17 @@ from pyspark.sql import functions as F
 
 from ..functions.schemas import DIGEST, POST, RULE_FILE
 from ..functions.text import strip
+from .documents import json_elements
 
 
 def category_map(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Posts of {category: [post]} documents: category, pos and the post's
     columns. Values that aren't lists and posts that aren't objects are left out
     (``strict``: malformed JSON fails instead of giving no row). Categories keep
-    the file's order in ``category_pos``."""
-    whole = spark.read.text(path, wholetext=True)
-    parsed = F.parse_json("value") if strict else F.try_parse_json("value")
-    files = whole.select(F.col("_metadata.file_path").alias("file"), "value", parsed.alias("v")).where("v is not null")
-    order = F.json_object_keys("value")
-    rows = files.select("file", order.alias("names"), "v")
-    cats = rows.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("file", "names", F.col("key").alias("category"), F.col("value").alias("items"))
-    cats = cats.where(F.schema_of_variant("items").startswith("ARRAY"))
-    posts = cats.lateralJoin(spark.tvf.variant_explode(F.col("items").outer())).select("file", (F.array_position("names", F.col("category")) - 1).alias("category_pos"), "category", F.col("pos"), F.col("value").alias("post"))
-    objects = posts.where(F.schema_of_variant("post").startswith("OBJECT"))
-    return objects.withColumn("p", F.from_json(F.to_json("post"), POST)).select("file", "category_pos", "category", "pos", "p.*")
+    the file's order in ``category_pos``. A document of any size is read by as many
+    tasks as it has byte ranges."""
+    rows = json_elements(spark, path, strict=strict).withColumn("p", F.from_json("value", POST))
+    return rows.select("file", F.col("key_pos").alias("category_pos"), F.col("key").alias("category"), "pos", "p.*")
 
 
 def posts_with_category(spark: SparkSession, path: str) -> DataFrame:
@@ -76,11 +70,6 @@ def append_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def write_document(rows: DataFrame, path: str, column: str = "rows") -> None:
-    """All rows as one JSON document; for results that are small by nature."""
-    rows.agg(F.to_json(F.struct(F.collect_list(F.struct("*")).alias(column))).alias("value")).coalesce(1).write.mode("overwrite").text(path)
-
-
 # Configuration files, on the driver
 
 

@@ -36,6 +36,11 @@ def work_dir(spark: SparkSession) -> str:
     return (base or f"file://{tempfile.gettempdir()}/weftline-rounds").rstrip("/")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it again, so that a lost executor
     costs no earlier round. The files go when the interpreter ends."""
