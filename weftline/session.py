@@ -10,6 +10,14 @@ from pyspark.sql import SparkSession
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
+#: Rows and bytes of a batch that goes to a Python worker: long texts come in
+#: few at a time.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+#: For Python workers: memory of large arrays goes back to the system when they end
+#: (idle workers would keep it otherwise), that of small ones is used again.
+WORKERS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20)}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Let Python workers find this package where it is installed at the same
     place on every machine; elsewhere submit it with --py-files."""
@@ -19,6 +27,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_workers(spark: SparkSession) -> SparkSession:
+    """prepare(), and less memory for Python workers: for runs of many steps, whose
+    idle workers add up. Settings that the session was started with stay."""
+    environment = getattr(prepare(spark).sparkContext, "environment", None)
+    for name, value in WORKERS.items() if environment is not None else ():
+        environment.setdefault(name, value)
+    own = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for name, value in BATCH.items():
+        if name not in own:
+            spark.conf.set(name, value)
+    return spark
+
+
 def need(module: str, hint: str = "") -> None:
     """Fail on the driver, before a job starts, where a model's library is missing."""
     import importlib.util
