@@ -33,3 +33,54 @@ DIGEST_RULE = T.StructType(
 )
 DIGEST = T.StructType([*_of("source_platform string, extracted_at string, domain_topic string, source_post_id string, source_title string, source_url string").fields, T.StructField("rules", T.ArrayType(DIGEST_RULE))])
 CORPUS_ROW = _of("post_id string, title string, category string, clean_text string")
+
+
+def _text(**more) -> dict:
+    return {"type": "string"} | more
+
+
+def _or_null(kind: dict) -> dict:
+    return {"anyOf": [kind, {"type": "null"}]}
+
+
+def digest_schema() -> dict:
+    """What a digest has to be, as a JSON schema."""
+    from . import lexicons as L
+
+    texts = {"type": "array", "items": _text()}
+    citation = {"type": "object", "required": ["source_post_id", "snippet"], "properties": {"source_post_id": _text(), "source_url": _or_null(_text()), "source_comment_id": _or_null(_text()), "snippet": _text(), "upvotes": _or_null({"type": "integer"})}}
+    rule = {
+        "type": "object",
+        "required": ["rule_id", "text", "rule_type", "categories", "context_tags", "confidence", "citations"],
+        "properties": {
+            "rule_id": _text(),
+            "text": _text(),
+            "rule_type": _text(enum=L.RULE_TYPES),
+            "categories": {"type": "array", "minItems": 1, "items": _text(enum=L.CATEGORIES)},
+            "context_tags": texts,
+            "examples": texts,
+            "exceptions": texts,
+            "rationale": _or_null(_text()),
+            "confidence": {"type": "number", "minimum": 0, "maximum": 1},
+            "citations": {"type": "array", "minItems": 1, "items": {"$ref": "#/$defs/Citation"}},
+            "safety": _or_null(_text(enum=L.SEVERITIES)),
+        },
+    }
+    return {
+        "$defs": {"Citation": citation, "Rule": rule},
+        "type": "object",
+        "required": ["extracted_at", "source_post_id", "source_title", "rules"],
+        "properties": {
+            "source_platform": _text(enum=L.PLATFORMS),
+            "extracted_at": _text(),
+            "domain_topic": _text(enum=L.TOPICS),
+            "source_post_id": _text(),
+            "source_title": _text(),
+            "source_url": _or_null(_text()),
+            "rules": {"type": "array", "minItems": 1, "items": {"$ref": "#/$defs/Rule"}},
+        },
+    }
+
+
+#: What the run fills in itself, or can do without.
+FILLED = {"extracted_at", "source_post_id", "source_title", "rule_id", "text", "context_tags", "snippet"}

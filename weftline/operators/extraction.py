@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
-from ..functions.schemas import DIGEST, EXTRACTION
+from ..functions.jsonschema import ERRORS, schema_errors, without_required
+from ..functions.schemas import DIGEST, EXTRACTION, FILLED, digest_schema
 from ..functions.text import cut, salvage_json, strip, truncate, utc_seconds
+from ..tables import settle
 from .posts import DELETED, top_comment_text, top_comments
 
 Model = Callable[[list[str]], list[str]]
@@ -178,40 +180,47 @@ def digest_errors(rule_type: Column, categories: Column, confidence: Column, cit
     return F.filter(F.array(*[F.when(c, F.lit(m)) for c, m in checks]), lambda x: x.isNotNull())
 
 
-def digest_udf(model: Model, retries: int = 1):
-    """Ask, and ask again with an added demand while the answer isn't a digest;
-    null after the last attempt."""
-
-    def valid(text: str) -> bool:
-        import json
-
-        try:
-            d = json.loads(text)
-            return bool(d["rules"]) and d.get("source_platform", "reddit") in L.PLATFORMS and d.get("domain_topic", "menswear") in L.TOPICS and all(r["rule_type"] in L.RULE_TYPES and r["categories"] and set(r["categories"]) <= set(L.CATEGORIES) and 0 <= r["confidence"] <= 1 and r["citations"] and r.get("safety") in (None, *L.SEVERITIES) for r in d["rules"])
-        except (ValueError, KeyError, TypeError):
-            return False
+def asked(model: Model):
+    """The model's answers to prompts; null to null, which it isn't asked."""
 
     @F.pandas_udf("string")
-    def asked(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def answers(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            prompts, out = part.fillna("").tolist(), [None] * len(part)
-            for _ in range(1 + retries):
-                left = [i for i, x in enumerate(out) if x is None]
-                if not left:
-                    break
-                for i, answer in zip(left, model([prompts[i] for i in left]), strict=True):
-                    out[i] = answer if valid(answer) else None
-                    prompts[i] += L.STRICT
-            yield pd.Series(out)
-
-    return asked
-
-
-def digests(posts: DataFrame, model: Model, known: DataFrame, retries: int = 1, now: Column | None = None) -> DataFrame:
+            out, wanted = pd.Series([None] * len(part), dtype=object), part.notna().to_numpy()
+            if wanted.any():
+                out[wanted] = list(model(part[wanted].tolist()))
+            yield out
+
+    return answers.asNondeterministic()  # so that no plan asks twice
+
+
+def ask_again(posts: DataFrame, prompt: Column, model: Model, schema: dict, retries: int = 1, answer: str = "answer", errors: str = "errors") -> DataFrame:
+    """posts with the model's answer and what of it breaks the schema. Where that is
+    something, the model is asked again with an added demand, up to so many times;
+    the last answer stays with its errors. Each round asks only those of the one
+    before that failed, and is written before the next, so nobody is asked twice."""
+    rows = posts.withColumns({"__prompt": F.coalesce(prompt, F.lit("")), answer: F.lit(None).cast("string"), errors: F.lit(None).cast(ERRORS)})
+    for _ in range(1 + retries):
+        open_ = F.col(errors).isNull() | (F.size(errors) > 0)
+        rows = rows.withColumn("__new", asked(model)(F.when(open_, F.col("__prompt"))))
+        given = F.when(open_, F.col("__new")).otherwise(F.col(answer))
+        demand = F.when(open_, F.concat("__prompt", F.lit(L.STRICT))).otherwise(F.col("__prompt"))
+        rows = rows.withColumns({answer: given, "__prompt": demand}).drop("__new")
+        # an answer of null is none
+        rows = settle(rows.withColumn(errors, schema_errors(F.coalesce(F.col(answer), F.lit("")), schema)))
+        if rows.where(F.size(errors) > 0).isEmpty():
+            break
+    return rows.drop("__prompt")
+
+
+def digests(posts: DataFrame, model: Model, known: DataFrame, retries: int = 1, now: Column | None = None, schema: dict | None = None) -> DataFrame:
     """A row per novel rule of each post: prompt, answer, schema, ids, novelty.
-    posts: (pos, post_id, title, url, selftext, comments)."""
-    asked = posts.withColumn("__d", F.from_json(digest_udf(model, retries)(digest_prompt(F.col("post_id"), F.col("title"), F.col("selftext"), F.col("comments"))), DIGEST)).where("__d is not null")
-    rows = asked.select(F.col("pos").alias("post_pos"), F.col("post_id").alias("source_post_id"), F.col("title").alias("source_title"), F.col("url").alias("source_url"), F.posexplode("__d.rules").alias("rule_pos", "rule"))
+    posts: (pos, post_id, title, url, selftext, comments). ``schema`` is that of
+    digests without what is filled in here, unless another is given."""
+    schema = without_required(digest_schema(), FILLED) if schema is None else schema
+    answered = ask_again(posts, digest_prompt(F.col("post_id"), F.col("title"), F.col("selftext"), F.col("comments")), model, schema, retries, "__answer", "__errors")
+    found = answered.where(F.size("__errors") == 0).withColumn("__d", F.from_json("__answer", DIGEST))
+    rows = found.select(F.col("pos").alias("post_pos"), F.col("post_id").alias("source_post_id"), F.col("title").alias("source_title"), F.col("url").alias("source_url"), F.posexplode("__d.rules").alias("rule_pos", "rule"))
     rows = rows.withColumn("rule_id", filled_id(F.col("rule.rule_id"), F.col("rule.text"), F.col("source_post_id")))
     return stamped(novel(rows, known), now)
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions import text as X
+from ..functions.jsonschema import schema_errors
+from ..functions.schemas import digest_schema
 from ..operators import extraction, posts, rules, spelling, web
 from ..sources import files
 from ..tables import spread, work_dir
@@ -164,6 +166,36 @@ def digest_retry(spark, sf_dir):
     return found.select("source_post_id", "rule_id", "extracted_at")
 
 
+@query("""with t as (select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn) - 1 as i from conversations),
+e as (select conv_id, '$.rules[' || i || '].rule_type' as path, 'not one of absolute, guideline, trend, contrarian' as error from t where turn % 2 = 1
+union all select conv_id, '$.rules[' || i || '].confidence', 'maximum 1' from t where turn > 4 union all select conv_id, '$.rules[' || i || '].confidence', 'not of type number' from t where turn = 0
+union all select conv_id, '$.rules[' || i || '].citations', 'minItems 1' from t where turn % 3 = 0 union all select conv_id, '$.rules[' || i || '].citations[0].snippet', 'missing' from t where turn % 3 = 1
+union all select conv_id, '$.rules[' || i || '].categories[1]', 'not one of fit, color, formality, fabric, footwear, accessories, season, pattern, proportion, grooming, occasion, general' from t where length(text) % 5 = 0
+union all select distinct conv_id, '$.source_title', 'missing' from t where conv_id % 4 = 0)
+select conv_id, path, error from e""")
+def digest_schema_errors(spark, sf_dir):
+    """Where digests of whole conversations, a rule for each turn, break the schema."""
+    turn = F.col("turn")
+    citation = F.struct(F.col("conv_id").cast("string").alias("source_post_id"), F.when(turn % 3 == 2, F.col("text")).alias("snippet"), F.lit(3).alias("upvotes"))
+    rule = F.struct(
+        turn,
+        F.concat("conv_id", F.lit("-"), "turn").alias("rule_id"),
+        "text",
+        F.when(turn % 2 == 1, F.col("role")).otherwise("trend").alias("rule_type"),
+        F.array(F.lit("fit"), F.when(F.length("text") % 5 == 0, "hats").otherwise("season")).alias("categories"),
+        F.array().cast("array<string>").alias("context_tags"),
+        F.when(turn > 4, "1.5").when(turn == 0, '"high"').otherwise("0.25").alias("confidence"),
+        F.when(turn % 3 == 0, F.array().cast("array<struct<source_post_id:string,snippet:string,upvotes:int>>")).otherwise(F.array(citation)).alias("citations"),
+    )
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(rule)).alias("rules"))
+    # a confidence of another type is put in as text
+    texts = F.transform("rules", lambda r: F.replace(F.to_json(r.dropFields("turn", "confidence")), F.lit('{"rule_id"'), F.concat(F.lit('{"confidence":'), r["confidence"], F.lit(',"rule_id"'))))
+    title = F.when(F.col("conv_id") % 4 == 0, "").otherwise('"source_title":"t",')
+    whole = F.concat(F.lit("{"), title, F.lit('"extracted_at":"now","source_post_id":"p","rules":['), F.array_join(texts, ","), F.lit("]}"))
+    errors = schema_errors(whole, digest_schema())
+    return rows.select("conv_id", F.explode(errors).alias("e")).select("conv_id", "e.*")
+
+
 # Rules and fields
 
 
