@@ -56,3 +56,30 @@ def test_registered_query_corrects_two_edits(spark, tmp_path):
             two += best[0] == 2
     assert two > 10
     assert {r.word: r.correction for r in Q.token_spelling_two(spark, str(tmp_path)).collect()} == want
+
+
+def test_few_edits_are_those_of_short_words(spark):
+    pick = random.Random(3)
+    pairs = [("".join(pick.choice("abc") for _ in range(pick.randrange(1, 7))), "".join(pick.choice("abc") for _ in range(pick.randrange(1, 7)))) for _ in range(1500)]
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", spelling.edit_count(F.col("a"), F.col("b")).alias("n")).collect()
+    for r in rows:
+        assert spelling.few_edits(r.a, r.b, 2) == r.n, (r.a, r.b)
+
+
+def test_long_words(spark):
+    pick = random.Random(8)
+    letters = lambda n: "".join(pick.choice("abcdefgh") for _ in range(n))
+
+    def edited(w, times):
+        for _ in range(times):
+            i, k = pick.randrange(len(w) - 1), pick.randrange(4)
+            w = [w[:i] + w[i + 1 :], w[:i] + "z" + w[i:], w[:i] + "y" + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :]][k]
+        return w
+
+    known = [letters(n) for n in (20, 31, 32, 33, 34, 40, 64, 500, 3000)] + ["a" * 20_000]
+    unknown = {edited(w, t): w for w in known for t in (1, 2)} | {"a" * 19_999 + "b": "a" * 20_000, "b" + "a" * 20_000 + "b": "a" * 20_000}
+    far = [letters(n) for n in (33, 64, 500, 20_000)]
+    dictionary = spark.createDataFrame([(w, 1) for w in known], "word string, freq long")
+    words = spark.createDataFrame([(w,) for w in [*unknown, *far] if w not in known], "word string")
+    got = {r.word: r.correction for r in spelling.corrections(words, dictionary).collect()}
+    assert got == {w: c for w, c in unknown.items() if w not in known}

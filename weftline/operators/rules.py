@@ -97,8 +97,9 @@ def first_error(text: Column | str, count: Column | None = None, min_words: int
 
 
 def clean(rules: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """(valid rules, rejected rules with reasons): two filters of one input."""
-    judged = rules.withColumn("reasons", rejection_reasons("rule_text", F.col("quality_score"), **options))
+    """(valid rules, rejected rules with reasons): two filters of one table, so that
+    the reasons are found once."""
+    judged = settle(rules.withColumn("reasons", rejection_reasons("rule_text", F.col("quality_score"), **options)))
     return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
 
 

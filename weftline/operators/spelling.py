@@ -1,7 +1,10 @@
 """Spelling: unknown words get the likeliest known word within two edits.
 
 Distinct words are corrected once for the whole corpus. A word meets candidates
-through deletion variants, not by comparing it with the whole dictionary."""
+through deletion variants, not by comparing it with the whole dictionary. Words of
+over ``LONG`` letters have too many of those; they meet through segments: each edit
+touches two neighbouring segments at most, so with 2 * edits + 1 of them one is
+left whole, at its place give or take the edits."""
 
 from __future__ import annotations
 
@@ -32,6 +35,8 @@ def unknown_words(found: DataFrame, dictionary: DataFrame, skip: list[str] | Non
     return words.join(dictionary.select("word"), "word", "left_anti")
 
 
+#: Letters of a word that is found by its deletion variants.
+LONG = 32
 #: Slots of 64 bits of the filter of marks: a fixed size, so with more marks it only lets more pass.
 SLOTS = 1 << 19
 
@@ -100,14 +105,78 @@ def edit_count(word: Column, other: Column) -> Column:
     return found.when((plain == 3) & alike & near, 2).when((plain == 4) & (letters(word) == letters(other)) & twice, 2).otherwise(3)
 
 
+def long_pairs(unknown: DataFrame, dictionary: DataFrame, edits: int, longer_than: int = LONG) -> DataFrame:
+    """(word, correction, freq) of pairs that share a whole segment and of which one
+    has more than so many letters: all that are within ``edits``, and a few more."""
+    parts = 2 * edits + 1
+    at = lambda i: F.floor(i * F.col("size") / parts).cast("int")
+    mark = lambda text, start, length: F.xxhash64("size", "i", F.substring(text, start + 1, length))
+    near = lambda rows, c: rows.where(F.length(c) > longer_than - edits)
+    right = near(dictionary.select(F.col("word").alias("correction"), "freq"), "correction").withColumn("size", F.length("correction"))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    right = right.select("correction", "freq", mark(F.col("correction"), at(F.col("i")), at(F.col("i") + 1) - at(F.col("i"))).alias("mark"))
+    sizes = F.sequence(F.greatest(F.length("word") - edits, F.lit(1)), F.length("word") + edits)
+    left = near(unknown.select("word"), "word").withColumn("size", F.explode(sizes)).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    left = left.withColumn("shift", F.explode(F.sequence(F.lit(-edits), F.lit(edits))))
+    start, length = at(F.col("i")) + F.col("shift"), at(F.col("i") + 1) - at(F.col("i"))
+    left = left.where((start >= 0) & (start + length <= F.length("word"))).select("word", mark(F.col("word"), start, length).alias("mark")).distinct()
+    pairs = left.join(right, "mark").where((F.length("word") > longer_than) | (F.length("correction") > longer_than))
+    return pairs.select("word", "correction", "freq").distinct()
+
+
+def few_edits(a: str, b: str, most: int) -> int:
+    """Edits between two texts of any length, ``most`` + 1 where there are more: what
+    differs first is mended in every way, and the rest compared again. An edit on
+    one text may come before one that a neighbour's exchange needs, so both are tried."""
+    at = _agree(a, b)
+    if at == len(a) == len(b):
+        return 0
+    if most == 0 or abs(len(a) - len(b)) > most:
+        return most + 1
+    x, y = a[at:], b[at:]
+    ways = [(x[1:], y), (x, y[1:]), (x[1:], y[1:])]
+    swap = lambda t: t[1] + t[0] + t[2:]
+    ways += [(swap(x), y)] if len(x) > 1 else []
+    ways += [(x, swap(y))] if len(y) > 1 else []
+    if at:  # an exchange that takes in the last letter that agrees
+        x, y = a[at - 1 :], b[at - 1 :]
+        ways += [(swap(x), y)] if len(x) > 1 else []
+        ways += [(x, swap(y))] if len(y) > 1 else []
+    return min(1 + few_edits(p, q, most - 1) for p, q in ways)
+
+
+def _agree(a: str, b: str) -> int:
+    """Letters that two texts begin with alike, by doubling steps."""
+    n, low = min(len(a), len(b)), 0
+    step = 64
+    while low < n:
+        if a[low : low + step] == b[low : low + step]:
+            low += step
+            step *= 2
+            continue
+        if step == 64:
+            return next((i for i in range(low, min(low + 64, n)) if a[i] != b[i]), min(low + 64, n))
+        step = max(64, step // 4)
+    return n
+
+
+@F.arrow_udf(T.IntegerType())
+def long_edit_count(words: pa.Array, others: pa.Array) -> pa.Array:
+    """Edits between two words, 3 for more than two."""
+    return pa.array([few_edits(a, b, 2) for a, b in zip(words.to_pylist(), others.to_pylist(), strict=True)], pa.int32())
+
+
 def corrections(unknown: DataFrame, dictionary: DataFrame, edits: int = 2) -> DataFrame:
     """(word, correction): least edits, then highest freq, then first by letter."""
     dictionary = settle(dictionary.select("word", "freq"))
-    marks, near = deletion_marks(edits), deletion_marks(edits, mark_filter(dictionary, edits))
-    left = unknown.select("word", F.explode(near("word")).alias("variant"))
-    right = dictionary.select(F.col("word").alias("correction"), "freq", F.explode(marks("word")).alias("variant"))
+    short = lambda rows: rows.where(F.length("word") <= LONG)
+    marks, near = deletion_marks(edits), deletion_marks(edits, mark_filter(short(dictionary), edits))
+    left = short(unknown).select("word", F.explode(near("word")).alias("variant"))
+    right = short(dictionary).select(F.col("word").alias("correction"), "freq", F.explode(marks("word")).alias("variant"))
     pairs = left.join(right.hint("shuffle_hash"), "variant").select("word", "correction", "freq").distinct()
-    pairs = pairs.withColumn("edits", edit_count(F.col("word"), F.col("correction"))).where(F.col("edits") <= edits)
+    pairs = pairs.withColumn("edits", edit_count(F.col("word"), F.col("correction")))
+    far = long_pairs(unknown, dictionary, edits).withColumn("edits", long_edit_count("word", "correction"))
+    pairs = pairs.unionByName(far).where(F.col("edits") <= edits)
     rank = F.row_number().over(Window.partitionBy("word").orderBy("edits", F.desc("freq"), "correction"))
     return pairs.withColumn("rank", rank).where("rank = 1").select("word", "correction")
 
