@@ -244,7 +244,9 @@ def simhash_components(prints: DataFrame, max_bits: int = 3, id_col: str = "doc_
         pairs = np.unique(np.stack([a, b], 1), axis=0)
         return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
 
-    lists = groups.mapInArrow(listed, "key long, spot long, fp long, rep long")
+    # a fingerprint becomes a row for each combination: small tasks, so that none counts millions of keys
+    parts = max(int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-groups.count() // 8192))
+    lists = groups.repartition(parts).mapInArrow(listed, "key long, spot long, fp long, rep long")
     large = materialize(lists.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key"))
     if large.limit(1).count():
         parts = lists.join(large, "key").mapInArrow(split, "key long, fp long, rep long")
