@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as L
 from ..functions.jsonschema import ERRORS, schema_errors, without_required
 from ..functions.schemas import DIGEST, EXTRACTION, FILLED, digest_schema
-from ..functions.text import cut, salvage_json, strip, truncate, utc_seconds
+from ..functions.text import cut, salvage_json, strip, truncate, utc_seconds, word_count
 from ..tables import settle
 from .posts import DELETED, top_comment_text, top_comments
 
@@ -112,6 +112,25 @@ def extract_posts(posts: DataFrame, model: Model = stub_model, system: str = "")
     return rows.select(text("post_id"), text("title"), text("category"), text("url"), "extraction", "success", error.alias("error"), F.when(failed, F.substring("__r.answer", 1, 300)).alias("raw_response"))
 
 
+WEB_RULES = "has_fashion_rule boolean, rules array<struct<rule_text:string,rule_type:string,quality_score:int,word_count:int>>"
+
+
+def extract_pages(pages: DataFrame, model: Model, text: str = "text", system: str = "") -> DataFrame:
+    """The columns of pages, and (pos, rule_text, rule_type, quality_score,
+    word_count, error): a row for each rule that a model finds in a page's text. Word
+    counts are filled in where the answer has none. A page without a rule has none, and one
+    whose model fails, or whose answer is no JSON, a row with the error."""
+    asked_ = pages.withColumn("__r", model_udf(model)(web_prompt(F.coalesce(F.col(text), F.lit("")), system)))
+    found = F.from_json(salvage_json(F.col("__r.answer")), WEB_RULES)
+    failed = F.when(F.col("__r.error").isNotNull(), F.col("__r.error")).when(salvage_json(F.col("__r.answer")).isNull(), F.concat(F.lit(L.ERROR_JSON), F.substring("__r.answer", 1, 200)))
+    rules = F.when(found["has_fashion_rule"], found["rules"])
+    rows = asked_.select(*[F.col(f"`{c}`") for c in pages.columns if c != text], failed.alias("error"), rules.alias("rules"))
+    listed = F.when(F.col("error").isNotNull(), F.array(F.lit(None).cast("struct<rule_text:string,rule_type:string,quality_score:int,word_count:int>"))).otherwise(F.col("rules"))
+    rows = rows.select(*[c for c in rows.columns if c != "rules"], F.posexplode(listed).alias("pos", "rule"))
+    words = F.when(F.col("rule").isNotNull(), F.coalesce("rule.word_count", word_count(F.coalesce("rule.rule_text", F.lit(""))).cast("int")))
+    return rows.select(*[c for c in rows.columns if c not in ("error", "rule")], "rule.rule_text", "rule.rule_type", "rule.quality_score", words.alias("word_count"), "error")
+
+
 def extraction_stats(results: DataFrame) -> DataFrame:
     """total, successful, failed, with and without rules."""
     n, ok = F.count("*"), F.count_if(F.col("success"))

@@ -125,6 +125,15 @@ def keep_valid(rules: DataFrame, **options) -> DataFrame:
     return rules.where(first_error("rule_text", F.col("word_count") if "word_count" in rules.columns else None, **options).isNull())
 
 
+def filtered(rules: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """(valid rules, one row of total_rules and filtered): what stays, and the totals
+    of a rule file that follow from it. The checks run once."""
+    error = first_error("rule_text", F.col("word_count") if "word_count" in rules.columns else None, **options)
+    judged = settle(rules.withColumn("__error", error))
+    ok = F.count_if(F.col("__error").isNull())
+    return judged.where("__error is null").drop("__error"), judged.agg(ok.alias("total_rules"), (F.count("*") - ok).alias("filtered"))
+
+
 def with_word_count(rules: DataFrame, text: str = "rule_text", column: str = "word_count") -> DataFrame:
     """word_count where it is missing."""
     own = word_count(text)

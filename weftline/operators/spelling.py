@@ -35,6 +35,14 @@ def unknown_words(found: DataFrame, dictionary: DataFrame, skip: list[str] | Non
     return words.join(dictionary.select("word"), "word", "left_anti")
 
 
+def with_domain_words(dictionary: DataFrame, words: list[str] | None = None) -> DataFrame:
+    """The dictionary (word, freq) with words of a field, each seen once more: they
+    are known, and what is misspelt may be corrected to them."""
+    own = [(w.lower(), 1) for w in (SKIP_WORDS if words is None else words)]
+    more = dictionary.sparkSession.createDataFrame(own, "word string, freq long")
+    return dictionary.select("word", F.col("freq").cast("long").alias("freq")).unionByName(more).groupBy("word").agg(F.sum("freq").alias("freq"))
+
+
 #: Letters of a word that is found by its deletion variants.
 LONG = 32
 #: Slots of 64 bits of the filter of marks: a fixed size, so with more marks it only lets more pass.

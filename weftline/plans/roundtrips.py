@@ -19,7 +19,7 @@ from ..operators import extraction, posts, rules, spelling, web
 from ..sources import files
 from ..tables import spread, work_dir
 from . import pipelines
-from .queries import KEYS, NAV, NEED, PROMO, SAYS, SENTENCES, THREADS, TOKENS, TYPES, WS, any_sql, collapse_sql, count_sql, query, reasons_sql, sentences_of, strip_sql, table, threads, truncate_sql, type_sql, word_counts
+from .queries import CHECKED, KEYS, NAV, NEED, PROMO, SAYS, SENTENCES, THREADS, TOKENS, TYPES, WS, any_sql, checked, collapse_sql, count_sql, query, reasons_sql, sentences_of, strip_sql, table, threads, truncate_sql, type_sql, word_counts
 
 
 def place(spark: SparkSession, name: str) -> str:
@@ -409,3 +409,102 @@ def document_sink(spark, sf_dir):
     kept = lambda p: files.category_map(spark, p).select("category", "pos", "post_id", "title", F.size("comments").cast("long").alias("comments"), "score")
     before = kept(f"{path}.backup").select("category", "post_id", F.col("score").alias("before"))
     return kept(path).withColumnRenamed("score", "now").join(before, ["category", "post_id"])
+
+
+def page_answers(prompts: list[str]) -> list[str]:
+    """By the prompt's length: two rules, one with its count; no rule; no JSON; an error."""
+    out = []
+    for p in prompts:
+        k = len(p) % 4
+        if k == 3:
+            raise ValueError("no answer")
+        rule = [{"rule_text": " Wear it  well ", "rule_type": "fit", "quality_score": 8}, {"rule_text": "two", "word_count": 9}]
+        out.append("Nothing." if k == 2 else json.dumps({"has_fashion_rule": k == 0, "rules": rule}))
+    return out
+
+
+@query(f"""with k as (select doc_id, length('{HEAD}' || text || '{TAIL}') % 4 as k from documents)
+select doc_id, 0 as pos, ' Wear it  well ' as rule_text, 'fit' as rule_type, 8 as quality_score, 3 as word_count, null as error from k where k = 0
+union all select doc_id, 1, 'two', null, null, 9, null from k where k = 0
+union all select doc_id, 0, null, null, null, null, case when k = 3 then 'no answer' else '{L.ERROR_JSON}Nothing.' end from k where k > 1""")
+def web_answers(spark, sf_dir):
+    """Rules that a model finds in whole texts; failures are rows."""
+    return extraction.extract_pages(table(spark, sf_dir, "documents").select("doc_id", "text"), page_answers)
+
+
+@query(CHECKED + "select count(*) filter (where error is null) as total_rules, count(*) filter (where error is not null) as filtered from e")
+def filter_totals(spark, sf_dir):
+    """The totals of a rule file whose invalid rules went."""
+    kept, totals = rules.filtered(checked(spark, sf_dir).drop("error"), prohibited=PROMO, advice=SAYS, fashion=NEED)
+    return totals
+
+
+@query("select doc_id, replace(text, ' the ', ' THE ') as mended from documents")
+def grammar_hook(spark, sf_dir):
+    """A grammar tool, loaded once per worker, over whole texts."""
+    return table(spark, sf_dir, "documents").select("doc_id", spelling.mended("text", lambda: lambda t: t.replace(" the ", " THE ")).alias("mended"))
+
+
+@query(POSTS + " from firsts")
+def category_files_strict(spark, sf_dir):
+    """As category_files, where a malformed document would be an error."""
+    docs = listed_posts(spark, sf_dir).select(F.to_json(F.create_map("category", "posts")).alias("value"))
+    found = files.category_map(spark, documents_of(docs, place(spark, "strict")), strict=True)
+    return found.select("category", F.col("pos").cast("int").alias("pos"), "post_id", "title", "score", F.size("comments").cast("long").alias("comments"))
+
+
+def top_of_forum(category: str, text: str, limit: int, options: dict) -> list[dict]:
+    """A search client over the same folders: the best posts of a category."""
+    if category == "c6":
+        raise OSError("down")
+    found = ConversationForum._all(category, text, options)
+    return sorted(found, key=lambda p: (-p["score"], p["place"]))[:limit]
+
+
+@query(THREADS + """, p as (select 'c' || cast(conv_id % 7 as varchar) as category, q.query, conv_id, cast(n as bigint) as score, left(first, 60) as title from firsts, (values ('all', 1), ('even', 2)) q(query, k) where conv_id % k = 0 and conv_id % 7 <> 6),
+r as (select *, row_number() over (partition by category, query order by score desc, conv_id) as rank from p)
+select category, query, cast(conv_id as varchar) as post_id, title, score, null as error from r where rank <= 4
+union all select 'c6', query, null, null, null, 'OSError: down' from (values ('all'), ('even')) q(query)""")
+def search_threads(spark, sf_dir):
+    """Every category with every query: the best four posts of each; a search that
+    fails is a row."""
+    from ..sources import web as sources
+
+    sources.register(spark)
+    folder = place(spark, "searched")
+    rows = threads(spark, sf_dir).select(F.concat(F.lit("c"), (F.col("post_id").cast("long") % 7).cast("string")).alias("category"), F.col("post_id").cast("long").alias("place"), "post_id", "title", "score")
+    rows.write.partitionBy("category").json(folder)
+    read = spark.read.format("weftline_search").option("categories", "\n".join(f"c{k}" for k in range(7))).option("queries", "all=1\neven=2").option("limit", "4")
+    found = read.option("client", "weftline.plans.roundtrips:top_of_forum").option("folder", folder).load()
+    return found.select("category", "query", "post_id", "title", "score", "error")
+
+
+@query("""with c as (select label as cluster, vec_id from embeddings), s as (select label as k, avg(vec_id) / 1000 as silhouette from embeddings group by 1),
+r as (select *, row_number() over (order by silhouette desc, k) as r from s)
+select r.k, r.silhouette, (select k from r where r = 1) as best_k, (select silhouette from r where r = 1) as best_silhouette, 'stub' as model_name, (select count(distinct cluster) from c) as summaries, cast(r.r - 1 as integer) as place from r""")
+def scores_document(spark, sf_dir):
+    """Scores and cluster summaries as one document, read back."""
+    from ..operators import semantic
+
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("pos"), F.col("label").alias("cluster"), F.lit("x").alias("category"), F.col("vec_id").cast("string").alias("post_id"), F.lit("text").alias("clean_text"))
+    scores = rows.groupBy(F.col("cluster").alias("k")).agg((F.avg("pos") / 1000).alias("silhouette"))
+    whole = semantic.serialized_scores(scores, semantic.cluster_summary(rows), "stub")
+    kind = "model_name string, cluster_scores array<struct<k:int,silhouette:double>>, best_k int, best_silhouette double, cluster_summaries array<struct<cluster:int>>"
+    found = whole.select(F.from_json("document", kind).alias("d")).select("d.*")
+    return found.select(F.posexplode("cluster_scores").alias("place", "s"), "best_k", "best_silhouette", "model_name", F.size("cluster_summaries").cast("long").alias("summaries")).select("s.k", "s.silhouette", "best_k", "best_silhouette", "model_name", "summaries", "place")
+
+
+@query(TOKENS + """, known as (select word, n as freq from w where n >= 40), own(word) as (values ('thn'), ('thanedbla')), dict as (select word, sum(freq) as freq from (select * from known union all select word, 1 from own) group by word)
+, rare as (select word from w where n < 40 and word not in (select word from own)),
+e as (select r.word, k.word as correction, k.freq from rare r join dict k on left(r.word, 1) = left(k.word, 1) and abs(length(r.word) - length(k.word)) <= 1
+  union select r.word, k.word, k.freq from rare r join dict k on right(r.word, 1) = right(k.word, 1) and abs(length(r.word) - length(k.word)) <= 1),
+p as (select *, damerau_levenshtein(word, correction) as edits from e where damerau_levenshtein(word, correction) <= 1),
+b as (select *, row_number() over (partition by word order by edits, freq desc, correction) as r from p) select word, correction from b where r = 1""")
+def spelling_domain(spark, sf_dir):
+    """Corrections by a dictionary with words of the field."""
+    from .queries import word_counts
+
+    counts = word_counts(spark, sf_dir)
+    known = spelling.with_domain_words(counts.where("n >= 40").select("word", F.col("n").alias("freq")), ["thn", "Thanedbla"])
+    rare = counts.where("n < 40").select("word").join(known.select("word"), "word", "left_anti")
+    return spelling.corrections(rare, known, edits=1)
