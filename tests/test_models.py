@@ -159,3 +159,38 @@ def test_similarity_rules_and_tools(spark):
     need("json")
     with pytest.raises(RuntimeError):
         need("no_such_module_here", "install it")
+
+
+def test_silhouette_bounds(spark):
+    import time
+
+    import numpy as np
+
+    def points(n, seed):
+        rng = np.random.default_rng(seed)
+        middles = rng.normal(size=(5, 4)) * 3
+        c = rng.integers(0, 5, n)
+        return spark.createDataFrame([(i, int(k), (middles[k] + rng.normal(size=4)).tolist()) for i, k in enumerate(c)], "vec_id long, label int, embedding array<double>")
+
+    df = points(800, 1)
+    df = df.union(df.limit(5)).union(spark.createDataFrame([(9000, 7, [0.0] * 4), (9001, None, [0.0] * 4), (9002, 1, None)], df.schema))
+    exact = semantic.silhouette(df.where("vec_id < 800 or label = 7").dropDuplicates(["vec_id"]), block=64).first().silhouette
+    wide = semantic.silhouette_bounds(df.dropDuplicates(["vec_id"]), cells=16, sample=5000).first()
+    assert wide.low <= exact <= wide.high and wide.n == 801 and wide.k == 6
+    assert wide.sampled == pytest.approx(exact)  # the sample is everything here
+    narrow = semantic.silhouette_bounds(df.dropDuplicates(["vec_id"]), cells=400).first()
+    assert narrow.low <= exact <= narrow.high and narrow.high - narrow.low < 0.6 * (wide.high - wide.low)
+    point = semantic.silhouette_bounds(df.dropDuplicates(["vec_id"]), cells=5000).first()
+    assert point.silhouette == pytest.approx(exact, abs=1e-6) and point.high - point.low < 1e-4  # what is left allows for rounding
+    none = semantic.silhouette_bounds(df.limit(0)).first()
+    assert none.n == 0 and none.silhouette is None
+    one = semantic.silhouette_bounds(df.where("label = 7")).first()
+    assert (one.silhouette, one.sampled, one.n) == (0.0, 0.0, 1)
+    took = []
+    for n in (2000, 20_000):
+        rows = points(n, 2)
+        rows.count()
+        began = time.time()
+        semantic.silhouette_bounds(rows, cells=32, sample=100).collect()
+        took.append(time.time() - began)
+    assert took[1] < 20 * took[0]  # ten times the rows, where all pairs take a hundred times

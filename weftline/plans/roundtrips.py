@@ -508,3 +508,16 @@ def spelling_domain(spark, sf_dir):
     known = spelling.with_domain_words(counts.where("n >= 40").select("word", F.col("n").alias("freq")), ["thn", "Thanedbla"])
     rare = counts.where("n < 40").select("word").join(known.select("word"), "word", "left_anti")
     return spelling.corrections(rare, known, edits=1)
+
+
+@query("""with v as (select vec_id, label, cast(embedding as double[]) as e from embeddings),
+d as (select a.vec_id, a.label as own, b.label as other, sum(list_distance(a.e, b.e)) as total, count(*) as n from v a, v b group by all),
+s as (select vec_id, own, max(total / nullif(n - 1, 0)) filter (where own = other) as a, min(total / n) filter (where own <> other) as b from d group by vec_id, own),
+x as (select count(distinct own) as k, avg(case when a is null or b is null then 0 else (b - a) / greatest(a, b) end) as silhouette, count(*) as n from s)
+select k, n, g as silhouette_tenths, true as bounded from (select k, n, cast(round(silhouette, 1) * 10 as integer) as g from x)""")
+def silhouette_bounded(spark, sf_dir):
+    """The silhouette by balls: its estimate in tenths, and that it lies within its bounds."""
+    from ..operators import semantic
+
+    found = semantic.silhouette_bounds(table(spark, sf_dir, "embeddings"), cells=4096, sample=300)
+    return found.select("k", "n", F.round(F.round("silhouette", 1) * 10).cast("int").alias("silhouette_tenths"), F.expr("low - 1e-9 <= silhouette and silhouette <= high + 1e-9").alias("bounded"))
