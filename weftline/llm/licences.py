@@ -342,7 +342,10 @@ def scan_licences(docs: DataFrame, model: Model, id_col: str = "doc_id", text: s
     hits = lines.select(*row, F.explode("grams").alias("gram")).distinct()
     hits = hits.join(F.broadcast(weights), "gram")  # a row for each n-gram of the notices: a fixed size
     summed = hits.groupBy(*row).agg(F.collect_list(F.when(F.size(F.split("gram", " ")) == 2, F.col("gram"))).alias("pairs"), F.collect_list(F.when(F.col("denies"), F.col("gram"))).alias("denied"), F.max("weighs").alias("weighs"), *[F.sum(n).alias(n) for n in names]).where("weighs")
-    logits = F.array(*[F.col(n) + F.lit(float(b)) for n, b in zip(names, model.bias, strict=True)])
+    # most paragraphs have a known word by chance: plain columns tell that they are ``none``, the last class
+    logit = [F.col(n) + F.lit(float(b)) for n, b in zip(names, model.bias, strict=True)]
+    summed = summed.where(F.greatest(*logit[:-1]) >= logit[-1] - 1e-9)
+    logits = F.array(*logit)
     summed = summed.withColumn("z", logits).withColumn("e", F.transform("z", lambda v: F.exp(v - F.array_max("z"))))
     summed = summed.withColumn("p", F.transform("e", lambda v: v / F.aggregate("e", F.lit(0.0), lambda s, x: s + x)))
     best = F.array_position("p", F.array_max("p")).cast("int")
