@@ -194,3 +194,24 @@ def test_silhouette_bounds(spark):
         semantic.silhouette_bounds(rows, cells=32, sample=100).collect()
         took.append(time.time() - began)
     assert took[1] < 20 * took[0]  # ten times the rows, where all pairs take a hundred times
+
+
+def test_rules_of_pages(spark):
+    def model(prompts):
+        if any("down" in p for p in prompts):
+            raise OSError("model down")
+        return ['{"has_fashion_rule": true, "rules": [{"rule_text": "Wear it well", "word_count": 9}, {"rule_text": null}, {"rule_text": "A b"}]}' if "belt" in p else '{"has_fashion_rule": true, "rules": null}' for p in prompts]
+
+    pages = spark.createDataFrame([(1, "belt"), (2, None), (3, "down"), (4, "")], "url long, text string")
+    got = sorted(map(tuple, E.extract_pages(pages, model).select("url", "pos", "rule_text", "word_count", "error").collect()))
+    assert got == [(1, 0, "Wear it well", 9, None), (1, 1, None, 0, None), (1, 2, "A b", 2, None), (3, 0, None, None, "model down")]
+    assert E.extract_pages(pages.limit(0), model).count() == 0
+
+
+def test_totals_of_filtered_rules(spark):
+    from weftline.operators import rules
+
+    found = spark.createDataFrame([("Always match your belt to your shoes.", 1), ("no", 2), (None, 3)], "rule_text string, id long")
+    kept, totals = rules.filtered(found)
+    assert [r.id for r in kept.collect()] == [1] and tuple(totals.first()) == (1, 2)
+    assert tuple(rules.filtered(found.limit(0))[1].first()) == (0, 0)
