@@ -42,3 +42,12 @@ def test_links_and_reach(spark):
 def test_numbered(spark):
     df = spark.createDataFrame([(1, "1. " + "a" * 40 + " 2) " + "b" * 31 + " 1.5 cm"), (2, "no number " + "x" * 40), (3, "1. short")], "id int, line string")
     assert [(r.id, r.part[0]) for r in W.numbered_parts(df).collect()] == [(1, "a"), (1, "b")]
+
+
+def test_links_of_pages_that_share_a_url(spark, tmp_path):
+    from weftline.plans.queries import QUERIES
+
+    pages = [(1, "https://h.com/a", '<a href="/x">x</a>'), (2, "https://h.com/a", '<a href="y">y</a>'), (3, None, '<a href="https://h.com/z">z</a>')]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((r.page_id, r.pos, r.href, r.target) for r in QUERIES["html_links"](spark, str(tmp_path)).collect())
+    assert got == [(1, 0, "/x", "https://h.com/x"), (2, 0, "y", "https://h.com/y"), (3, 0, "https://h.com/z", "https://h.com/z")]

@@ -170,9 +170,10 @@ def native_candidates(pages: DataFrame, advice: Sequence[str] = tuple(L.LINE_ADV
     return rows.withColumn("__n", first).where("__n = 1").drop("__n")
 
 
-def links(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """(url, pos, href): every link of a page, in order."""
-    return pages.select(F.col(url).alias("url"), F.posexplode(F.regexp_extract_all(html, F.lit(HREF), F.lit(1))).alias("pos", "href"))
+def links(pages: DataFrame, html: str = "html", url: str = "url", keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, url, pos, href): every link of a page, in order. ``keys`` are columns
+    that tell pages apart where URLs don't."""
+    return pages.select(*keys, F.col(url).alias("url"), F.posexplode(F.regexp_extract_all(html, F.lit(HREF), F.lit(1))).alias("pos", "href"))
 
 
 def resolved(found: DataFrame, against_page: bool = False) -> DataFrame:

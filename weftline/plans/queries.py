@@ -395,9 +395,9 @@ t as (select *, case when regexp_matches(trim(href), '^[A-Za-z][A-Za-z0-9+.-]*:'
 
 @query(LINKS + "select page_id, cast(pos as integer) as pos, href, target from t")
 def html_links(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    found = web.resolved(web.links(pages.select("html", "url")))
-    return found.join(pages.select("page_id", "url"), "url").select("page_id", "pos", "href", "target")
+    # page_id goes along: several pages may have one URL
+    found = web.resolved(web.links(table(spark, sf_dir, "pages"), keys=("page_id",)))
+    return found.select("page_id", "pos", "href", "target")
 
 
 LINK_KEYS = ["an", "er"]
