@@ -217,6 +217,26 @@ def test_totals_of_filtered_rules(spark):
     assert tuple(rules.filtered(found.limit(0))[1].first()) == (0, 0)
 
 
+def test_silhouette_in_ranges(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(90, 4)), 1)
+    x[20:40] = x[0]  # copies
+    c = np.append(rng.integers(0, 2, 89), 3)
+    rows = [(i, int(c[i]), x[i].tolist()) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    s = []
+    for i in range(89):
+        a, b = d[i, c == c[i]].sum() / ((c == c[i]).sum() - 1), min(d[i, c == k].mean() for k in set(c) - {c[i]})
+        s.append((b - a) / max(a, b))
+    for block in (1000, 20, 3):  # one range; clusters over several ranges; many
+        got = semantic.silhouette(df, block=block).first()
+        assert got.k == 3 and got.silhouette == pytest.approx(sum(s) / 90, abs=1e-12)
+    assert semantic.silhouette(df.limit(0)).first().silhouette is None
+
+
 def test_pieces_of_wide_rows_are_bounded():
     import pandas as pd
 

@@ -51,6 +51,16 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Remove a table that settle() wrote and that no plan reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        for spark, own in list(_made):
+            if path.rstrip("/").endswith(own.rsplit("/", 1)[-1]):
+                _made.remove((spark, own))
+                p = spark._jvm.org.apache.hadoop.fs.Path(own)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A small table in as many partitions as there are cores; a larger one, of
     many splits, as it is."""
