@@ -51,3 +51,18 @@ def test_links_of_pages_that_share_a_url(spark, tmp_path):
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = sorted((r.page_id, r.pos, r.href, r.target) for r in QUERIES["html_links"](spark, str(tmp_path)).collect())
     assert got == [(1, 0, "/x", "https://h.com/x"), (2, 0, "y", "https://h.com/y"), (3, 0, "https://h.com/z", "https://h.com/z")]
+
+
+def test_trees_go_with_their_pages():
+    import gc
+
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(20):
+            W.page_text(PAGE)
+            W.page_candidates(PAGE)
+        left = sum(isinstance(x, W.Node) for x in gc.get_objects())
+    finally:
+        gc.enable()
+    assert left == 0

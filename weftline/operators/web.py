@@ -50,6 +50,15 @@ class Node:
     def drop(self) -> None:
         self.parent.children.remove(self)
 
+    def clear(self) -> None:
+        """Take the tree apart: its nodes refer to each other and would otherwise stay
+        until the collector of cycles comes."""
+        stack = [self]
+        while stack:
+            node = stack.pop()
+            stack += [c for c in node.children if isinstance(c, Node)]
+            node.children, node.parent = [], None
+
     def has(self, selector: str) -> bool:
         """tag, .class, or tag[class*="part"]."""
         names = self.attrs.get("class", "")
@@ -88,10 +97,13 @@ def parse(html: str) -> Node:
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    for node in list(builder.root.walk()):
-        if node.tag in L.DROPPED_TAGS:
+    root = builder.root
+    builder.root = builder.at = None
+    for node in list(root.walk()):
+        if node.tag in L.DROPPED_TAGS and node.parent is not None:
             node.drop()
-    return builder.root
+            node.clear()
+    return root
 
 
 def page_text(html: str | None, longer_than: int = 30) -> str:
@@ -100,10 +112,13 @@ def page_text(html: str | None, longer_than: int = 30) -> str:
     root = parse(html or "")
     main = root.first(L.MAIN_SELECTORS_A) or root
     for node in list(main.walk()):
-        if any(c in node.attrs.get("class", "") for c in L.PROMO_CLASSES):
+        if node.parent is not None and any(c in node.attrs.get("class", "") for c in L.PROMO_CLASSES):
             node.drop()
+            node.clear()
     lines = (n.text() for n in main.walk() if n.tag in L.LINE_TAGS)
-    return " ".join(x for x in lines if len(x) > longer_than)
+    text = " ".join(x for x in lines if len(x) > longer_than)
+    root.clear()
+    return text
 
 
 def page_candidates(html: str | None, advice: Sequence[str] = tuple(L.LINE_ADVICE), item: int = 20, part: int = 30, line: int = 60) -> list[str]:
@@ -128,12 +143,13 @@ def page_candidates(html: str | None, advice: Sequence[str] = tuple(L.LINE_ADVIC
             found += [t for x in re.split(r"\d+\.|\d+\)", text) if len(t := x.strip(STRIP)) > part]
         elif len(text) > line and any(w in text.lower() for w in advice):
             found.append(text)
+    root.clear()
     return list(dict.fromkeys(t.strip(STRIP) for t in found))
 
 
 @F.arrow_udf(T.StringType())
 def html_text(pages: pa.Array) -> pa.Array:
-    return pa.array([page_text(x) for x in pages.to_pylist()], pa.string())
+    return pa.array((page_text(x.as_py()) for x in pages), pa.string())
 
 
 def html_candidates(pages: DataFrame, html: str = "html", url: str = "url", **options) -> DataFrame:
@@ -141,7 +157,7 @@ def html_candidates(pages: DataFrame, html: str = "html", url: str = "url", **op
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def found(batch: pa.Array) -> pa.Array:
-        return pa.array([page_candidates(x, **options) for x in batch.to_pylist()], pa.list_(pa.string()))
+        return pa.array((page_candidates(x.as_py(), **options) for x in batch), pa.list_(pa.string()))
 
     return pages.select(F.col(url).alias("source"), F.posexplode(found(F.col(html))).alias("pos", "text"))
 

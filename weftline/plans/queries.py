@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import dedupe, extraction, posts, rules, semantic, spelling, web
-from ..session import prepare
+from ..session import bound_workers
 from ..tables import settle, spread, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return bound_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # Words of the test texts that stand in for the lexicons
