@@ -109,3 +109,16 @@ def test_cut_and_put_together_without_spark():
         found = ["".join(v) for v in values if v[0].startswith("{")]
         top = [x for v in json.loads(text).values() if isinstance(v, list | dict) for x in (v if isinstance(v, list) else v.values())] if nested else json.loads(text)
         assert [json.loads(v) for v in found] == [x for x in top if isinstance(x, dict)]
+
+
+def test_tables_are_dealt_out_by_their_size(spark, tmp_path, monkeypatch):
+    from weftline import tables
+
+    path = f"{tmp_path}/t.parquet"
+    spark.range(20_000).coalesce(1).write.parquet(path)  # one row group
+    monkeypatch.setattr(tables, "SHARE", 4000, raising=False)
+    dealt = tables.spread(spark.read.parquet(path))
+    sizes = [len(p) for p in dealt.rdd.glom().collect()]
+    assert len(sizes) > 2 * spark.sparkContext.defaultParallelism and max(sizes) < 2 * 20_000 / len(sizes)
+    monkeypatch.setattr(tables, "SHARE", 1 << 30)
+    assert tables.spread(spark.read.parquet(path)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
