@@ -90,3 +90,22 @@ def test_vectors(spark):
     df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     rows = df.select(X.cosine("a", "b").alias("c"), X.unit("a").alias("u")).collect()
     assert rows[0].c == pytest.approx(0.96) and rows[0].u == pytest.approx([0.6, 0.8]) and rows[1].c == 0.0 and rows[1].u == [0.0, 0.0]
+
+
+def test_every_character_is_a_space_or_not_as_in_python(spark):
+    from weftline.functions import text as X
+
+    points = [*range(0x3100), 0xFEFF, 0xFFFD, 0x10000, 0x1F600, 0x10FFFF]
+    rows = [(i, f"{chr(i)}a{chr(i)}b {chr(i)}") for i in points]
+    df = spark.createDataFrame(rows, "i long, t string")
+    for r in df.select("i", "t", X.strip("t").alias("s"), X.word_count("t").alias("n"), X.collapse("t").alias("c")).collect():
+        assert (r.s, r.n, r.c) == (r.t.strip(), len(r.t.split()), " ".join(r.t.split())), hex(r.i)
+
+
+def test_texts_are_cut_once(spark):
+    from weftline.operators import rules
+
+    docs = spark.createDataFrame([(1, "A sentence that is long enough. " * 2), (2, None), (3, "...................... ..")], "doc_id long, text string")
+    cut = rules.sentence_rows(docs)
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert [(r.doc_id, r.pos, r.sentence) for r in cut.collect()] == [(1, 0, "A sentence that is long enough"), (1, 1, "A sentence that is long enough")]
