@@ -80,3 +80,23 @@ def test_mixed_buckets_and_odd_texts(spark, odd):
     rows = odd.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
     assert {tuple(r) for r in shingle_links(rows).collect()} == {(11, 10)}
     assert shingle_links(rows.limit(0)).count() == 0
+
+
+def test_no_link_is_left_out_where_lists_are_crowded(spark, monkeypatch):
+    """Texts that are all almost near enough, so that heads of lists are unlike most
+    members; small lists force further heads."""
+    from weftline.llm import shingles as S
+
+    monkeypatch.setattr(S, "LIST", 8)
+    passage = " ".join(f"p{i}" for i in range(100))
+    texts = {}
+    for family in range(150):
+        for k in range(2):
+            own = [f"f{family}x{i}" for i in range(24)]
+            own[k * 11] = "changed"
+            texts[family * 10 + k] = f"{passage} {' '.join(own)}"
+    want = near_pairs(texts, 0.8)
+    assert len(want) == 150
+    df = spark.createDataFrame(list(texts.items()), "node long, text string").repartition(4)
+    got = {(min(r), max(r)) for r in map(tuple, shingle_links(df).collect())}
+    assert got == want

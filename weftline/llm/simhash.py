@@ -270,6 +270,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return prints.join(parts, "__fp", "left").select(F.col("__id").alias(id_col), F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def _with_classes(marked: DataFrame, words: int) -> DataFrame:
+    """(__id, __row, __fp, class, n): fingerprints and classes of equal shingle sets,
+    by one Python worker a task."""
+    from .shingles import class_columns
+
+    def found(batches):
+        for batch in batches:
+            prints = np.zeros(batch.num_rows, U)
+            for first, last, data, offsets in byte_chunks(filled(batch.column("__text"))):
+                prints[first:last] = fingerprints(data, offsets)
+            yield pa.RecordBatch.from_pydict({"__id": batch.column("__id"), "__row": batch.column("__row"), "__fp": pa.array(prints.view(np.int64))} | class_columns(batch.column("__text"), words))
+
+    id_type = marked.schema["__id"].dataType.simpleString()
+    return marked.mapInArrow(found, f"__id {id_type}, __row long, __fp long, class long, n long")
+
+
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_bits: int = 3, least: float | None = None, words: int = 5) -> DataFrame:
     """docs with one row of each near-duplicate group: the smallest id, of several
     rows of that id the one of the smallest hash. Rows with a null id stay, and
@@ -280,13 +296,18 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     mark, one, row, id_ = fresh(docs, "__mark"), fresh(docs, "__first"), fresh(docs, "__row"), F.col(f"`{id_col}`")
     body = F.col(f"`{text}`")
     known = docs.where(id_.isNotNull())
-    prints = materialize(known.select(id_.alias("__id"), row_mark(docs).alias("__row"), fingerprint(body).alias("__fp")))
+    marked = known.select(id_.alias("__id"), row_mark(docs).alias("__row"), body.alias("__text"))
+    if least is None:
+        prints = materialize(marked.select("__id", "__row", fingerprint("__text").alias("__fp")))
+    else:
+        prints = materialize(_with_classes(marked, words))
     # groups by their smallest fingerprint: rows of one id may be in several
     parts = simhash_components(prints.select("__fp", F.col("__fp").alias("__as_id")), max_bits, "__as_id", "__fp")
     if least is not None:
         from .shingles import shingle_links
 
-        links = shingle_links(known.select(fingerprint(body).alias("node"), body.alias("text")), least, words)
+        own = prints.where("n > 0").select(F.col("__fp").alias("node"), "class", "n")
+        links = shingle_links(known.select(body.alias("text")), least, words, own=own)
         joined = connected_components(parts.select(F.col("__fp").alias("a"), F.col("component").alias("b")).unionByName(links))
         parts = materialize(parts.join(joined, F.col("__fp") == F.col("id"), "left").select("__fp", F.coalesce(joined["component"], parts["component"]).alias("component")))
     firsts = prints.join(parts, "__fp").groupBy("component").agg(F.min(F.struct("__id", "__row")).alias("first"))
