@@ -83,3 +83,16 @@ def test_long_words(spark):
     words = spark.createDataFrame([(w,) for w in [*unknown, *far] if w not in known], "word string")
     got = {r.word: r.correction for r in spelling.corrections(words, dictionary).collect()}
     assert got == {w: c for w, c in unknown.items() if w not in known}
+
+
+def test_corrected_texts_shuffle_words_and_not_tokens(spark):
+    """Casing, repeats, odd characters, rows that share a key or have none; and what
+    leaves a text are the words to be corrected, not all of its tokens."""
+    dictionary = spark.createDataFrame([("river", 50), ("house", 60)], "word string, freq long")
+    rows = [(1, "A Rivr, the RIVR! rivr\u212a  hause\n"), (2, "river house"), (3, ""), (4, None), (5, "rivr b"), (5, "c hause"), (None, "Hause")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = spelling.correct(docs, dictionary, "doc_id", skip=["the"], edits=1)
+    want = {1: "A River, the RIVER! river\u212a  house\n", 2: "river house", 5: "criver  bhouse", None: "House"}
+    assert {r.doc_id: r.corrected for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "array_distinct" in plan

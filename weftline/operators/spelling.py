@@ -9,6 +9,7 @@ left whole, at its place give or take the edits."""
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.lexicons import SKIP_WORDS
-from ..functions.text import preserve_case, tokens
+from ..functions.text import tokens
 from ..tables import settle
 
 
@@ -189,14 +190,40 @@ def corrections(unknown: DataFrame, dictionary: DataFrame, edits: int = 2) -> Da
     return pairs.withColumn("rank", rank).where("rank = 1").select("word", "correction")
 
 
+def cased(original: str, correction: str) -> str:
+    """The correction in the casing of the original word of ASCII letters."""
+    if original.isupper():
+        return correction.upper()
+    return correction[:1].upper() + correction[1:].lower() if original[:1].isupper() else correction
+
+
+@F.arrow_udf(T.StringType())
+def with_corrections(texts: pa.Array, found: pa.Array, instead: pa.Array) -> pa.Array:
+    """Texts (a list of them: their tokens by place) with some words replaced."""
+    out = []
+    for own, words, others in zip(texts.to_pylist(), found.to_pylist(), instead.to_pylist(), strict=True):
+        to = dict(zip(words or (), others or (), strict=True))
+        mend = lambda w: cased(w, to[w.lower()]) if w.lower() in to else w  # noqa: B023, E731
+        if len(own) == 1:
+            out.append(re.sub("[A-Za-z]+", lambda m: mend(m[0]), own[0]) if to else own[0])  # noqa: B023
+        else:
+            tokens_ = [(i, mend(t)) for text in own for i, t in enumerate(re.findall("[A-Za-z]+|[^A-Za-z]+", text))]
+            out.append("".join(t for _, t in sorted(tokens_)))
+    return pa.array(out, pa.string())
+
+
 def correct(docs: DataFrame, dictionary: DataFrame, key: str, text: str = "text", skip: list[str] | None = None, edits: int = 2) -> DataFrame:
-    """(key, corrected): the text with its unknown words replaced, casing kept."""
-    found = token_rows(docs, key, text)
-    known = corrections(unknown_words(found, dictionary, skip), dictionary, edits)
-    mended = found.withColumn("word", F.lower("token")).join(known, "word", "left")
-    token = F.when(F.col("correction").isNotNull(), preserve_case("token", "correction")).otherwise(F.col("token"))
-    parts = mended.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))).alias("parts"))
-    return parts.select(key, F.array_join(F.transform("parts", lambda p: p["t"]), "").alias("corrected"))
+    """(key, corrected): the text with its unknown words replaced, casing kept.
+
+    Tokens stay inside their text: only words that have a correction leave it, once for
+    each text, and come back as its list of corrections."""
+    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
+    tokens_ = docs.select("key", F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("token"))
+    known = settle(corrections(settle(unknown_words(tokens_, dictionary, skip)), dictionary, edits))
+    mends = tokens_.select("key", F.lower("token").alias("word")).join(known, "word").groupBy("key").agg(F.collect_set(F.struct("word", "correction")).alias("mends"))
+    rows = docs.groupBy("key").agg(F.collect_list("text").alias("texts"))
+    rows = rows.join(mends.withColumnRenamed("key", "__key"), F.col("key").eqNullSafe(F.col("__key")), "left")
+    return rows.select(F.col("key").alias(key), with_corrections("texts", "mends.word", "mends.correction").alias("corrected"))
 
 
 def mended(text: Column | str, load: Callable[[], Callable[[str], str]] | None = None) -> Column:

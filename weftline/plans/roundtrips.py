@@ -247,7 +247,7 @@ select doc_id, string_agg(token, '' order by i) as corrected from m group by doc
 def spelling_corrected(spark, sf_dir):
     """Whole texts with rare words corrected by one edit, casing kept."""
     known = word_counts(spark, sf_dir).where("n >= 40").select("word", F.col("n").alias("freq"))
-    return spelling.correct(table(spark, sf_dir, "documents").select("doc_id", "text"), known, "doc_id", skip=[], edits=1)
+    return spelling.correct(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), known, "doc_id", skip=[], edits=1)
 
 
 
