@@ -112,3 +112,24 @@ def test_keys_that_were_there_and_repeated_batches(spark, tmp_path):
     commits[-1].unlink()
     (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
     assert sorted(r.k or "" for r in append().collect()) == ["", "a", "b", "c", "d"]
+
+
+def test_a_page_of_the_forum_reads_its_blocks_only(spark, tmp_path, monkeypatch):
+    from weftline.plans import roundtrips as R
+
+    rows = spark.range(5000).selectExpr("concat('c', id % 2) as category", "id * 3 as place", "cast(id as string) as post_id")
+    folder = f"file://{tmp_path}/forum"
+    R.write_forum(rows, folder, ["1", "2"])
+    read, lines = [], R.ConversationForum._lines
+    monkeypatch.setattr(R.ConversationForum, "_lines", staticmethod(lambda f: read.append(lines(f)) or read[-1]))
+    for category in ("c0", "c1", "c2"):
+        for query in ("1", "2"):
+            for until in (0, 1, 4500, 7000, 99_999):
+                options = {"folder": folder, "until": str(until)}
+                want = [i for i in range(5000) if f"c{i % 2}" == category and 3 * i % int(query) == 0 and 3 * i < until]
+                assert R.ConversationForum.latest(category, query, options) == len(want)
+                for start in (0, 19, 330, 2400):
+                    read.clear()
+                    got = R.ConversationForum.posts(category, query, start, start + 20, options)
+                    assert [int(p["post_id"]) for p in got] == want[start : start + 20]
+                    assert sum(map(len, read)) < 700  # of 2500 in the category

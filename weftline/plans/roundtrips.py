@@ -351,30 +351,66 @@ def cli_records(spark, sf_dir):
     return rows.select("post_id", "subreddit", F.size("comments").cast("long").alias("comments"))
 
 
+#: Places of a block of a forum's posts.
+BLOCK = 1000
+
+
 class ConversationForum:
     """A forum whose posts of a category are the lines of files in a folder, in
-    order of their place; a query is a number that divides a post's id."""
+    order of their place; a query is a number that divides a post's id. Posts lie in
+    blocks of places, so that a page costs what it holds and not what the category does."""
 
     @staticmethod
-    def _all(category: str, query: str, options: dict) -> list[dict]:
+    def _lines(folder: str) -> list[dict]:
         from pyarrow import fs
 
-        store, folder = fs.FileSystem.from_uri(f"{options['folder']}/category={category}")
+        store, path = fs.FileSystem.from_uri(folder)
         found = []
-        for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
             if info.path.endswith(".json"):
                 with store.open_input_stream(info.path) as file:
                     found += [json.loads(x) for x in file.read().decode().splitlines()]
+        return found
+
+    @classmethod
+    def _all(cls, category: str, query: str, options: dict, block: str = "") -> list[dict]:
+        found = cls._lines(f"{options['folder']}/category={category}{block}")
         until = int(options.get("until", 1 << 62))
         return [p for p in sorted(found, key=lambda p: p["place"]) if p["place"] % int(query) == 0 and p["place"] < until]
 
+    @classmethod
+    def _blocks(cls, category: str, query: str, options: dict) -> list[tuple[int, int]]:
+        """(block, posts of it) in order; only the block that ``until`` cuts is read for that."""
+        until, found = int(options.get("until", 1 << 62)), []
+        for x in sorted(cls._lines(f"{options['folder']}/index/category={category}"), key=lambda x: x["block"]):
+            if (x["block"] + 1) * BLOCK <= until:
+                found.append((x["block"], x["counts"][query]))
+            elif x["block"] * BLOCK < until:
+                found.append((x["block"], len(cls._all(category, query, options, f"/block={x['block']}"))))
+        return found
+
     @classmethod
     def latest(cls, category: str, query: str, options: dict) -> int:
-        return len(cls._all(category, query, options))
+        return sum(n for _, n in cls._blocks(category, query, options))
 
     @classmethod
     def posts(cls, category: str, query: str, start: int, end: int, options: dict) -> list[dict]:
-        return cls._all(category, query, options)[start:end]
+        found, at = [], 0
+        for block, n in cls._blocks(category, query, options):
+            if at < end and at + n > start:
+                found += cls._all(category, query, options, f"/block={block}")[max(start - at, 0) : end - at]
+            at += n
+        return found
+
+
+def write_forum(rows: DataFrame, folder: str, queries: list[str]) -> None:
+    """Posts (category, place, ...) as the files of a ConversationForum, with how many
+    posts of a block each query finds."""
+    rows = rows.withColumn("block", F.floor(F.col("place") / BLOCK))
+    rows.repartition("category", "block").write.partitionBy("category", "block").json(folder)
+    counts = F.struct(*[F.count_if(F.col("place") % int(q) == 0).alias(q) for q in queries])
+    index = rows.groupBy("category", "block").agg(counts.alias("counts"))
+    index.repartition("category").write.partitionBy("category").json(f"{folder}/index")
 
 
 @query(THREADS + "select 'c' || cast(conv_id % 7 as varchar) as category, cast(conv_id as varchar) as post_id, left(first, 60) as title, cast(n as bigint) as comments, 'all' as query from firsts")
@@ -387,7 +423,7 @@ def forum_stream(spark, sf_dir):
     sources.register(spark)
     folder, target, checkpoint = place(spark, "forum"), place(spark, "posts"), place(spark, "offsets")
     rows = threads(spark, sf_dir).select(F.concat(F.lit("c"), (F.col("post_id").cast("long") % 7).cast("string")).alias("category"), F.col("post_id").cast("long").alias("place"), "post_id", "title", "score", "comments")
-    rows.write.partitionBy("category").json(folder)
+    write_forum(rows, folder, ["1", "2"])
     most = (rows.agg(F.max("place")).first()[0] or 0) + 1
     for until in (most // 3, most // 2, most):
         read = spark.readStream.format("weftline_forum").option("categories", "\n".join(f"c{k}" for k in range(7))).option("queries", "all=1\neven=2").option("page", "20")
