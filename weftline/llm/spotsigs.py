@@ -43,8 +43,9 @@ def spot_set(text: Column, anchors: list[str] | None = None, chain: int = CHAIN)
 
 
 def spot_words(text: Column) -> Column:
-    """Lower-case words: runs of letters, marks and digits."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+    """Lower-case words: runs of letters, marks and digits. What is common comes first in
+    the class, which is tried part by part."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
 def spot_set_of_words(words: Column, anchors: list[str] | None = None, chain: int = CHAIN) -> Column:
