@@ -100,3 +100,70 @@ def test_no_link_is_left_out_where_lists_are_crowded(spark, monkeypatch):
     df = spark.createDataFrame(list(texts.items()), "node long, text string").repartition(4)
     got = {(min(r), max(r)) for r in map(tuple, shingle_links(df).collect())}
     assert got == want
+
+
+def test_unlike_texts_form_no_sets(spark, monkeypatch):
+    """Texts that share a rare passage by chance meet on a list, but their sketches part
+    them: sets, which are larger than the texts, are formed of near copies only."""
+    from weftline.llm import shingles as S
+
+    texts = {i: " ".join([f"t{i}x{k}" for k in range(60)] + [f"p{i % 60}x{k}" for k in range(20)]) for i in range(120)}
+    formed, sets_of = [], S.sets_of
+
+    def counted(*args):
+        out = sets_of(*args)
+        formed.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "sets_of", counted)
+    links = lambda: {tuple(sorted(r)) for r in map(tuple, shingle_links(spark.createDataFrame(list(texts.items()), "node long, text string")).collect())}
+    assert links() == set() and sum(formed) == 0
+    texts[200] = texts[7] + " one"
+    assert links() == {(7, 200)} and sum(formed) == 2
+
+
+@pytest.mark.parametrize("least", [0.8, 0.55])
+def test_sketches_lose_no_link(spark, least):
+    """Sizes on both sides of powers of two, so that one sketch is folded; sets of all grades
+    of likeness, and those that are just alike enough."""
+    import random
+
+    import numpy as np
+
+    from weftline.llm import shingles as S
+
+    rng, rows = random.Random(5), []
+    for n in (1, 5, 63, 64, 65, 120, 128, 140, 300, 1025):
+        for _ in range(12):
+            x = rng.sample(range(1 << 62), n)
+            shared = rng.randrange(n + 1) if rng.random() < 0.5 else int(np.ceil(least * n))
+            y = x[:shared] + rng.sample(range(1 << 62), rng.randrange(n // 3 + 1))
+            h, sizes = np.array(sorted(x) + sorted(y), np.uint64), np.array([len(x), len(y)])
+            (a, b), alike = S.set_sketches(h, sizes).to_pylist(), len({*x} & {*y}) >= least * len({*x} | {*y}) - 1e-9
+            rows.append((len(x), a, len(y), b, alike))
+    df = spark.createDataFrame(rows, "nx int, bx array<long>, ny int, by array<long>, alike boolean")
+    got = df.select("alike", S._sketches_near(least).alias("near")).collect()
+    fold = lambda b: F.expr(f"transform(sequence(0, {S.FEW - 1}), i -> aggregate(filter({b}, (x, k) -> k % {S.FEW} = i), 0L, (a, x) -> a ^ x))")
+    short = df.select("alike", F.struct(fold("bx").alias("few"), F.col("nx").alias("n")).alias("a"), F.struct(fold("by").alias("few"), F.col("ny").alias("n")).alias("b"))
+    assert short.where(F.col("alike") & ~S._few_near(F.col("a"), F.col("b"), least)).count() == 0
+    assert all(r.near for r in got if r.alike) and any(r.alike for r in got) and not all(r.near for r in got)
+
+
+def test_who_may_meet_stays_on_the_list(spark):
+    import random
+
+    from weftline.llm import shingles as S
+
+    rng, rows = random.Random(8), []
+    for key in range(150):
+        for c in rng.sample(range(1000), rng.randrange(1, 7)):
+            n = rng.choice([1, 4, 20, 22, 25, 30, 100])
+            rows.append((key, c, n, rng.randrange(n - -(-8 * n // 10) + 1)))
+    df = spark.createDataFrame(rows + rows[:40], "key long, class long, n int, pos int")
+    a, b = (df.select("key", F.struct("class", "n", "pos").alias(c)) for c in "ab")
+    meet = a.join(b, "key").where((F.col("a")["class"] != F.col("b")["class"]) & S._may_meet(F.col("a"), F.col("b"), 0.8))
+    want = {(r.key, r.a["class"]) for r in meet.select("key", "a").collect()}
+    got = S._with_partners(df, 0.8).collect()
+    assert want and want <= {(r.key, r["class"]) for r in got} and len(got) == len({(r.key, r["class"]) for r in got}) < len(rows)
+    heads = {k: min(r["class"] for r in got if r.key == k) for k in {r.key for r in got}}
+    assert all(r.head["class"] == heads[r.key] for r in got)

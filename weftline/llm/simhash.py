@@ -271,19 +271,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def _with_classes(marked: DataFrame, words: int) -> DataFrame:
-    """(__id, __row, __fp, class, n): fingerprints and classes of equal shingle sets,
-    by one Python worker a task."""
-    from .shingles import class_columns
+    """(__id, __row, mark, __fp, class, n, bits): fingerprints and classes of equal shingle
+    sets, by one Python worker a task."""
+    from .shingles import CLASS, class_columns
 
     def found(batches):
         for batch in batches:
             prints = np.zeros(batch.num_rows, U)
             for first, last, data, offsets in byte_chunks(filled(batch.column("__text"))):
                 prints[first:last] = fingerprints(data, offsets)
-            yield pa.RecordBatch.from_pydict({"__id": batch.column("__id"), "__row": batch.column("__row"), "__fp": pa.array(prints.view(np.int64))} | class_columns(batch.column("__text"), words))
+            yield pa.RecordBatch.from_pydict({"__id": batch.column("__id"), "__row": batch.column("__row"), "mark": batch.column("mark"), "__fp": pa.array(prints.view(np.int64))} | class_columns(batch.column("__text"), words))
 
     id_type = marked.schema["__id"].dataType.simpleString()
-    return marked.mapInArrow(found, f"__id {id_type}, __row long, __fp long, class long, n long")
+    rows = marked.select("__id", "__row", F.xxhash64("__text").alias("mark"), "__text")
+    return rows.mapInArrow(found, f"__id {id_type}, __row long, mark long, __fp long, {CLASS}")
 
 
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_bits: int = 3, least: float | None = None, words: int = 5) -> DataFrame:
@@ -306,7 +307,7 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     if least is not None:
         from .shingles import shingle_links
 
-        own = prints.where("n > 0").select(F.col("__fp").alias("node"), "class", "n")
+        own = prints.where("n > 0").select(F.col("__fp").alias("node"), "mark", "class", "n", "bits")
         links = shingle_links(known.select(body.alias("text")), least, words, own=own)
         joined = connected_components(parts.select(F.col("__fp").alias("a"), F.col("component").alias("b")).unionByName(links))
         parts = materialize(parts.join(joined, F.col("__fp") == F.col("id"), "left").select("__fp", F.coalesce(joined["component"], parts["component"]).alias("component")))
